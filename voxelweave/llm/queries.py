@@ -5,18 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, packing
-from .common import table
+from . import chat, decontamination, metric_search, packing, url_rules, warc
+from .common import new_path, table
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(*extra.columns).unionByName(extra)
+    return chat.digest(chat.expand(turns))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontamination.digest(found)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_best_fit_packing, op9_decontamination)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.read(index, folder)
+    return found.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_best_fit_packing, op5_metric_search, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
