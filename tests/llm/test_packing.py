@@ -13,7 +13,7 @@ SCHEMA = "doc_id bigint, text string, Doc_ID string"
 def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(P.default_tokenizer())
+    return Tokenizer.from_file(P.files(None)[0])
 
 
 def brute_bins(lengths, capacity):
@@ -51,13 +51,16 @@ def test_plan_equals_piecewise_best_fit(seed):
     assert sorted(capacity - sum(n for _, n in p) for p in fill.values()) == brute_bins(lengths, capacity)
 
 
-def test_words_are_encoded_as_whole_texts():
-    tok, enc = tokenizer(), P.WordEncoder(P.default_tokenizer())
+def test_ids_are_those_of_the_tokenizer():
+    tok, enc, slow = tokenizer(), P.Encoder(*P.files(None)), P.Encoder(P.files(None)[0], None)
     rnd = random.Random(1)
-    alphabet = ["a", "the", " ", "  ", "\n", "\t", "!!", "é", "ß9", "12", "'s", " I'll", " ", "日本", "😀", "<|endoftext|>", "\r\n", "\x1c", " "]
-    texts = ["", " ", "  ", "\n ", " \n", *("".join(rnd.choices(alphabet, k=rnd.randint(0, 30))) for _ in range(3000))]
-    for text, ids in zip(texts, enc(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    alphabet = ["a", "the", " ", "  ", "\n", "\t", "!!", "é", "ß9", "12", "'s", "\xa0", " I'll", "\x85", "日本", "😀", "<|endoftext|>", "\r\n", "\x1c", "\u2003", "²", "ª", "x" * 700, "\x00", "\xad"]
+    one = [chr(c) + x + chr(c) for c in range(256) for x in ("a", " ", "1", "")]
+    texts = ["", " ", "  ", "\n ", " \n", *one, *("".join(rnd.choices(alphabet, k=rnd.randint(0, 30))) for _ in range(3000))]
+    texts += ["".join(rnd.choices(alphabet[:11], k=12)) for _ in range(3000)]
+    for text in texts:
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc(text), "<u4").tolist() == want == np.frombuffer(slow(text), "<u4").tolist(), repr(text)
 
 
 def test_layout(spark):
