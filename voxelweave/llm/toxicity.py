@@ -77,8 +77,11 @@ class Lexicons:
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 
 
-def induce(sample: DataFrame, most: int = MAX_ENTRIES, least_docs: int = 3, odds: float = 3.0) -> Lexicons:
-    """Word starts and words whose document frequency among toxic texts is exp(odds) times that among others."""
+def induce(sample: DataFrame, most: int = MAX_ENTRIES, odds: float = 3.0, chance: float = 1e-5) -> Lexicons:
+    """Word starts and words whose document frequency among toxic texts is exp(odds) times that among others.
+
+    An entry that says nothing about the label would be in its toxic texts alone with less than the given chance.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
         seen = [Counter(), Counter()]
@@ -98,7 +101,8 @@ def induce(sample: DataFrame, most: int = MAX_ENTRIES, least_docs: int = 3, odds
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     counts = sample.select("label", "text").mapInArrow(run, "kind int, entry string, toxic bigint, clean bigint").groupBy("kind", "entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     lift = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    good = counts.where(F.col("toxic") >= least_docs).withColumn("lift", lift).where(F.col("lift") >= odds)
+    share = -np.log((toxic + 0.5) / (toxic + clean + 1.0))
+    good = counts.where(F.col("toxic") * float(share) >= float(-np.log(chance)) + 3.0 * F.col("clean")).withColumn("lift", lift).where(F.col("lift") >= odds)
     starts: dict[int, frozenset[str]] = {}
     words: frozenset[str] = frozenset()
     for kind in (0, *STARTS):
