@@ -57,6 +57,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN pos USING (n) LEFT JOIN its USING (n)
 """
 
+OP3 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[k:k + 4], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+overlap AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM overlap JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id, d.doc_id <= coalesce(low.b, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = d.doc_id
+"""
+
 _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # 160 bits of SHA-1 as 32 groups of 5; each group lies within two hexadecimal digits
 _BASE32 = " || ".join(f"substr('{_DIGITS}', 1 + ((h[{5 * g // 4 + 1}] * 16 + h[{5 * g // 4 + 2}]) // {2 ** (3 - 5 * g % 4)}) % 32, 1)" for g in range(32))
@@ -69,4 +81,4 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM r
 """
 
-ORACLE: dict[str, str] = {"op5_metric_search": OP5, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
+ORACLE: dict[str, str] = {"op3_near_duplicates": OP3, "op5_metric_search": OP5, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10}

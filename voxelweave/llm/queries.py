@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, compression, decontamination, metric_search, packing, toxicity, url_rules, warc
+from . import chat, compression, decontamination, metric_search, minhash, packing, toxicity, url_rules, warc
 from .common import new_path, table
 
 
@@ -20,6 +20,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return compression.score(docs, compression.fit(docs, table(spark, sf_dir, "labels")))
@@ -52,4 +56,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op4_quality_compression, op5_metric_search, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_near_duplicates, op4_quality_compression, op5_metric_search, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
