@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-PAGE = 64
-FANOUT = 16
+PAGE = 1024
+FANOUT = 8
 BLOCK_ROWS = 50_000
 LEAST_BLOCKS = 12
 _SLACK = 1e-6
@@ -39,7 +39,8 @@ class MTree:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, top: int):
         self.ids, self.v, self.top = ids, vectors.astype(np.float64), float(top)
         self.rest = np.sqrt(np.maximum(top - (self.v * self.v).sum(1), 0))
-        self.exact = vectors
+        # float64 sums are exact below 2^53
+        self.exact = self.v if top < 2**52 else vectors
         # a page: (is_leaf, row of each entry's object, its distance to the page's own object, radius, child page)
         self.pages: list[tuple] = []
         self.compared = 0
@@ -57,8 +58,10 @@ class MTree:
         chosen = [int(rows[0])]
         least = self._distance(rows, chosen[0])
         owner = np.zeros(len(rows), int)
-        while len(chosen) < FANOUT and least.max() > 0:  # farthest first
-            far = int(rows[least.argmax()])
+        while len(chosen) < FANOUT and least.max() > 0:  # of those as far as most are from the objects so far
+            far = int(rows[np.argsort(least, kind="stable")[len(rows) * 3 // 4 :]][0])
+            if not least[rows == far][0]:
+                far = int(rows[least.argmax()])
             d = self._distance(rows, far)
             owner[d < least] = len(chosen)
             least = np.minimum(least, d)
@@ -89,17 +92,19 @@ class MTree:
             if bound > limit:
                 break
             leaf, rows, near, radius, children = self.pages[page]
-            pick = np.arange(len(rows))
             if near is not None and limit < np.inf:
-                reach = limit if leaf else limit + radius
-                pick = pick[np.abs(to_parent - near) <= reach]
-            if not len(pick):
+                pick = np.flatnonzero(np.abs(to_parent - near) <= (limit if leaf else limit + radius))
+                if len(pick) < len(rows):
+                    rows = rows[pick]
+                    if not leaf:
+                        radius, children = radius[pick], children[pick]
+            if not len(rows):
                 continue
-            self.compared += len(pick)
-            rows = rows[pick]
+            self.compared += len(rows)
             if leaf:
-                scores = self.exact[rows] @ query
-                for i in np.flatnonzero(scores >= best[0][0]) if len(best) == k else range(len(rows)):
+                scores = self.exact[rows] @ (q if self.exact is self.v else query)
+                good = np.arange(len(rows)) if len(rows) <= 2 * k else np.flatnonzero(scores >= np.partition(scores, len(rows) - k - 1)[len(rows) - k - 1])
+                for i in good[scores[good] >= best[0][0]] if len(best) == k else good:
                     entry = (int(scores[i]), -int(self.ids[rows[i]]))
                     if -entry[1] == own:
                         continue
@@ -111,7 +116,7 @@ class MTree:
                     limit = np.sqrt(max(base - 2.0 * best[0][0], 0.0)) * (1 + 1e-9) + _SLACK
             else:
                 d = np.sqrt(np.maximum(base - 2.0 * (self.v[rows] @ q), 0))
-                for dist, r, child in zip(d.tolist(), radius[pick].tolist(), children[pick].tolist(), strict=True):
+                for dist, r, child in zip(d.tolist(), radius.tolist(), children.tolist(), strict=True):
                     if dist - r <= limit:
                         heapq.heappush(queue, (max(dist - r - _SLACK, 0.0), child, dist))
         return [(s, -i) for s, i in sorted(best, reverse=True)]
@@ -137,7 +142,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
     blocks = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS))
     data = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "vec_id", "v")
     asked = rows.where(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "vec_id", "v")
-    dealt = data.union(asked).repartition(blocks, "block").sortWithinPartitions("block", "dim", "kind")
+    dealt = data.union(asked).repartition(4 * blocks, "block").sortWithinPartitions("block", "dim", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]):
         key, ids, parts, tree = None, [], [], None
