@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,7 +43,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._voxelweave_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again, and let Spark drop shuffles that nothing refers to."""
+    spark = tables[0].sparkSession
+    for t in tables:
+        drop_path(spark, t._voxelweave_path)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

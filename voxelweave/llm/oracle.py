@@ -16,6 +16,19 @@ _ESCAPE = "replace({}, '\\', '\\\\')"
 for _mark in CONTROL:
     _ESCAPE = f"replace({_ESCAPE}, '{_mark}', '{_mark[0]}\\{_mark[1:]}')"
 
+OP6 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+w AS (SELECT r, k, hash(substr(x, 2 * k + 1, 400)) AS h FROM (SELECT r, x, unnest(generate_series(0, length(x) // 2 - 200)) AS k FROM d)),
+again AS (SELECT r, k FROM w SEMI JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+runs AS (SELECT r, min(k) AS a, max(k) + 200 AS b FROM (SELECT r, k, sum(new) OVER (PARTITION BY r ORDER BY k) AS g
+    FROM (SELECT r, k, CASE WHEN k - lag(k) OVER (PARTITION BY r ORDER BY k) <= 200 THEN 0 ELSE 1 END AS new FROM again)) GROUP BY r, g),
+s AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r),
+ends AS (SELECT r, a AS b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a FROM (SELECT r, a, b FROM runs UNION ALL SELECT r, length(x) // 2, NULL FROM d)),
+kept AS (SELECT r, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS x FROM ends JOIN d USING (r) GROUP BY r)
+SELECT doc_id, length(d.x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN s USING (r)
+"""
+
 OP7 = f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
@@ -81,4 +94,4 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM r
 """
 
-ORACLE: dict[str, str] = {"op3_near_duplicates": OP3, "op5_metric_search": OP5, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
+ORACLE: dict[str, str] = {"op3_near_duplicates": OP3, "op5_metric_search": OP5, "op6_suffix_dedup": OP6, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, compression, decontamination, metric_search, minhash, packing, toxicity, url_rules, warc
+from . import chat, compression, decontamination, metric_search, minhash, packing, suffix_dedup, toxicity, url_rules, warc
 from .common import new_path, table
 
 
@@ -33,6 +33,11 @@ def op5_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
@@ -56,4 +61,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_near_duplicates, op4_quality_compression, op5_metric_search, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_near_duplicates, op4_quality_compression, op5_metric_search, op6_suffix_dedup, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
