@@ -48,6 +48,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small(table: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """A table of ``materialize``, with a broadcast hint if its files are within limit bytes; else a shuffled join does."""
+    spark = table.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(table._voxelweave_path)
+    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
+    return F.broadcast(table) if size <= limit else table
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables of ``materialize`` that nothing will read again, and let Spark drop shuffles that nothing refers to."""
     spark = tables[0].sparkSession

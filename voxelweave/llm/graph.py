@@ -17,10 +17,10 @@ def components(links: DataFrame) -> DataFrame:
     both = common.materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
     labels = common.materialize(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("root")), "labels")
     while True:
-        jump = labels.alias("x").join(labels.select(F.col("id").alias("root"), F.col("root").alias("further")), "root").select("id", F.least("root", "further").alias("root"))
-        near = both.join(jump.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-        new = jump.join(near, "id").join(labels.select("id", F.col("root").alias("old")), "id")
-        new = common.materialize(new.select("id", F.least("root", "near").alias("root"), "old"), "labels")
-        labels = new.select("id", "root")
-        if new.where("root <> old").isEmpty():
+        known = common.small(labels)
+        jump = labels.join(known.select(F.col("id").alias("root"), F.col("root").alias("further")), "root").select("id", F.col("root").alias("old"), F.least("root", "further").alias("root"))
+        own = jump.select("id", "old", F.col("root").alias("near"))
+        near = both.join(known.select(F.col("id").alias("b"), F.col("root").alias("near")), "b").select(F.col("a").alias("id"), F.lit(None).cast("bigint").alias("old"), "near")
+        labels = common.materialize(own.unionByName(near).groupBy("id").agg(F.max("old").alias("old"), F.min("near").alias("root")), "labels")
+        if labels.where("root <> old").isEmpty():
             return labels

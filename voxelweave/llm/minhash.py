@@ -12,8 +12,7 @@ With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with p
 Large groups: equal sets are one node from the start. Within a bucket, pivots are compared with the
 members of other components only, and leave the bucket; a bucket whose remaining members are one
 component is finished. That never emits all pairs of a group of copies, and yet every candidate
-pair is either compared or already connected. Pivots double each round, so a bucket of m texts that
-are not alike takes log2(m) rounds.
+pair is either compared or already connected. Each round takes 16 times the pivots of the last.
 
 Defined results: null text, or text without words, has an empty set and no links; fewer words than
 a shingle give one shingle of all words; rows with a null id are linked with nothing and kept; rows
@@ -139,7 +138,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
 
     texts = common.only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    return texts.join(ids, "id", "left_semi").mapInArrow(run, "id bigint, hashes binary")
+    return texts.join(common.small(ids).select("id"), "id", "left_semi").mapInArrow(run, "id bigint, hashes binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -156,44 +155,45 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good[i] = 100 * common_ >= percent * (len(both) - common_)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
 
-    left = pairs.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("second")), "b")
+    left = sets.select(F.col("id").alias("b"), F.col("hashes").alias("second")).join(common.small(pairs), "b")
     both = left.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("first")), "a")
-    return both.select("a", "b", "first", "second").mapInArrow(run, "a bigint, b bigint").distinct()
+    return both.select("a", "b", "first", "second").mapInArrow(run, "a bigint, b bigint")
 
 
 def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(id, root) of all candidates. members: (key, id, n), the buckets of two and more."""
-    sets = common.materialize(_full_sets(docs, members.select("id").distinct()), "sets")
-    roots = common.materialize(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
-    active, checked, pivots = members, None, 1
+    small, keep = common.small, common.materialize
+    roots = keep(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
+    sets = keep(_full_sets(docs, roots), "sets")
+    active, checked, pivots = members.withColumn("root", F.col("id")), None, 1
     while True:
-        now = active.join(roots, "id").select("key", "id", "n", "root")
-        order = F.row_number().over(Window.partitionBy("key").orderBy("id" if pivots == 1 else F.xxhash64("id", F.lit(pivots)), "id"))
         if pivots == 1:  # the smallest of each bucket, without a window over it
-            chosen = now.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p")).select("key", F.col("p.id").alias("pivot"), F.col("p.n").alias("m"), F.col("p.root").alias("pivot_root"))
+            chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p")).select("key", "p.*")
         else:
-            chosen = now.withColumn("nth", order).where(F.col("nth") <= pivots).select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("pivot_root"))
-        chosen = common.materialize(chosen, "pivots")
+            order = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(pivots)), "id"))
+            chosen = active.withColumn("nth", order).where(F.col("nth") <= pivots)
+        chosen = keep(chosen.select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("pivot_root")), "pivots")
         alike = (F.col("root") != F.col("pivot_root")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-        pairs = now.join(chosen, "key").where(alike).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = common.materialize(pairs, "pairs")
-        checked = pairs if checked is None else checked.union(pairs)
-        links = common.materialize(_confirm(pairs, sets, percent), "confirmed")
-        if not links.isEmpty():
+        pairs = active.join(small(chosen), "key").where(alike).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+        for done in checked or ():
+            pairs = pairs.join(small(done), ["a", "b"], "left_anti")
+        pairs = keep(pairs.distinct(), "pairs")
+        checked = [*(checked or ()), pairs]
+        left = active.join(small(chosen).select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti")
+        links = None if pairs.isEmpty() else keep(_confirm(pairs, sets, percent), "confirmed")
+        if links is not None and not links.isEmpty():
             between = links
             for end in ("a", "b"):
-                between = between.join(roots.select(F.col("id").alias(end), F.col("root").alias(f"root_{end}")), end)
+                between = between.join(small(roots).select(F.col("id").alias(end), F.col("root").alias(f"root_{end}")), end)
             found = graph.components(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-            moved = roots.join(found.select(F.col("id").alias("root"), F.col("root").alias("new")), "root", "left")
-            roots = common.materialize(moved.select("id", F.coalesce("new", "root").alias("root")), "roots")
-        left = active.join(chosen.select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti")
-        spread = left.join(roots, "id").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        active = common.materialize(left.join(spread, "key", "left_semi"), "active")
+            moved = small(found).select(F.col("id").alias("root"), F.col("root").alias("new"))
+            roots = keep(roots.join(moved, "root", "left").select("id", F.coalesce("new", "root").alias("root")), "roots")
+            left = left.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"))
+        spread = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        active = keep(left.join(small(keep(spread, "spread")), "key", "left_semi").select("key", "id", "n", "root"), "active")
         if active.isEmpty():
             return roots
-        pivots *= 2
+        pivots *= 16
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -204,9 +204,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = common.materialize(nodes, "nodes")
     entries = nodes.select("id", "n", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
-    members = common.materialize(entries.join(shared, "key").select("key", "id", "n").distinct(), "buckets")
+    members = common.materialize(entries.join(shared, "key").select("key", "id", "n"), "buckets")
     roots = _links(docs, members, percent) if not members.isEmpty() else members.select("id", F.col("id").alias("root"))
     named_roots = nodes.join(roots, "id", "left").where("copies > 1 or root is not null").select("fingerprint", F.coalesce("root", "id").alias("root"))
+    named_roots = common.small(common.materialize(named_roots, "named-roots"))
     out = rows.select("doc_id", "n_shingles", "fingerprint").join(named_roots, "fingerprint", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -214,5 +215,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that are kept, all columns as they were; of rows that share an id and are dropped as copies, none stays."""
-    gone = near_duplicates(docs, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = common.materialize(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct(), "copies")
+    return docs.join(common.small(gone), "doc_id", "left_anti").select(*docs.columns)
