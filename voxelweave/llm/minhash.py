@@ -160,20 +160,59 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "first", "second").mapInArrow(run, "a bigint, b bigint")
 
 
+def _shared_counts(sets: DataFrame, active: DataFrame) -> DataFrame:
+    """(id, most): how many of a document's shingles some other active document has as well."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for i, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes = np.frombuffer(h, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), i)), pa.array(hashes)], ["id", "hash"])
+
+    ids = common.materialize(active.select("id").distinct(), "active-ids")
+    rows = sets.join(common.small(ids), "id", "left_semi").select("id", "hashes").mapInArrow(run, "id bigint, hash bigint")
+    rows = common.materialize(rows, "active-shingles")
+    again = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash")
+    return common.materialize(rows.join(again, "hash", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("most")), "shared-counts")
+
+
+def _without_partners(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Active members that can still have a link in their bucket, with most, a bound of their intersections.
+
+    What a text shares with another is at most what it shares with all others together; with that
+    and the smallest size in the bucket, most texts that are merely similar drop out uncompared.
+    """
+    counts = common.small(_shared_counts(sets, active))
+    bounded = active.drop("most").join(counts, "id")
+    least = bounded.groupBy("key").agg(F.min("n").alias("least_n"), F.max("most").alias("largest"))
+    common_ = F.least("most", "largest")
+    possible = 100 * common_ >= percent * (F.col("n") + F.greatest("least_n", common_) - common_)
+    left = bounded.join(common.small(common.materialize(least, "bounds")), "key").where(possible)
+    return left.select("key", "id", "n", "root", "most")
+
+
+def _unfinished(active: DataFrame) -> DataFrame:
+    """The members of buckets that span several components."""
+    spread = active.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    spread = common.small(common.materialize(spread, "spread"))
+    return common.materialize(active.join(spread, "key", "left_semi").select("key", "id", "n", "root", "most"), "active")
+
+
 def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(id, root) of all candidates. members: (key, id, n), the buckets of two and more."""
     small, keep = common.small, common.materialize
     roots = keep(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
     sets = keep(_full_sets(docs, roots), "sets")
-    active, checked, pivots = members.withColumn("root", F.col("id")), None, 1
+    active, checked, pivots = members.withColumns({"root": F.col("id"), "most": F.col("n")}), None, 1
     while True:
         if pivots == 1:  # the smallest of each bucket, without a window over it
-            chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p")).select("key", "p.*")
+            chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root", "most")).alias("p")).select("key", "p.*")
         else:
             order = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(pivots)), "id"))
             chosen = active.withColumn("nth", order).where(F.col("nth") <= pivots)
-        chosen = keep(chosen.select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("pivot_root")), "pivots")
-        alike = (F.col("root") != F.col("pivot_root")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        chosen = keep(chosen.select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("pivot_root"), F.col("most").alias("pivot_most")), "pivots")
+        shared = F.least("most", "pivot_most")
+        alike = (F.col("root") != F.col("pivot_root")) & (100 * shared >= percent * (F.col("n") + F.col("m") - shared))
         pairs = active.join(small(chosen), "key").where(alike).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
         for done in checked or ():
             pairs = pairs.join(small(done), ["a", "b"], "left_anti")
@@ -188,9 +227,10 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
             found = graph.components(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
             moved = small(found).select(F.col("id").alias("root"), F.col("root").alias("new"))
             roots = keep(roots.join(moved, "root", "left").select("id", F.coalesce("new", "root").alias("root")), "roots")
-            left = left.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"))
-        spread = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        active = keep(left.join(small(keep(spread, "spread")), "key", "left_semi").select("key", "id", "n", "root"), "active")
+            left = left.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"), "most")
+        active = _unfinished(left)
+        if pivots == 1 and not active.isEmpty():
+            active = _unfinished(_without_partners(active, sets, percent))
         if active.isEmpty():
             return roots
         pivots *= 16
