@@ -75,6 +75,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns _c0, _c1, ..., and the new name of each: for joins that names in df must not disturb."""
+    return df.toDF(*(f"_c{i}" for i in range(len(df.columns)))), {n: f"_c{i}" for i, n in enumerate(df.columns)}
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Rows whose crc32 of the id as text is divisible by folds; no id: not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))

@@ -256,4 +256,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that are kept, all columns as they were; of rows that share an id and are dropped as copies, none stays."""
     gone = common.materialize(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(common.small(gone), "doc_id", "left_anti").select(*docs.columns)
+    rows, name = common.positional(docs)
+    gone = common.small(gone).select(F.col("doc_id").alias(name["doc_id"]))
+    return rows.join(gone, name["doc_id"], "left_anti").select(*name.values()).toDF(*docs.columns)

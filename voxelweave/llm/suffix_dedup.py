@@ -67,10 +67,10 @@ def chunks(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with a key of their own: id and a checksum of the text."""
-    doc = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63) + 1))
-    text = F.coalesce("text", F.lit(""))
+    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63) + 1))
+    text = F.coalesce(text, F.lit(""))
     return docs.withColumns({"doc": doc, "mark": (F.crc32(text.cast("binary")) - 2**31).cast("int"), "body": text.cast("binary")})
 
 
@@ -240,7 +240,8 @@ def remove(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataFrame:
     """
     found = spans(docs, length, **limits)
     names = docs.columns
-    rows = _keyed(docs).drop("body").join(found, ["doc", "mark"], "left").select(*names, "spans")
+    rows, name = common.positional(docs)
+    rows = _keyed(rows, name["doc_id"], name["text"]).drop("body").join(found, ["doc", "mark"], "left").select(*name.values(), "spans")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -256,9 +257,9 @@ def remove(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataFrame:
                 if not s or texts[i]:
                     keep.append(i)
             cols = list(batch.columns)[: len(names)]
-            cols[at] = pa.array(texts, batch.schema.field("text").type)
+            cols[at] = pa.array(texts, batch.schema.field(at).type)
             if chars:
-                cols[names.index("n_chars")] = pa.array(chars, batch.schema.field("n_chars").type)
+                cols[names.index("n_chars")] = pa.array(chars, batch.schema.field(names.index("n_chars")).type)
             yield pa.RecordBatch.from_arrays(cols, names).take(pa.array(keep, pa.int64()))
 
     return rows.mapInArrow(run, docs.schema)
