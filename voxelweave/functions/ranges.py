@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def _bound(part: Column, size: Column, default: Column) -> Column:
     n = F.trim(part).try_cast("int")
     wrapped = F.when(n < 0, n + size).otherwise(n)
-    return F.when(F.trim(part) == "", default).otherwise(F.least(F.greatest(wrapped, F.lit(0)), size))
+    return F.when(F.trim(part) == "", default).when(n.isNotNull(), F.least(F.greatest(wrapped, F.lit(0)), size))
 
 
 def crop_range(raw: Column, size: Column) -> Column:
