@@ -48,7 +48,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def small(table: DataFrame, limit: int = 8 << 20) -> DataFrame:
+def small(table: DataFrame, limit: int = 2 << 20) -> DataFrame:
     """A table of ``materialize``, with a broadcast hint if its files are within limit bytes; else a shuffled join does."""
     spark = table.sparkSession
     jpath = spark._jvm.org.apache.hadoop.fs.Path(table._voxelweave_path)
@@ -61,6 +61,11 @@ def release(*tables: DataFrame) -> None:
     spark = tables[0].sparkSession
     for t in tables:
         drop_path(spark, t._voxelweave_path)
+    forget(spark)
+
+
+def forget(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffles and broadcasts that nothing refers to any more."""
     gc.collect()
     spark._jvm.System.gc()
 

@@ -172,6 +172,7 @@ def _shared_counts(sets: DataFrame, active: DataFrame) -> DataFrame:
     ids = common.materialize(active.select("id").distinct(), "active-ids")
     rows = sets.join(common.small(ids), "id", "left_semi").select("id", "hashes").mapInArrow(run, "id bigint, hash bigint")
     rows = common.materialize(rows, "active-shingles")
+    common.forget(sets.sparkSession)
     again = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash")
     return common.materialize(rows.join(again, "hash", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("most")), "shared-counts")
 
@@ -203,6 +204,7 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     small, keep = common.small, common.materialize
     roots = keep(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
     sets = keep(_full_sets(docs, roots), "sets")
+    common.forget(docs.sparkSession)
     active, checked, pivots = members.withColumns({"root": F.col("id"), "most": F.col("n")}), None, 1
     while True:
         if pivots == 1:  # the smallest of each bucket, without a window over it
@@ -234,6 +236,8 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         if active.isEmpty():
             return roots
         pivots *= 16
+        del chosen, pairs, left, links
+        common.forget(docs.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
