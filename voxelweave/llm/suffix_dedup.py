@@ -37,8 +37,8 @@ from .suffix_sort import repeated_starts
 
 LENGTH = 200
 GRAM = 64
-BLOCK_BYTES = 1 << 20
-FILE_CHUNKS = 6000
+BLOCK_BYTES = 1 << 19
+FILE_CHUNKS = 2500
 #: Windows hashed at once, so that a place fits 16 bits.
 _SLICE = 60_000
 CHUNKS = "doc bigint, mark int, file bigint, content bigint, start int, size int"
