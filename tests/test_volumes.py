@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from voxelweave import sinks
 from voxelweave.operators import diff, events, frames, slices, transform
 from voxelweave.operators import components as comp
-from voxelweave.plans import compression, tracking
+from voxelweave.plans import compression, screening, tracking
 from voxelweave.sources import files, volumes
 
 DATA = "/root/testdata/sf0.01"
@@ -144,6 +144,28 @@ def test_result_tables(spark, vectors, tmp_path):
     assert "max_events" in sinks.with_declared(pairs, ["max_events"]).columns
 
 
+def test_screening(spark, vectors):
+    some = vectors.where("seq < 3")
+    raw = screening.raw_frames(some, (10, 4, 3))
+    assert raw.count() == 3 * (64 + 160 + 160) and raw.agg(F.min("v"), F.max("v")).head()[:] == (0.0, 1.0)
+    both = screening.comparison_frames(some, (10, 4, 3), 0.1, fast=True)
+    assert both.groupBy("plane", "seq").count().collect() and both.where("plane = 'xy'").count() == 2 * 8 * 20
+    pairs = diff.tile_diffs(some).select("series", "seq", "prev_seq")
+    assert sorted(r.label for r in screening.labels(pairs).collect()) == ["#0001 prev #0000", "#0002 prev #0001"]
+
+
+def test_choosing_datasets_and_files(spark):
+    entries = spark.createDataFrame([("f", "/a", "f", [2, 3, 4], {"interpretation": "image"}), ("f", "/b", "f", [2, 3, 4], {}), ("g", "/z/data", "u", [2, 2, 2, 2], {})], "file string, name string, kind string, shape array<int>, attrs map<string,string>")
+    assert files.chosen_dataset(entries.where("file = 'f'"), "/b").head().name == "/b"
+    with pytest.raises(Exception, match="no volume /b in g"):
+        files.chosen_dataset(entries, "/b").collect()
+    assert {r.file: r.name for r in files.image_stacks(entries).collect()} == {"f": "/a", "g": "/z/data"}
+    paths = spark.createDataFrame([("/d/one/one.h5",), ("/d/one/a.h5",), ("/d/two/c.h5",), ("/d/two/b.h5",), ("/d/two/x.txt",)], "path string")
+    assert {r.root: r.name for r in files.master_files(paths).collect()} == {"/d/one": "one.h5", "/d/two": "b.h5"}
+    rows = spark.createDataFrame([("/c/x/1.hdf5", 1, True), ("/c/x/2.hdf5", 5, True), ("/c/x/3.hdf5", 9, False)], "path string, mtime int, valid boolean")
+    assert files.target(rows, "/c/x").head().path == "/c/x/2.hdf5" and files.target(rows, "/c/x/1.hdf5").head().path == "/c/x/1.hdf5"
+
+
 def test_files(spark, tmp_path):
     for name in ("col/col_left_0002/reconstructed_volumes/a/v.hdf5", "col/col_left_0002/reconstructed_volumes/v_histogram.hdf5", "col/x/other.hdf5", "col/col_left/reconstructed_volumes/w.hdf5"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)

@@ -63,6 +63,11 @@ _MASKED = f"CASE WHEN abs({_CLIPPED}) < CAST(0.05 AS FLOAT) THEN 0 ELSE {_CLIPPE
 _Z, _Y, _X = CENTRE
 
 
+_PLANES = f"""{_VOXELS},
+planes AS (SELECT series, seq, 'xy' AS plane, y, x, CAST(v AS DOUBLE) AS v FROM vox WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, v FROM vox WHERE y = {_Y} UNION ALL SELECT series, seq, 'yz', z, y, v FROM vox WHERE x = {_X})
+"""
+
+
 def _r(*cols: str, digits: int = 6) -> str:
     return ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c.split('.')[-1]}" for c in cols)
 
@@ -134,6 +139,7 @@ ORACLE: dict[str, str] = {
     "frame_pairs": f"""{_DIFFS}, wide AS (SELECT DISTINCT seq FROM raw), grid AS (SELECT seq, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x FROM wide, range(8) a(y), range(20) b(x))
         SELECT g.seq, g.y, g.x, round(CASE WHEN g.x < 8 THEN CAST(v.v AS DOUBLE) WHEN g.x < 12 THEN 1.0 ELSE coalesce(CAST(d.d AS DOUBLE), 0.0) END, 6) AS v
         FROM grid g LEFT JOIN vox v ON v.seq = g.seq AND v.z = 10 AND v.y = g.y AND v.x = g.x LEFT JOIN raw d ON d.seq = g.seq AND d.z = 10 AND d.y = g.y AND d.y < 6 AND d.x = g.x - 12""",
+    "screening_frames": f"""{_PLANES} SELECT series, plane, seq, y, x, round(least(greatest((v - CAST(-0.3 AS DOUBLE)) / (CAST(0.3 AS DOUBLE) - CAST(-0.3 AS DOUBLE)), 0), 1), 6) AS v FROM planes""",
     "stage_positions": """SELECT DISTINCT l_partkey, round(-1 * (l_partkey - CAST(2016.0 AS DOUBLE) / 2) * CAST(0.65 AS DOUBLE) / 1000, 6) AS mm, round(CAST(l_partkey AS DOUBLE) / 2 * CAST(0.8 AS DOUBLE) * CAST(0.65 AS DOUBLE) / 1000, 6) AS half_mm,
         round(fmod(fmod(l_partkey * CAST(-7.5 AS DOUBLE), 360) + 360, 360), 6) AS angle FROM lineitem""",
 }

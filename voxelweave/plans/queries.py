@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import images
 from ..functions import names, ranges, scalars
 from ..operators import catalog, components, diff, events, frames, projections, slices, transform
 from ..sources import files, volumes
 from ..streaming import follow
-from . import compression, tracking
+from . import compression, screening, tracking
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SKIP, START, STOP = "3,7-9,12", 1, 15
@@ -383,6 +384,22 @@ def frame_pairs(spark, sf):
     return _rounded(frames.side_by_side(left, right, ["seq"]))
 
 
+@query
+def screening_frames(spark, sf):
+    return _rounded(screening.raw_frames(_tiles(spark, sf), CENTRE, low=-0.3, high=0.3))
+
+
+@query
+def comparison_frames(spark, sf):
+    return _rounded(screening.comparison_frames(_tiles(spark, sf), CENTRE, 0.1, span=0.5))
+
+
+@query
+def screening_gifs(spark, sf):
+    frames_ = screening.raw_frames(_tiles(spark, sf), CENTRE, low=-0.3, high=0.3)
+    return images.encode_gif(frames_, ["series", "plane"], "seq")
+
+
 @query
 def stage_positions(spark, sf):
     """Pixels to millimetres, and angles within a turn."""

@@ -30,6 +30,38 @@ def candidate_datasets(entries: DataFrame, allow_singleton: bool = False) -> Dat
     return entries.where(good).groupBy("file").agg(F.min("name").alias("name"))
 
 
+def image_stacks(entries: DataFrame) -> DataFrame:
+    """Of catalog entries with attributes (file, name, shape, attrs): image stacks, first by name per file."""
+    good = (F.size("shape") >= 3) & ((F.col("attrs")["interpretation"] == "image") | F.endswith("name", F.lit("/data")))
+    return entries.where(good).groupBy("file").agg(F.min("name").alias("name"))
+
+
+def chosen_dataset(entries: DataFrame, explicit: str | None = None, allow_singleton: bool = False) -> DataFrame:
+    """The dataset to read of each file: the named one, which has to be a volume, or the first candidate."""
+    if explicit is None:
+        return candidate_datasets(entries, allow_singleton)
+    fine = candidate_datasets(entries.where(F.col("name") == explicit), allow_singleton).select("file", F.lit(True).alias("fine"))
+    rows = entries.select("file").distinct().join(fine, "file", "left")
+    name = F.when(F.col("fine"), F.lit(explicit)).otherwise(F.raise_error(F.concat(F.lit(f"no volume {explicit} in "), "file")).cast("string"))
+    return rows.select("file", name.alias("name"))
+
+
+def master_files(files: DataFrame) -> DataFrame:
+    """The master file of each directory of .h5 files: the one named like the directory, else the first."""
+    root, name = F.regexp_extract("path", "^(.*)/[^/]+$", 1), F.regexp_extract("path", "([^/]+)$", 1)
+    rows = files.where(F.endswith("path", F.lit(".h5"))).select(root.alias("root"), name.alias("name"))
+    own = F.concat(F.regexp_extract("root", "([^/]+)$", 1), F.lit(".h5"))
+    return rows.groupBy("root").agg(F.coalesce(F.max(F.when(F.col("name") == own, F.col("name"))), F.min("name")).alias("name"))
+
+
+def target(files: DataFrame, path: str) -> DataFrame:
+    """The catalog row that a path of a file or a dataset directory means: the file itself, else the newest valid one."""
+    own = files.where(F.col("path") == path)
+    below = files.where(F.startswith("path", F.lit(path.rstrip("/") + "/")) & F.col("valid"))
+    both = own.withColumn("order", F.lit(1)).unionByName(below.withColumn("order", F.lit(0)))
+    return both.orderBy(F.desc("order"), F.desc("mtime"), F.desc("path")).limit(1).drop("order")
+
+
 def catalog_of_events(events: DataFrame, per_dataset: int = 3) -> DataFrame:
     """A reconstruction-file catalog from an event table: users are collections, event types positions."""
     collection = F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string"))
