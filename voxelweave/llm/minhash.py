@@ -9,10 +9,12 @@ sets, and groups are the connected components of the links.
 
 With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with probability 2e-7.
 
-Large groups: equal sets are one node from the start. Within a bucket, pivots are compared with the
-members of other components only, and leave the bucket; a bucket whose remaining members are one
-component is finished. That never emits all pairs of a group of copies, and yet every candidate
-pair is either compared or already connected. Each round takes 16 times the pivots of the last.
+Large groups: equal sets are one node from the start. In every bucket the smallest id, and in buckets
+that still span several components one more, are compared with the members of other components. What
+remains is settled around the first of these, the hub: a pair can only be linked if its parts inside
+the hub's set are large enough, or if it shares shingles outside the hub's set, which an equi join on
+those finds. So no pairs of a group of copies are listed, and yet every candidate pair is either
+compared, ruled out by a bound, or already connected.
 
 Defined results: null text, or text without words, has an empty set and no links; fewer words than
 a shingle give one shingle of all words; rows with a null id are linked with nothing and kept; rows
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, graph
@@ -199,45 +201,95 @@ def _unfinished(active: DataFrame) -> DataFrame:
     return common.materialize(active.join(spread, "key", "left_semi").select("key", "id", "n", "root", "most"), "active")
 
 
+def _ball_pairs(active: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of active members of different components around one hub that can be linked.
+
+    What x and y share lies in the hub h or outside it: |x & y| <= min(|x & h|, |y & h|) + shared,
+    with shared = |(x - h) & (y - h)|. Where the first term is not enough, x and y have a shingle
+    outside the hub in common, so an equi join on those finds the pair. One of the two is not in the
+    hub's component.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            inside, outside = [], []
+            for x, h in zip(batch.column(4), batch.column(5), strict=True):
+                x, h = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
+                rest = x[~np.isin(x, h, assume_unique=True)]
+                inside.append(len(x) - len(rest))
+                outside.append(rest.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(inside, pa.int64()), pa.array(outside, pa.list_(pa.int64()))], ["hub", "id", "n", "root", "inside", "outside"])
+
+    ball = active.join(hubs, "key").groupBy("hub", "id").agg(F.min("n").alias("n"), F.min("root").alias("root"))
+    ball = common.small(common.materialize(ball, "balls"))
+    own = sets.select("id", F.col("hashes").alias("own")).join(ball, "id")
+    both = own.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub")
+    both = both.select("hub", "id", "n", "root", "own", "hub_hashes").mapInArrow(run, "hub bigint, id bigint, n bigint, root bigint, inside bigint, outside array<bigint>")
+    of_hub = common.small(roots).select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
+    rows = common.materialize(both.join(of_hub, "hub"), "ball-members")
+    bounds = common.small(common.materialize(rows.groupBy("hub").agg(F.min("n").alias("least_n"), F.max("inside").alias("most_inside")), "ball-bounds"))
+
+    def enough(shared) -> Column:
+        return (100 + percent) * (F.least("inside", "other_inside") + shared) >= percent * (F.col("n") + F.col("other_n"))
+
+    names = {"id": "other", "n": "other_n", "root": "other_root", "inside": "other_inside"}
+    apart = rows.where("root <> hub_root")
+    differ = F.col("root") != F.col("other_root")
+    # without shingles of their own: only members that could be linked to the smallest of the ball
+    could = (100 + percent) * F.least("inside", "most_inside") >= percent * (F.col("n") + F.col("least_n"))
+    few = rows.join(bounds, "hub").where(could).select("hub", "id", "n", "root", "inside", "hub_root")
+    near = few.where("root <> hub_root").join(few.select("hub", *(F.col(c).alias(o) for c, o in names.items())), "hub").where(differ & enough(F.lit(0)))
+    left = apart.select("hub", "id", "n", "root", "inside", F.explode("outside").alias("shingle"))
+    right = rows.select("hub", *(F.col(c).alias(o) for c, o in names.items()), F.explode("outside").alias("shingle"))
+    with_own = left.join(right, ["hub", "shingle"]).where(differ)
+    counted = with_own.groupBy("hub", "id", "other").agg(F.count(F.lit(1)).alias("shared"), *(F.min(c).alias(c) for c in ("n", "inside", "other_n", "other_inside")))
+    found = near.select("id", "other").union(counted.where(enough(F.col("shared"))).select("id", "other"))
+    return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """roots after the links, and (root, new) of the roots that moved, if any link was there."""
+    if links.isEmpty():
+        return roots, None
+    between = links
+    for end in ("a", "b"):
+        between = between.join(common.small(roots).select(F.col("id").alias(end), F.col("root").alias(f"root_{end}")), end)
+    found = graph.components(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    moved = common.small(found).select(F.col("id").alias("root"), F.col("root").alias("new"))
+    return common.materialize(roots.join(moved, "root", "left").select("id", F.coalesce("new", "root").alias("root")), "roots"), moved
+
+
 def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(id, root) of all candidates. members: (key, id, n), the buckets of two and more."""
-    small, keep = common.small, common.materialize
+    keep, spark = common.materialize, docs.sparkSession
     roots = keep(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
     sets = keep(_full_sets(docs, roots), "sets")
-    common.forget(docs.sparkSession)
-    active, checked, pivots = members.withColumns({"root": F.col("id"), "most": F.col("n")}), None, 1
-    while True:
-        if pivots == 1:  # the smallest of each bucket, without a window over it
-            chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root", "most")).alias("p")).select("key", "p.*")
+    common.forget(spark)
+    active = members.withColumns({"root": F.col("id"), "most": F.col("n")})
+    hubs = None
+    for turn in (0, 1):
+        if hubs is None:
+            chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p"))
         else:
-            order = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(pivots)), "id"))
-            chosen = active.withColumn("nth", order).where(F.col("nth") <= pivots)
-        chosen = keep(chosen.select("key", F.col("id").alias("pivot"), F.col("n").alias("m"), F.col("root").alias("pivot_root"), F.col("most").alias("pivot_most")), "pivots")
-        shared = F.least("most", "pivot_most")
-        alike = (F.col("root") != F.col("pivot_root")) & (100 * shared >= percent * (F.col("n") + F.col("m") - shared))
-        pairs = active.join(small(chosen), "key").where(alike).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-        for done in checked or ():
-            pairs = pairs.join(small(done), ["a", "b"], "left_anti")
+            chosen = active.groupBy("key").agg(F.min_by(F.struct("id", "n", "root"), F.struct(F.xxhash64("id"), "id")).alias("p"))
+        chosen = keep(chosen.select("key", F.col("p.id").alias("hub"), F.col("p.n").alias("m"), F.col("p.root").alias("hub_root")), "pivots")
+        alike = (F.col("root") != F.col("hub_root")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        pairs = active.join(common.small(chosen), "key").where(alike).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
         pairs = keep(pairs.distinct(), "pairs")
-        checked = [*(checked or ()), pairs]
-        left = active.join(small(chosen).select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti")
-        links = None if pairs.isEmpty() else keep(_confirm(pairs, sets, percent), "confirmed")
-        if links is not None and not links.isEmpty():
-            between = links
-            for end in ("a", "b"):
-                between = between.join(small(roots).select(F.col("id").alias(end), F.col("root").alias(f"root_{end}")), end)
-            found = graph.components(between.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-            moved = small(found).select(F.col("id").alias("root"), F.col("root").alias("new"))
-            roots = keep(roots.join(moved, "root", "left").select("id", F.coalesce("new", "root").alias("root")), "roots")
-            left = left.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"), "most")
-        active = _unfinished(left)
-        if pivots == 1 and not active.isEmpty():
+        roots, moved = _merged(roots, keep(_confirm(pairs, sets, percent), "confirmed"))
+        active = active.join(common.small(chosen).select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        if moved is not None:
+            active = active.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"), "most")
+        active = _unfinished(active)
+        if not turn and not active.isEmpty():
+            hubs = chosen
             active = _unfinished(_without_partners(active, sets, percent))
+        del chosen, pairs, moved
+        common.forget(spark)
         if active.isEmpty():
             return roots
-        pivots *= 16
-        del chosen, pairs, left, links
-        common.forget(docs.sparkSession)
+    pairs = keep(_ball_pairs(active, hubs.select("key", "hub"), roots, sets, percent), "ball-pairs")
+    return _merged(roots, keep(_confirm(pairs, sets, percent), "confirmed"))[0]
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
