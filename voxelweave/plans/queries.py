@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import images
 from ..functions import names, ranges, scalars
 from ..operators import catalog, components, diff, events, frames, projections, slices, transform
+from ..shipping import ship
 from ..sources import files, volumes
 from ..streaming import follow
 from . import compression, screening, tracking
@@ -21,8 +23,12 @@ CLIP = (-0.3, 0.3)
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf)
+
+    QUERIES[f.__name__] = functools.wraps(f)(run)
+    return QUERIES[f.__name__]
 
 
 def _tiles(spark: SparkSession, sf: str) -> DataFrame:
