@@ -9,8 +9,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -72,6 +75,7 @@ def forget(spark: SparkSession) -> None:
 
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns; a column that differs from another only in case is no ambiguity."""
+    ship(df.sparkSession)  # every operator starts here
     exact = {c: i for i, c in reversed(list(enumerate(df.columns)))}
     lower = [c.lower() for c in df.columns]
     if len(set(lower)) < len(lower):
