@@ -140,6 +140,14 @@ ORACLE: dict[str, str] = {
         SELECT g.seq, g.y, g.x, round(CASE WHEN g.x < 8 THEN CAST(v.v AS DOUBLE) WHEN g.x < 12 THEN 1.0 ELSE coalesce(CAST(d.d AS DOUBLE), 0.0) END, 6) AS v
         FROM grid g LEFT JOIN vox v ON v.seq = g.seq AND v.z = 10 AND v.y = g.y AND v.x = g.x LEFT JOIN raw d ON d.seq = g.seq AND d.z = 10 AND d.y = g.y AND d.y < 6 AND d.x = g.x - 12""",
     "screening_frames": f"""{_PLANES} SELECT series, plane, seq, y, x, round(least(greatest((v - CAST(-0.3 AS DOUBLE)) / (CAST(0.3 AS DOUBLE) - CAST(-0.3 AS DOUBLE)), 0), 1), 6) AS v FROM planes""",
+    "comparison_frames": f"""{_DIFFS}, dv AS (SELECT series, seq, z, y, x, sign(d) * greatest(abs(CAST(d AS DOUBLE)) - CAST(0.1 AS DOUBLE), 0) AS v FROM raw),
+        lp AS (SELECT series, seq, 'xy' AS plane, y, x, CAST(v AS DOUBLE) AS v FROM vox WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, v FROM vox WHERE y = {_Y} UNION ALL SELECT series, seq, 'yz', z, y, v FROM vox WHERE x = {_X}),
+        rp AS (SELECT series, seq, 'xy' AS plane, y, x, v FROM dv WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, v FROM dv WHERE y = {_Y} UNION ALL SELECT series, seq, 'yz', z, y, v FROM dv WHERE x = {_X}),
+        lim AS (SELECT series, plane, seq, quantile_cont(v, 0.01) AS low, quantile_cont(v, 0.99) AS high FROM lp GROUP BY 1, 2, 3),
+        out AS (SELECT series, plane, seq, y, x, least(greatest((v - low) / (high - low), 0), 1) AS v FROM lp JOIN lim USING (series, plane, seq) WHERE seq > 0
+          UNION ALL SELECT series, plane, seq, y, x + 12, least(greatest(v + CAST(0.5 AS DOUBLE), 0), 1) FROM rp
+          UNION ALL SELECT DISTINCT series, plane, seq, y, CAST(8 + g AS INTEGER), CAST(1.0 AS DOUBLE) FROM rp, range(4) t(g))
+        SELECT series, plane, seq, y, x, round(v, 6) AS v FROM out""",
     "stage_positions": """SELECT DISTINCT l_partkey, round(-1 * (l_partkey - CAST(2016.0 AS DOUBLE) / 2) * CAST(0.65 AS DOUBLE) / 1000, 6) AS mm, round(CAST(l_partkey AS DOUBLE) / 2 * CAST(0.8 AS DOUBLE) * CAST(0.65 AS DOUBLE) / 1000, 6) AS half_mm,
         round(fmod(fmod(l_partkey * CAST(-7.5 AS DOUBLE), 360) + 360, 360), 6) AS angle FROM lineitem""",
 }
