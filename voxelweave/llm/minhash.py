@@ -11,9 +11,9 @@ With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with p
 
 Large groups: equal sets are one node from the start. In every bucket the smallest id, and in buckets
 that still span several components one more, are compared with the members of other components. What
-remains is settled around the first of these, the hub: a pair can only be linked if its parts inside
-the hub's set are large enough, or if it shares shingles outside the hub's set, which an equi join on
-those finds. So no pairs of a group of copies are listed, and yet every candidate pair is either
+remains is settled around a hub, the document that names the bucket's most common component: a pair
+can only be linked if its parts inside the hub's set are large enough, or if it shares shingles
+outside the hub's set, which an equi join on those finds. So no pairs of a group of copies are listed, and yet every candidate pair is either
 compared, ruled out by a bound, or already connected.
 
 Defined results: null text, or text without words, has an empty set and no links; fewer words than
@@ -201,10 +201,10 @@ def _unfinished(active: DataFrame) -> DataFrame:
     return common.materialize(active.join(spread, "key", "left_semi").select("key", "id", "n", "root", "most"), "active")
 
 
-def _ball_pairs(active: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of active members of different components around one hub that can be linked.
+def _ball_pairs(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of active members of different components in a bucket that can be linked.
 
-    What x and y share lies in the hub h or outside it: |x & y| <= min(|x & h|, |y & h|) + shared,
+    A bucket's hub is the document that names its most common component. What x and y share lies in the hub h or outside it: |x & y| <= min(|x & h|, |y & h|) + shared,
     with shared = |(x - h) & (y - h)|. Where the first term is not enough, x and y have a shingle
     outside the hub in common, so an equi join on those finds the pair. One of the two is not in the
     hub's component.
@@ -220,25 +220,25 @@ def _ball_pairs(active: DataFrame, hubs: DataFrame, roots: DataFrame, sets: Data
                 outside.append(rest.view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(inside, pa.int64()), pa.array(outside, pa.list_(pa.int64()))], ["hub", "id", "n", "root", "inside", "outside"])
 
-    ball = active.join(hubs, "key").groupBy("hub", "id").agg(F.min("n").alias("n"), F.min("root").alias("root"))
+    common_root = active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", -F.col("root"))).alias("hub"))
+    ball = active.join(common_root, "key").groupBy("hub", "id").agg(F.min("n").alias("n"), F.min("root").alias("root"))
     ball = common.small(common.materialize(ball, "balls"))
     own = sets.select("id", F.col("hashes").alias("own")).join(ball, "id")
     both = own.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub")
     both = both.select("hub", "id", "n", "root", "own", "hub_hashes").mapInArrow(run, "hub bigint, id bigint, n bigint, root bigint, inside bigint, outside array<bigint>")
-    of_hub = common.small(roots).select(F.col("id").alias("hub"), F.col("root").alias("hub_root"))
-    rows = common.materialize(both.join(of_hub, "hub"), "ball-members")
+    rows = common.materialize(both, "ball-members")
     bounds = common.small(common.materialize(rows.groupBy("hub").agg(F.min("n").alias("least_n"), F.max("inside").alias("most_inside")), "ball-bounds"))
 
     def enough(shared) -> Column:
         return (100 + percent) * (F.least("inside", "other_inside") + shared) >= percent * (F.col("n") + F.col("other_n"))
 
     names = {"id": "other", "n": "other_n", "root": "other_root", "inside": "other_inside"}
-    apart = rows.where("root <> hub_root")
+    apart = rows.where("root <> hub")
     differ = F.col("root") != F.col("other_root")
     # without shingles of their own: only members that could be linked to the smallest of the ball
     could = (100 + percent) * F.least("inside", "most_inside") >= percent * (F.col("n") + F.col("least_n"))
-    few = rows.join(bounds, "hub").where(could).select("hub", "id", "n", "root", "inside", "hub_root")
-    near = few.where("root <> hub_root").join(few.select("hub", *(F.col(c).alias(o) for c, o in names.items())), "hub").where(differ & enough(F.lit(0)))
+    few = rows.join(bounds, "hub").where(could).select("hub", "id", "n", "root", "inside")
+    near = few.where("root <> hub").join(few.select("hub", *(F.col(c).alias(o) for c, o in names.items())), "hub").where(differ & enough(F.lit(0)))
     left = apart.select("hub", "id", "n", "root", "inside", F.explode("outside").alias("shingle"))
     right = rows.select("hub", *(F.col(c).alias(o) for c, o in names.items()), F.explode("outside").alias("shingle"))
     with_own = left.join(right, ["hub", "shingle"]).where(differ)
@@ -266,9 +266,8 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     sets = keep(_full_sets(docs, roots), "sets")
     common.forget(spark)
     active = members.withColumns({"root": F.col("id"), "most": F.col("n")})
-    hubs = None
     for turn in (0, 1):
-        if hubs is None:
+        if not turn:
             chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p"))
         else:
             chosen = active.groupBy("key").agg(F.min_by(F.struct("id", "n", "root"), F.struct(F.xxhash64("id"), "id")).alias("p"))
@@ -282,13 +281,12 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
             active = active.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"), "most")
         active = _unfinished(active)
         if not turn and not active.isEmpty():
-            hubs = chosen
             active = _unfinished(_without_partners(active, sets, percent))
         del chosen, pairs, moved
         common.forget(spark)
         if active.isEmpty():
             return roots
-    pairs = keep(_ball_pairs(active, hubs.select("key", "hub"), roots, sets, percent), "ball-pairs")
+    pairs = keep(_ball_pairs(active, sets, percent), "ball-pairs")
     return _merged(roots, keep(_confirm(pairs, sets, percent), "confirmed"))[0]
 
 
