@@ -1,6 +1,7 @@
 """Registered queries against their SQL on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from voxelweave.llm.oracle import ORACLE
@@ -18,7 +19,7 @@ def duck():
 
 
 def rows(frame):
-    return sorted(str([None if v is None or v != v else int(v) if isinstance(v, float) and v.is_integer() else v for v in r]) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False))
+    return sorted(str([None if pd.isna(v) else int(v) if isinstance(v, float) and v.is_integer() else v for v in r]) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
