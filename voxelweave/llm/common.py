@@ -76,6 +76,7 @@ def forget(spark: SparkSession) -> None:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns; a column that differs from another only in case is no ambiguity."""
     ship(df.sparkSession)  # every operator starts here
+    bounded_batches(df.sparkSession)
     exact = {c: i for i, c in reversed(list(enumerate(df.columns)))}
     lower = [c.lower() for c in df.columns]
     if len(set(lower)) < len(lower):
@@ -84,6 +85,13 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of so many rows, if the session has Spark's default: rows here are whole documents."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, rows)
+
+
 def positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with columns _c0, _c1, ..., and the new name of each: for joins that names in df must not disturb."""
     return df.toDF(*(f"_c{i}" for i in range(len(df.columns)))), {n: f"_c{i}" for i, n in enumerate(df.columns)}
