@@ -1,10 +1,13 @@
 import math
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from voxelweave.llm import metric_search as M
+from voxelweave.llm.oracle import ORACLE
 
 SCHEMA = "vec_id bigint, embedding array<float>, Dim int, SCORE int"
 
@@ -31,6 +34,26 @@ def test_equals_brute_force(spark, spread):
     assert sorted(map(tuple, out)) == brute(rows, 10, 5)
 
 
+def test_repeated_ids_count_as_often_as_in_the_sql(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(c) for c in x]) for i, x in enumerate(np.float32(rng.normal(size=(300, 4))))]
+    rows += [(1, [9.0, 9.0, 9.0, 9.0])] * 2 + [(2, [-9.0, 9.0, -9.0, 9.0])] * 7  # more copies of a best match than places
+    rows += [rows[20]] * 12 + [rows[30], (30, [-1.0, 2.0, 0.5, 0.0])]  # repeated queries: the same vector, and another one
+    rows += [(40, [50.0, 50.0, 50.0, 50.0])] * 12  # own rows that score above all others
+    con = duckdb.connect()
+    frame = pd.DataFrame(rows, columns=["vec_id", "embedding"])
+    con.execute("create table embeddings as select vec_id::bigint as vec_id, embedding::float[] as embedding from frame")
+    want = con.sql(ORACLE["op5_metric_search"].replace("% 50", "% 10")).fetchall()
+    out = M.top_k(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA), F.col("vec_id") % 10 == 0, 5).collect()
+    assert sorted(map(tuple, out)) == sorted(want)
+
+
+def test_own_rows_take_no_place_in_a_leaf():
+    v = np.array([[9]] * 12 + [[k] for k in range(8)])
+    tree = M.MTree(np.array([0] * 12 + list(range(1, 9))), v, 81)
+    assert tree.search(v[0], 0, 5) == [(9 * k, k + 1) for k in (7, 6, 5, 4, 3)]
+
+
 def test_large_components(spark):
     rows = [(i, [float(np.float32((-1) ** i * 3e6 / (i + 1))), 1e6]) for i in range(40)]
     df = spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)

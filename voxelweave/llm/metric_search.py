@@ -11,7 +11,9 @@ compared. Scores themselves are exact integers. Blocks are bounded; queries stre
 Defined results: vectors that are null, empty or hold null or non-finite components take no part,
 neither do rows with a null id; vectors are compared with those of their own length; rows that
 share a query's id are its own; components beyond 2^31 (after scaling) are refused with an error.
-Ties go to the smaller id. An empty table gives no rows.
+Ties go to the smaller id. Rows count as often as they are there, as in the SQL: each copy of a row
+takes a rank of its own, and the rows of a repeated query id share one list of k, to which each
+brings its own candidates. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,16 +100,16 @@ class MTree:
                     rows = rows[pick]
                     if not leaf:
                         radius, children = radius[pick], children[pick]
+            if leaf and own is not None:  # however many they are, they take no place among the best
+                rows = rows[self.ids[rows] != own]
             if not len(rows):
                 continue
             self.compared += len(rows)
             if leaf:
                 scores = self.exact[rows] @ (q if self.exact is self.v else query)
-                good = np.arange(len(rows)) if len(rows) <= 2 * k else np.flatnonzero(scores >= np.partition(scores, len(rows) - k - 1)[len(rows) - k - 1])
+                good = np.arange(len(rows)) if len(rows) <= 2 * k else np.flatnonzero(scores >= np.partition(scores, len(rows) - k)[len(rows) - k])
                 for i in good[scores[good] >= best[0][0]] if len(best) == k else good:
                     entry = (int(scores[i]), -int(self.ids[rows[i]]))
-                    if -entry[1] == own:
-                        continue
                     if len(best) < k:
                         heapq.heappush(best, entry)
                     elif entry > best[0]:
@@ -167,6 +169,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
 
-    found = dealt.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint").distinct()
+    found = dealt.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
