@@ -54,6 +54,21 @@ def test_own_rows_take_no_place_in_a_leaf():
     assert tree.search(v[0], 0, 5) == [(9 * k, k + 1) for k in (7, 6, 5, 4, 3)]
 
 
+def test_blocks_of_small_tables_have_trees(spark):
+    rng = np.random.default_rng(11)
+    v = np.float32((rng.normal(size=(30, 1, 4)) * 9 + rng.normal(size=(30, 80, 4))).reshape(-1, 4))
+    rows = [(int(i), [float(c) for c in x]) for i, x in enumerate(v)]
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)
+    assert sorted(map(tuple, M.top_k(df, F.col("vec_id") % 50 == 0, 5).collect())) == brute(rows, 50, 5)
+    n = len(rows) // M.LEAST_BLOCKS
+    whole = np.floor(256 * v[rng.permutation(len(v))[:n]].astype(float)).astype(np.int64)
+    tree = M.MTree(np.arange(n), whole, int((whole * whole).sum(1).max()))
+    assert len(tree.pages) > 2
+    for k in range(n):
+        tree.search(whole[k], None, 5)
+    assert tree.compared < 0.75 * n * n
+
+
 def test_large_components(spark):
     rows = [(i, [float(np.float32((-1) ** i * 3e6 / (i + 1))), 1e6]) for i in range(40)]
     df = spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)

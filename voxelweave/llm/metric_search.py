@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: Entries of a leaf at most; in smaller blocks half their rows, so that these have trees too, down to LEAST_PAGE rows.
 PAGE = 1024
+LEAST_PAGE = 32
 FANOUT = 8
 BLOCK_ROWS = 50_000
 LEAST_BLOCKS = 12
@@ -46,6 +48,7 @@ class MTree:
         # a page: (is_leaf, row of each entry's object, its distance to the page's own object, radius, child page)
         self.pages: list[tuple] = []
         self.compared = 0
+        self.page = min(PAGE, max(LEAST_PAGE, len(ids) // 2))
         self.root = self._page(np.arange(len(ids)), None) if len(ids) else None
 
     def _distance(self, rows: np.ndarray, to: int) -> np.ndarray:
@@ -53,7 +56,7 @@ class MTree:
         return np.sqrt((d * d).sum(1) + (self.rest[rows] - self.rest[to]) ** 2)
 
     def _page(self, rows: np.ndarray, parent: int | None) -> int:
-        if len(rows) <= PAGE:
+        if len(rows) <= self.page:
             near = self._distance(rows, parent) if parent is not None else None
             self.pages.append((True, rows, near, None, None))
             return len(self.pages) - 1
@@ -69,7 +72,7 @@ class MTree:
             least = np.minimum(least, d)
             chosen.append(far)
         if len(chosen) == 1:  # all rows are the same point
-            parts = np.array_split(rows, min(FANOUT, -(-len(rows) // PAGE)))
+            parts = np.array_split(rows, min(FANOUT, -(-len(rows) // self.page)))
             objects = [int(p[0]) for p in parts]
         else:
             parts, objects = [rows[owner == k] for k in range(len(chosen))], chosen
