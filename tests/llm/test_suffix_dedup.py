@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxelweave.llm import suffix_dedup as S
 from voxelweave.llm.suffix_sort import repeated_starts, suffix_ranks
@@ -67,6 +68,15 @@ def test_spans_equal_brute_force(spark, limits):
     assert got == brute(rows, 200)
 
 
+@pytest.mark.parametrize("half", ["content", "content2"])
+def test_chunks_with_equal_64_bits_are_told_apart(spark, monkeypatch, half):
+    every = S._all_chunks
+    monkeypatch.setattr(S, "_all_chunks", lambda *a: every(*a).withColumn(half, F.lit(0).cast("bigint")))
+    rows = list(enumerate(texts(random.Random(6))))
+    out = S.repeats(spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out), key=str) == brute(rows, 200)
+
+
 def test_remove_keeps_clean_documents(spark):
     passage = "".join(random.Random(3).choices("abcdefgh ", k=400))
     rows = [(1, "clean é text", 12, "k"), (2, "start " + passage + "é end", 9, None), (3, passage, 400, ""), (4, None, None, "z"), (5, "", 0, "")]

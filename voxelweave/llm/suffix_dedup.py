@@ -41,7 +41,9 @@ BLOCK_BYTES = 1 << 19
 FILE_CHUNKS = 2500
 #: Windows hashed at once, so that a place fits 16 bits.
 _SLICE = 60_000
-CHUNKS = "doc bigint, mark int, file bigint, content bigint, start int, size int"
+#: content and content2 are one 128-bit hash: where they are equal, chunks count as equal.
+CONTENT = ["content", "content2"]
+CHUNKS = "doc bigint, mark int, file bigint, content bigint, content2 bigint, start int, size int"
 
 
 def chunks(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,32 +86,33 @@ def _all_chunks(docs: DataFrame, length: int) -> DataFrame:
                     file, start, size = chunks(body, length)
                     n.append(len(file))
                     cols.append((file, start, size))
-                    contents += [xxhash.xxh3_64_intdigest(body[a : a + s]) for a, s in zip(start.tolist(), size.tolist(), strict=True)]
+                    contents += [xxhash.xxh3_128_digest(body[a : a + s]) for a, s in zip(start.tolist(), size.tolist(), strict=True)]
                 file, start, size = (np.concatenate(x) for x in zip(*cols, strict=True))
                 which = np.repeat(np.arange(len(n)), n)
+                content = np.frombuffer(b"".join(contents), np.int64).reshape(-1, 2)
                 doc, mark = (c.to_numpy(zero_copy_only=False)[which] for c in (part.column(0), part.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(mark), pa.array(file), pa.array(np.array(contents, np.uint64).view(np.int64)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))], [c.split()[0] for c in CHUNKS.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(mark), pa.array(file), pa.array(content[:, 0].copy()), pa.array(content[:, 1].copy()), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32))], [c.split()[0] for c in CHUNKS.split(", ")])
 
     rows = _keyed(common.only(docs, "doc_id", "text")).select("doc", "mark", "body").where(F.octet_length("body") >= length)
     return rows.mapInArrow(run, CHUNKS)
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted (file, content, copies, doc, mark, start, size) with the bytes of each chunk."""
-    per_doc = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("file", "content", "copies", "start", "size")).alias("wanted"))
+    """wanted (file, content, content2, copies, doc, mark, start, size) with the bytes of each chunk."""
+    per_doc = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("file", *CONTENT, "copies", "start", "size")).alias("wanted"))
     texts = _keyed(common.only(docs, "doc_id", "text")).select("doc", "mark", "body")
     one = texts.join(per_doc, ["doc", "mark"]).select("doc", "mark", "body", "wanted")
-    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("file", pa.int64()), ("content", pa.int64()), ("copies", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
+    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("file", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("copies", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 out = []
                 for d, m, body, some in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
-                    out += [{"doc": d, "mark": m, "file": w["file"], "content": w["content"], "copies": w["copies"], "start": w["start"], "bytes": body[w["start"] : w["start"] + w["size"]]} for w in some]
+                    out += [{"doc": d, "mark": m, "file": w["file"], "content": w["content"], "content2": w["content2"], "copies": w["copies"], "start": w["start"], "bytes": body[w["start"] : w["start"] + w["size"]]} for w in some]
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    return one.mapInArrow(run, "doc bigint, mark int, file bigint, content bigint, copies bigint, start int, bytes binary").dropDuplicates(["file", "content"])
+    return one.mapInArrow(run, "doc bigint, mark int, file bigint, content bigint, content2 bigint, copies bigint, start int, bytes binary").dropDuplicates(["file", *CONTENT])
 
 
 def merged(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -172,15 +175,15 @@ def _named_windows(strings: DataFrame, length: int) -> DataFrame:
 def spans(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, file_chunks: int = FILE_CHUNKS) -> DataFrame:
     """(doc, mark, spans) of the documents with repeats; spans may overlap."""
     every = common.materialize(_all_chunks(docs, length), "chunks")
-    files = every.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("low"), F.max("content").alias("high")).where("n > 1")
-    shared = every.join(files.select("file", (F.col("low") != F.col("high")).alias("mixed")), "file")
+    files = every.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in CONTENT for f in (F.min, F.max))).where("n > 1")
+    shared = every.join(files.select("file", F.expr("min_content <> max_content or min_content2 <> max_content2").alias("mixed")), "file")
     shared = common.materialize(shared, "shared-chunks")
     common.release(every)
     whole = shared.where("not mixed").select("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     mixed = shared.where("mixed")
-    different = mixed.groupBy("file", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "start", "size")).alias("at"))
-    different = common.materialize(different.select("file", "content", "copies", "at.*"), "different-chunks")
-    copies = mixed.join(different.where("copies > 1").select("file", "content"), ["file", "content"])
+    different = mixed.groupBy("file", *CONTENT).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "start", "size")).alias("at"))
+    different = common.materialize(different.select("file", *CONTENT, "copies", "at.*"), "different-chunks")
+    copies = mixed.join(different.where("copies > 1").select("file", *CONTENT), ["file", *CONTENT])
     copies = copies.select("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     strings = common.materialize(_fetched(docs, different), "strings")
     large = common.materialize(strings.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > file_chunks).select("file"), "large-files")
