@@ -28,6 +28,18 @@ def test_odd_rows(spark):
     assert sum(rows[i].predicted for i in range(60)) >= 58 and sum(rows[100 + i].predicted for i in range(60)) <= 2
 
 
+def test_texts_with_large_ids_enter_the_dictionary():
+    rng = np.random.default_rng(2)
+    first = [rng.integers(97, 123, 100_000, np.uint8).tobytes() for _ in range(450)]  # 22,050 blocks
+    late = [b"".join(b"the quiet river runs past old mills %d " % k for k in range(i, i + 2000)) for i in range(0, 50_000, 250)]
+    parts = [b for t in first + late for b in C.blocks(t)]
+    some = C.chosen(parts)
+    assert len(some) == C.PARTS and C.chosen(parts[:50]) == parts[:50]
+    share = sum(b"quiet river" in b for b in some) / len(some)
+    assert abs(share - sum(b"quiet river" in b for b in parts) / len(parts)) < 0.02
+    assert b"quiet river" in C.dictionary(first + late)
+
+
 def test_one_class_no_labels_no_rows(spark):
     df = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], DOCS)
     one = spark.createDataFrame([(1, 0, 0), (2, 0, 0)], LABELS)

@@ -6,8 +6,9 @@ the text's length (in all, and for the least and most good-like block), with the
 a calibrated probability through a logistic fit on other labelled rows.
 
 Fitting uses a bounded sample: at most ``ROWS`` distinct texts of each label for the dictionaries
-and as many others for the calibration, none above ``sampling.MAX_CHARS``; the calibration weighs
-them back to the labels' shares. Scoring covers whole texts of all documents.
+and as many others for the calibration, none above ``sampling.MAX_CHARS``; of their blocks at most
+``PARTS`` for each dictionary, the least by a hash of their bytes, so from all texts alike; the
+calibration weighs them back to the labels' shares. Scoring covers whole texts of all documents.
 
 Defined results: a null text is scored as an empty one; rows without a label are scored only;
 labels other than 0 and 1, or without a document, are ignored; without labels of both kinds every
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ from . import common, linear, sampling
 ROWS = 1500
 DICTIONARY_BYTES = 110_000
 BLOCK = 2048
+#: Blocks for a dictionary at most; 41 MB.
+PARTS = 20_000
 LEVEL = 3
 THRESHOLD = 0.3
 
@@ -38,11 +42,19 @@ def blocks(data: bytes) -> list[bytes]:
     return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)] or [b""]
 
 
-def dictionary(texts: list[bytes]) -> bytes:
+def chosen(parts: list[bytes], most: int = PARTS) -> list[bytes]:
+    """At most so many of the blocks, by hash, in their order."""
+    if len(parts) <= most:
+        return parts
+    least = sorted(range(len(parts)), key=lambda i: (xxhash.xxh3_64_intdigest(parts[i]), i))[:most]
+    return [parts[i] for i in sorted(least)]
+
+
+def dictionary(texts: list[bytes], most: int = PARTS) -> bytes:
     """A trained dictionary; of too few samples, their last bytes as they are."""
     parts = [b for t in texts for b in blocks(t) if b]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, parts[:20_000]).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, chosen(parts, most)).as_bytes()
     except zstandard.ZstdError:
         return b"".join(parts)[-DICTIONARY_BYTES:] or b"\0" * 8
 
@@ -82,7 +94,7 @@ class Model:
         return self.fit(np.array([features(t, self.good, self.bad) for t in texts]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, name: str = "quality", rows: int = ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, name: str = "quality", rows: int = ROWS, parts: int = PARTS) -> Model:
     spark = docs.sparkSession
     shares = {r[0]: r[1] for r in sampling.train_labels(labels, name).groupBy("label").count().collect()}
     if len(shares) < 2:
@@ -92,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, name: str = "quality", rows: int = R
     texts: dict[int, list[bytes]] = {0: [], 1: []}
     for r in first.orderBy("doc_id", "label").toLocalIterator():  # bounded rows of bounded texts
         texts[r["label"]].append(r["text"].encode())
-    shared = spark.sparkContext.broadcast((dictionary(texts[1]), dictionary(texts[0])))
+    shared = spark.sparkContext.broadcast((dictionary(texts[1], parts), dictionary(texts[0], parts)))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
