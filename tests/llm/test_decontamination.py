@@ -44,6 +44,23 @@ def test_find_equals_brute_force(seed):
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
 
 
+@pytest.mark.parametrize("most", [600, 1500])
+def test_benchmarks_beyond_one_automaton(spark, monkeypatch, most):
+    monkeypatch.setattr(D, "MAX_ITEM_WORDS", most)
+    rnd = random.Random(most)
+    text = lambda n: " ".join(rnd.choices(["a", "b", "c", "É", "x1"], k=n))
+    items = [(i, text(rnd.choice([0, 3, 8, 25, 200]))) for i in range(30)] + [(4, text(30)), (90, text(2000))]
+    rows = [(k, f"{text(15)} {t[: rnd.randint(0, 400)]} {text(9)} {t[-30:]}", 0, "") for k, (_, t) in enumerate(items)]
+    rows += [(k, text(40), 0, "") for k in range(100, 130)]
+    found = D.find(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(*i, "") for i in items], ITEMS)).collect()
+    got = {r.doc_id: (r.n_words, {i for s in r.spans for i in range(s.start, s.end)}, r.items) for r in found}
+    assert got == {d: brute(t, items) for d, t, *_ in rows}
+    bench, df = spark.createDataFrame([(*i, "") for i in items], ITEMS), spark.createDataFrame(rows, DOCS)
+    some = sorted(map(tuple, D.remove(df, bench).collect()))
+    monkeypatch.setattr(D, "MAX_ITEM_WORDS", 10**6)
+    assert some and some == sorted(map(tuple, D.remove(df, bench).collect()))
+
+
 def test_query_columns_and_odd_rows(spark):
     item = "One two three, four five six seven eight nine ten eleven"
     rows = [(1, "x " + item.upper() + " y", 9, "k"), (2, None, None, None), (3, "", 0, ""), (None, item, 1, ""), (1, "nothing", 7, "")]

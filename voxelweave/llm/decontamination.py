@@ -1,7 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of the test items.
 
-The automaton is built once from the (bounded, checked) benchmark and broadcast; documents stream
-through it where they lie, without a shuffle. A document's words become small ids; only runs of
+Automata are built from the benchmark's items, each over at most ``MAX_ITEM_WORDS`` words of them (one
+for a usual benchmark), and broadcast; documents stream through where they lie, without a shuffle.
+Several automata take a pass each, one after the other; spans and items are merged, as with one. A document's words become small ids; only runs of
 words whose neighbouring pairs all occur in the benchmark are walked, tracking the longest matching
 length at each word. Everything else cannot hold a window.
 
@@ -9,24 +10,25 @@ Words: A-Z lower-cased, then maximal runs of bytes that are digits, a-z or above
 ``window`` consecutive words of an item, or the whole item if it has fewer.
 
 Defined results: null or empty text has no words; items without words, text or id match nothing;
-items that share an id count once; a benchmark beyond ``MAX_ITEM_WORDS`` words is refused with an
-error (its automaton is broadcast, so its size must have a bound).
+items that share an id count once. An item longer than a whole automaton is cut into pieces that
+overlap by a window less one word, so no window is lost.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from . import common
 
 WINDOW = 10
-#: Words of all items together; about 0.5 KB of automaton each.
+#: Words of the items of one automaton; about 0.5 KB of automaton each.
 MAX_ITEM_WORDS = 2_000_000
 #: Limits of the removing stage: a document keeps at most this share of hit words, else it goes.
 MAX_COVERAGE = 0.5
@@ -35,6 +37,7 @@ MIN_SPAN = 1
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _PAIRS = 1 << 22
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -164,30 +167,81 @@ class ItemAutomaton:
         return [(a, b) for a, b in spans], items
 
 
-def build(benchmark: DataFrame, window: int = WINDOW) -> ItemAutomaton:
+def _dealt(items: Iterable[tuple[str, list[bytes]]], window: int, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """The items in groups of at most so many words; a longer item in pieces that share window - 1 words."""
+    most, group, size = max(most, 2 * window), [], 0
+    for name, words in items:
+        for at in range(0, max(1, len(words) - window + 1), most - window + 1):
+            piece = words[at : at + most]
+            if size and size + len(piece) > most:
+                yield group
+                group, size = [], 0
+            group.append((name, piece))
+            size += len(piece)
+    yield group
+
+
+def _hits(auto: ItemAutomaton, words: list[bytes], spans: list[dict] | None, items: list[str] | None) -> tuple[list[tuple[int, int]], list[str]]:
+    """Merged spans and sorted items of an automaton and of the passes before it."""
+    found, numbers = auto.find(words)
+    out: list[tuple[int, int]] = []
+    for start, end in sorted([*found, *((s["start"], s["end"]) for s in spans or ())]):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out, sorted({auto.names[i] for i in numbers} | set(items or ()))
+
+
+def _before(batch: pa.RecordBatch, width: int) -> tuple[list, list]:
+    """Spans and items that passes before have put after the first width columns."""
+    if batch.num_columns == width:
+        return [None] * batch.num_rows, [None] * batch.num_rows
+    return batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()
+
+
+def _passes(docs: DataFrame, at: int, benchmark: DataFrame, window: int) -> tuple[DataFrame, ItemAutomaton]:
+    """The last automaton, and the documents with what all before it find in the text in column at (as they are if it is the only one)."""
     rows = common.only(benchmark, "item_id", "text").where("item_id is not null and text is not null")
-    total = rows.agg(F.sum(F.length("text"))).head()[0] or 0
-    if total > 12 * MAX_ITEM_WORDS:  # before the texts come to the driver
-        raise ValueError(f"the benchmark has {total} characters; the limit is {12 * MAX_ITEM_WORDS}")
-    found = sorted((str(r[0]), words_of(r[1])) for r in rows.collect())
-    return ItemAutomaton(found, window)
+    groups = _dealt(((str(r[0]), words_of(r[1])) for r in rows.toLocalIterator()), window, MAX_ITEM_WORDS)
+    group, width, out = next(groups), len(docs.columns), docs
+    for following in groups:
+        before = out
+        if before is docs:
+            out = docs.toDF(*(f"_c{i}" for i in range(width)))
+        shared = docs.sparkSession.sparkContext.broadcast(ItemAutomaton(group, window))
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                hits = [_hits(shared.value, words_of(t), *b) for t, *b in zip(batch.column(at).to_pylist(), *_before(batch, width), strict=True)]
+                spans = pa.array([[{"start": a, "end": b} for a, b in s] for s, _ in hits], _SPANS)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], spans, pa.array([i for _, i in hits], pa.list_(pa.string()))], [*(f"_c{i}" for i in range(width)), "_spans", "_items"])
+
+        schema = StructType(out.schema.fields[:width]).add("_spans", ArrayType(StructType().add("start", "long").add("end", "long"))).add("_items", ArrayType(StringType()))
+        out = common.materialize(out.mapInArrow(run, schema), "hits")
+        if before is not docs:
+            common.release(before)
+        shared.unpersist()
+        group = following
+    return out, ItemAutomaton(group, window)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, spans (word positions [start, end) under windows), items (ids, sorted)."""
-    shared = docs.sparkSession.sparkContext.broadcast(build(benchmark, window))
+    rows = common.only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows, auto = _passes(rows, 1, benchmark, window)
+    shared = docs.sparkSession.sparkContext.broadcast(auto)
 
     def run(batches):
         auto = shared.value
         for batch in batches:
             out = []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for d, text, *before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *_before(batch, 2), strict=True):
                 words = words_of(text)
-                spans, items = auto.find(words)
-                out.append({"doc_id": d, "n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(auto.names[i] for i in items)})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))]))
+                spans, items = _hits(auto, words, *before)
+                out.append({"doc_id": d, "n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": items})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.string()))]))
 
-    rows = common.only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return rows.mapInArrow(run, "doc_id bigint, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>")
 
 
@@ -207,8 +261,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span
     A document of which more than max_coverage of the words are hit goes altogether. n_chars, if
     there, is counted anew for documents that were cut. Columns and other rows stay as they are.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(build(benchmark, window))
     names = docs.columns
+    rows, auto = _passes(docs, names.index("text"), benchmark, window)
+    shared = docs.sparkSession.sparkContext.broadcast(auto)
 
     def run(batches):
         auto = shared.value
@@ -216,9 +271,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span
             texts = batch.column(names.index("text")).to_pylist()
             chars = batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
             keep = []
-            for i, text in enumerate(texts):
+            for i, (text, *before) in enumerate(zip(texts.copy(), *_before(batch, len(names)), strict=True)):
                 words = words_of(text)
-                spans, _ = auto.find(words)
+                spans, _ = _hits(auto, words, *before)
                 if sum(b - a for a, b in spans) > max_coverage * len(words):
                     continue
                 keep.append(i)
@@ -226,13 +281,13 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span
                     texts[i] = _cut(text, spans)
                     if chars:
                         chars[i] = len(texts[i])
-            cols = list(batch.columns)
-            cols[names.index("text")] = pa.array(texts, batch.schema.field("text").type)
+            cols = list(batch.columns)[: len(names)]
+            cols[names.index("text")] = pa.array(texts, batch.schema.field(names.index("text")).type)
             if chars:
-                cols[names.index("n_chars")] = pa.array(chars, batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema).take(pa.array(keep, pa.int64()))
+                cols[names.index("n_chars")] = pa.array(chars, batch.schema.field(names.index("n_chars")).type)
+            yield pa.RecordBatch.from_arrays(cols, names).take(pa.array(keep, pa.int64()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
