@@ -42,9 +42,9 @@ def edited(rnd, words, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_groups_equal_brute_force(spark, seed):
-    rnd = random.Random(seed)
+@pytest.mark.parametrize("percent", (85, 80))
+def test_groups_equal_brute_force(spark, percent):
+    rnd = random.Random(percent)
     vocab = [f"w{i}" for i in range(500)]
     texts = []
     for n in (3, 30, 60, 120, 400):
@@ -59,8 +59,10 @@ def test_groups_equal_brute_force(spark, seed):
     texts += [None, "", "  \t\n ", "One", "one", "A b\x0bc", "a B C", " ".join(rnd.choices(vocab, k=30_000))]
     rnd.shuffle(texts)
     rows = [(i * 7 % 1009, t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, None)]
-    out = M.near_duplicates(spark.createDataFrame([(*r, "en", None) for r in rows], SCHEMA)).collect()
-    assert sorted(map(tuple, out), key=str) == [(a, b, c, True if a is None else d) for a, b, c, d in brute(rows)]
+    rows += [(rows[0][0], "an id of two texts " * 9), (rows[1][0], rows[2][1]), rows[3], rows[3]]
+    df = spark.createDataFrame([(*r, "en", None) for r in rows], SCHEMA)
+    out = M.near_duplicates(df, percent).collect()
+    assert sorted(map(tuple, out), key=str) == [(a, b, c, True if a is None else d) for a, b, c, d in brute(rows, percent)]
 
 
 def test_keep_one_keeps_columns_and_the_smallest(spark):
@@ -70,6 +72,34 @@ def test_keep_one_keeps_columns_and_the_smallest(spark):
     assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {3, 9, None}
 
 
+def test_words_of_a_structured_family_are_told_apart():
+    thue = "a"
+    for _ in range(11):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    assert M.shingles(thue)[0] != M.shingles(other)[0]
+    names = {M.shingles(w)[0] for w in ("a", "a\0", "\0a", "ab", "a" * 8, "a" * 9, "a" * 16, "a" * 17, "a" * 16 + "\0", "a b", "b a", "a a", "a a a")}
+    assert len(names) == 13
+    assert M.shingles("x " + thue + " y")[0] != M.shingles("x " + other + " y")[0]
+
+
+def test_keep_one_of_ids_with_several_texts(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(3, a, "en", "k"), (5, a, "en", "copy"), (5, b, "en", "own"), (7, b, "en", None), (8, "alone here", "en", "1"), (8, "alone here", "en", "1"), (9, None, "", "1"), (9, "", "", "1")]
+    out = M.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in out) == [(3, a), (5, b), (8, "alone here"), (9, "")]
+
+
+def test_links_between_80_and_85_percent(spark):
+    words = [f"w{i}" for i in range(150)]
+    edit = words.copy()
+    for k in (20, 70, 120):
+        edit[k] = "changed"  # 131 of 161 shingles
+    df = spark.createDataFrame([(1, " ".join(words), "", ""), (2, " ".join(edit), "", "")], SCHEMA)
+    assert [r.doc_id for r in M.keep_one(df).collect()] == [1]
+    assert M.near_duplicates(df, 85).where("kept").count() == 2
+
+
 def test_empty_table(spark):
     assert M.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -18,7 +18,7 @@ def brute_stages(spark, sf):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     rows = [r for r, s in zip(rows, model([t for _, t in rows]), strict=True) if s < 0.5]
     yield "toxicity", dict(rows)
-    kept = {d for d, _, _, k in test_minhash.brute(rows) if k}
+    kept = {d for d, _, _, k in test_minhash.brute(rows, 80) if k}
     rows = [r for r in rows if r[0] in kept]
     yield "near_duplicates", dict(rows)
     cut = {d: (n, k.decode(errors="ignore")) for d, n, _, _, k in test_suffix_dedup.brute(rows, 200)}

@@ -51,12 +51,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def small(table: DataFrame, limit: int = 2 << 20) -> DataFrame:
-    """A table of ``materialize``, with a broadcast hint if its files are within limit bytes; else a shuffled join does."""
-    spark = table.sparkSession
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(table._voxelweave_path)
+#: Bytes of the decoded rows of a table that is broadcast, at most.
+SMALL = 8 << 20
+
+
+def small(table: DataFrame, limit: int = SMALL, of: DataFrame | None = None) -> DataFrame:
+    """A table of ``materialize``, with a broadcast hint if its rows take at most limit bytes; else a shuffled join does.
+
+    of is the table that a selection of columns comes from.
+    """
+    of = table if of is None else of
+    spark, path = of.sparkSession, of._voxelweave_path
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(jpath).getLength()
-    return F.broadcast(table) if size <= limit else table
+    if size <= limit and not hasattr(of, "_voxelweave_bytes"):
+        fixed = sum(8 if t in _FIXED else 16 for _, t in of.dtypes) + 16
+        varying = [F.octet_length(c) for c, t in of.dtypes if t in ("string", "binary")]
+        varying += [F.octet_length(F.to_json(c)) for c, t in of.dtypes if t not in _FIXED and t not in ("string", "binary")]
+        extra = sum((F.coalesce(F.sum(v), F.lit(0)) for v in varying), F.lit(0))
+        rows, more = of.agg(F.count(F.lit(1)), extra).head()
+        of._voxelweave_bytes = rows * fixed + more
+    return F.broadcast(table) if size <= limit and of._voxelweave_bytes <= limit else table
+
+
+_FIXED = {"bigint", "int", "smallint", "tinyint", "boolean", "double", "float", "date", "timestamp", "timestamp_ntz"}
 
 
 def release(*tables: DataFrame) -> None:

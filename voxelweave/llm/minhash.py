@@ -7,7 +7,11 @@ cells shifted by k: one contiguous slice of the second permutation per shingle.
 coordinates give candidate buckets; links are confirmed by the exact Jaccard similarity of the full
 sets, and groups are the connected components of the links.
 
-With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with probability 2e-7.
+With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with probability 2e-7, one
+at 0.80 with 8e-5 (for independent coordinates; README has measured figures).
+
+Shingles are named by 64 bits: words of up to 16 bytes enter with all their bytes, longer ones by
+xxh3, and every step mixes non-linearly, so no family of texts is bound to collide.
 
 Large groups: equal sets are one node from the start. In every bucket the smallest id, and in buckets
 that still span several components one more, are compared with the members of other components. What
@@ -18,7 +22,9 @@ compared, ruled out by a bound, or already connected.
 
 Defined results: null text, or text without words, has an empty set and no links; fewer words than
 a shingle give one shingle of all words; rows with a null id are linked with nothing and kept; rows
-that share an id and a set are one node; an empty table gives no rows; other columns are ignored.
+that share an id and a set are one node, rows that share only an id are nodes of their own; whole
+texts count, however long; an empty table gives no rows; other columns, whatever their names, are
+ignored by ``near_duplicates`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -31,14 +37,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from . import common, graph
 
 SHINGLE, BANDS, ROWS = 5, 40, 7
 #: Links: 100 * intersection >= PERCENT * union.
-PERCENT = 85
+PERCENT = 80
 CELLS = 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
+#: The lowest k bytes of a word of 8.
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 FEATURES = "doc_id bigint, n_shingles bigint, fingerprint binary, bands array<bigint>"
 
@@ -71,22 +81,68 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_names(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit names of the words of data."""
+    padded = np.frombuffer(data + bytes(24), np.uint8)
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
+    size = end - start
+    low = eight[start] & _LOWEST[np.minimum(size, 8)]
+    high = eight[start + 8 * (size > 8)] & _LOWEST[np.clip(size - 8, 0, 8)]
+    names = mix(mix(low + size.astype(np.uint64) * np.uint64(_BASE)) + high)
+    for i in np.flatnonzero(size > 16).tolist():
+        names[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]])
+    return names
+
+
+def _names(words: np.ndarray, size: int) -> np.ndarray:
+    """Names of all runs of size words."""
+    names = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        names = mix(names + words[k : k + len(names)], k + 1)
+    return names
+
+
+def _distinct(names: np.ndarray) -> np.ndarray:
+    names = np.sort(names)
+    return names[np.concatenate(([True], names[1:] != names[:-1]))]
+
+
+def shingle_sets(texts: list[str | None], size: int = SHINGLE, together: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The set of each text, as sorted 64-bit names; texts are worked on together, about so many bytes at once."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text.encode() if text else b"")
+        held += len(some[-1])
+        if held >= together:
+            yield from _sets(some, size)
+            some, held = [], 0
+    yield from _sets(some, size)
+
+
+def _sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    if not texts:
+        return
+    data = b" ".join(texts).translate(_LOWER)
+    edges = np.flatnonzero(np.diff(~_SPACE[np.frombuffer(b" " + data + b" ", np.uint8)]))
+    start = edges[::2]
+    words = word_names(data, start, edges[1::2])
+    names = _names(words, size) if len(words) >= size else None
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    last = np.searchsorted(start, ends).tolist()
+    for a, b in zip([0, *last[:-1]], last, strict=True):
+        if a == b:
+            yield np.empty(0, np.uint64)
+        else:
+            yield _distinct(names[a : b - size + 1]) if b - a >= size else _names(words[a:b], b - a)
+
+
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """The set, as sorted 64-bit hashes."""
-    words = text.encode().translate(_LOWER).split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(b" ".join(words), np.uint8)
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[1:], out=sums[1:])
-    if len(words) <= size:
-        start, end = np.zeros(1, np.int64), np.array([len(data)])
-    else:
-        gaps = np.flatnonzero(data == 32)
-        start = np.concatenate(([0], gaps[: len(words) - size] + 1))
-        end = np.concatenate((gaps[size - 1 :], [len(data)]))
-    return np.unique(mix((sums[end] - sums[start]) * down[start]))
+    return next(shingle_sets([text], size))
+
+
+def fingerprint(hashes: np.ndarray) -> bytes | None:
+    """128 bits that tell sets apart; none for the empty one."""
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
 
 
 @functools.lru_cache(1)
@@ -119,28 +175,32 @@ def features(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 n, prints, bands = [], [], []
-                for text in part.column(1).to_pylist():
-                    s = shingles(text)
+                for s in shingle_sets(part.column(1).to_pylist()):
                     n.append(len(s))
-                    prints.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                    prints.append(fingerprint(s))
                     bands.append(band_keys(signature(s)) if len(s) else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fingerprint", "bands"])
 
     return common.only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(run, FEATURES)
 
 
-def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, hashes) of the documents that are candidates."""
+def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, hashes) of the wanted nodes (id, doc_id, fingerprint), from a document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingles(t).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+                ids, sets = [], []
+                known, prints, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                for i, print_, s in zip(known, prints, shingle_sets(texts), strict=True):
+                    if fingerprint(s) == print_:  # else it is another text of the same id
+                        ids.append(i)
+                        sets.append(s.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "hashes"])
 
-    texts = common.only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    return texts.join(common.small(ids).select("id"), "id", "left_semi").mapInArrow(run, "id bigint, hashes binary")
+    texts = common.only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), "text")
+    found = texts.join(common.small(wanted), "doc_id").select("id", "fingerprint", "text").mapInArrow(run, "id bigint, hashes binary")
+    return found.groupBy("id").agg(F.first("hashes").alias("hashes"))  # repeated rows give a set more than once
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -259,11 +319,12 @@ def _merged(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame |
     return common.materialize(roots.join(moved, "root", "left").select("id", F.coalesce("new", "root").alias("root")), "roots"), moved
 
 
-def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(id, root) of all candidates. members: (key, id, n), the buckets of two and more."""
     keep, spark = common.materialize, docs.sparkSession
     roots = keep(members.select("id").distinct().withColumn("root", F.col("id")), "roots")
-    sets = keep(_full_sets(docs, roots), "sets")
+    wanted = keep(nodes.select("id", "doc_id", "fingerprint").join(common.small(roots), "id", "left_semi"), "wanted")
+    sets = keep(_full_sets(docs, wanted), "sets")
     common.forget(spark)
     active = members.withColumns({"root": F.col("id"), "most": F.col("n")})
     for turn in (0, 1):
@@ -290,26 +351,62 @@ def _links(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return _merged(roots, keep(_confirm(pairs, sets, percent), "confirmed"))[0]
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept."""
+def _components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """FEATURES of all rows, and (fingerprint, component_id) of the sets that are not alone."""
     rows = common.materialize(features(docs), "minhash")
     named = rows.where("doc_id is not null and fingerprint is not null")
-    nodes = named.groupBy("fingerprint").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"))
-    nodes = common.materialize(nodes, "nodes")
+    nodes = named.groupBy("fingerprint").agg(
+        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")
+    )
+    # ids of nodes are given when the table is written: two texts may share a document's id
+    nodes = common.materialize(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     entries = nodes.select("id", "n", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     members = common.materialize(entries.join(shared, "key").select("key", "id", "n"), "buckets")
-    roots = _links(docs, members, percent) if not members.isEmpty() else members.select("id", F.col("id").alias("root"))
-    named_roots = nodes.join(roots, "id", "left").where("copies > 1 or root is not null").select("fingerprint", F.coalesce("root", "id").alias("root"))
-    named_roots = common.small(common.materialize(named_roots, "named-roots"))
-    out = rows.select("doc_id", "n_shingles", "fingerprint").join(named_roots, "fingerprint", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    roots = _links(docs, nodes, members, percent) if not members.isEmpty() else members.select("id", F.col("id").alias("root"))
+    known = nodes.select("fingerprint", "doc_id", "copies", "id").join(roots, "id", "left").where("copies > 1 or root is not null")
+    known = common.materialize(known.select("fingerprint", "doc_id", "root"), "named-roots")
+    least = common.materialize(known.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "least-ids")
+    out = known.join(common.small(least), "root", "left").select("fingerprint", F.coalesce("least", "doc_id").alias("component_id"))
+    return rows, common.materialize(out, "components")
+
+
+def _judged(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, fingerprint, component_id, kept."""
+    out = rows.select("doc_id", "n_shingles", "fingerprint").join(common.small(components), "fingerprint", "left")
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept."""
+    return _judged(*_components(docs, percent)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that are kept, all columns as they were; of rows that share an id and are dropped as copies, none stays."""
-    gone = common.materialize(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct(), "copies")
+    """One document of each component, all columns as they were: the one of the smallest id.
+
+    Of rows that share an id, those whose own set is a copy of another id's go, the others stay; of
+    rows that share both id and set, one stays.
+    """
+    judged = _judged(*_components(docs, percent)).where("doc_id is not null")
+    copy = F.when(~F.col("kept"), F.col("fingerprint"))
+    ids = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("any"), F.collect_set(copy).alias("copies"))
+    ids = common.materialize(ids.where("rows > 1 or not any").select("doc_id", "any", "copies"), "copies")
     rows, name = common.positional(docs)
-    gone = common.small(gone).select(F.col("doc_id").alias(name["doc_id"]))
-    return rows.join(gone, name["doc_id"], "left_anti").select(*name.values()).toDF(*docs.columns)
+    own, at, width, names = F.col(name["doc_id"]).cast("bigint"), list(name).index("text"), len(name), [*name.values(), "print"]
+    left = rows.join(common.small(ids.select("doc_id"), of=ids), own == F.col("doc_id"), "left_anti")
+    twice = ids.where("any")
+    if not twice.isEmpty():  # ids with several rows, some of which stay
+
+        def run(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                prints = [fingerprint(s) or b"" for s in shingle_sets(batch.column(at).to_pylist())]
+                good = [p not in c for p, c in zip(prints, batch.column(width).to_pylist(), strict=True)]
+                cols = [*batch.columns[:width], pa.array(prints, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(good, pa.bool_()))
+
+        some = rows.join(twice.select("doc_id", "copies"), own == F.col("doc_id")).select(*name.values(), "copies")
+        some = some.mapInArrow(run, StructType([*rows.schema.fields, StructField("print", BinaryType())])).dropDuplicates([name["doc_id"], "print"])
+        left = left.unionByName(some.select(*name.values()))
+    return left.toDF(*docs.columns)
