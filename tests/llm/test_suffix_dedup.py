@@ -1,10 +1,12 @@
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voxelweave.llm import common
 from voxelweave.llm import suffix_dedup as S
 from voxelweave.llm.suffix_sort import repeated_starts, suffix_ranks
 
@@ -46,6 +48,19 @@ def test_ranks_order_whole_suffixes(seed):
     assert [int(i) for i in np.argsort(ranks)] == sorted(range(len(s)), key=lambda i: s[i:])
 
 
+def same_checksum(rnd, repeated):
+    """Another text of the same crc32 as repeated + some letters; both are tried until two meet."""
+    other, seen = "".join(rnd.choices("abcdefgh ", k=500)), {}
+    base = [zlib.crc32(t.encode()) for t in (other, repeated)]
+    tail = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+    for t in (tail() for _ in range(250_000)):
+        seen[zlib.crc32(t.encode(), base[0])] = t
+    for t in (tail() for _ in range(250_000)):
+        if hit := seen.get(zlib.crc32(t.encode(), base[1])):
+            return other + hit, repeated + t
+    raise AssertionError("no texts of one checksum were found")
+
+
 def texts(rnd):
     word = lambda: "".join(rnd.choices("abcdefghé", k=rnd.randint(1, 9)))
     prose = lambda n: " ".join(word() for _ in range(n))
@@ -57,9 +72,9 @@ def texts(rnd):
     return [*out, whole, whole, whole[5:], "x" + whole[:-7], prose(30_000), None, "", None, "a" * 199, "a" * 200]
 
 
-@pytest.mark.parametrize("limits", [{}, {"file_chunks": 3, "block_bytes": 5000}])
+@pytest.mark.parametrize("limits", [{}, {"file_chunks": 3, "block_bytes": 5000}, {"file_chunks": 1}, {"file_chunks": 1, "widths": (60, 1)}])
 def test_spans_equal_brute_force(spark, limits):
-    rnd = random.Random(len(limits))
+    rnd = random.Random(str(limits))
     rows = list(enumerate(texts(rnd)))
     rows += [(None, rows[25][1]), (None, None), (7, rows[30][1]), (7, rows[7][1]), (7, "other text")]
     df = spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA)
@@ -77,6 +92,36 @@ def test_chunks_with_equal_64_bits_are_told_apart(spark, monkeypatch, half):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out), key=str) == brute(rows, 200)
 
 
+def test_texts_of_one_checksum_and_id_are_told_apart(spark):
+    rnd = random.Random(9)
+    passage = "".join(rnd.choices("abcdefgh ", k=300))
+    found, wanted = same_checksum(rnd, passage * 2)
+    assert found != wanted and zlib.crc32(found.encode()) == zlib.crc32(wanted.encode())
+    out = S.repeats(spark.createDataFrame([(None, wanted, 0, ""), (None, found, 0, "")], SCHEMA)).collect()
+    assert sorted((r.n_bytes, r.n_removed) for r in out) == [(len(found), 0), (len(wanted), 600)]
+
+
+def test_hot_keys_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(common, "HOT_SHARE", 10**6)
+    rows = list(enumerate(texts(random.Random(12))))
+    out = S.repeats(spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA), file_chunks=4).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out), key=str) == brute(rows, 200)
+
+
+def test_pieces_of_a_chunk_hold_its_windows():
+    rnd = random.Random(2)
+    data = bytes(rnd.choices(b"abc", k=3000))
+    for _, start, size in zip(*S.chunks(data), strict=True):
+        chunk = data[start : start + size]
+        for width in S.WIDTHS:
+            at = 0
+            for _, a, n in S.parted(chunk, width):
+                assert a == at and n >= 200
+                at = a + n - 199
+            assert at == len(chunk) - 199
+
+
 def test_remove_keeps_clean_documents(spark):
     passage = "".join(random.Random(3).choices("abcdefgh ", k=400))
     rows = [(1, "clean é text", 12, "k"), (2, "start " + passage + "é end", 9, None), (3, passage, 400, ""), (4, None, None, "z"), (5, "", 0, "")]

@@ -77,6 +77,22 @@ def small(table: DataFrame, limit: int = SMALL, of: DataFrame | None = None) ->
 _FIXED = {"bigint", "int", "smallint", "tinyint", "boolean", "double", "float", "date", "timestamp", "timestamp_ntz"}
 
 
+#: Keys with more rows than this, and than the same share of all rows, are hot.
+HOT_ROWS, HOT_SHARE = 10_000, 10_000
+
+
+def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int, count: str = "n") -> DataFrame:
+    """Inner join of total rows with keys, a table of ``materialize`` with the number of rows of each key.
+
+    Rows of hot keys stay where they are: at most HOT_SHARE keys can be hot, so those are broadcast.
+    """
+    most = max(HOT_ROWS, total // HOT_SHARE)
+    hot, rest = F.broadcast(keys.where(F.col(count) >= most)), keys.where(F.col(count) < most)
+    if hot.isEmpty():
+        return rows.join(keys, on)
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(rest, on))
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables of ``materialize`` that nothing will read again, and let Spark drop shuffles that nothing refers to."""
     spark = tables[0].sparkSession

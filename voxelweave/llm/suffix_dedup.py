@@ -13,12 +13,15 @@ Consecutive windows with one smallest place form a chunk, which moves as a few n
   sorted and named, the names are sorted by recursion, the remaining suffixes are merged, and
   neighbours in the order are compared on their ``length``-byte prefixes.
 * A file of more than ``FILE_CHUNKS`` different chunks (a passage that very many documents share,
-  each time between other texts) is not sorted in one task: its windows are named by a 128-bit hash
-  and the names are counted in a distributed aggregate.
+  each time between other texts) is filed again before that: its windows are parted by where in them
+  the smallest gram lies, in ever narrower ranges (``WIDTHS``), and filed under the bytes that all
+  windows of a range share, a string that grows up to the whole window. So files get small enough for
+  a block, whatever a corpus repeats.
 
 Defined results: null text is empty; texts below ``length`` bytes keep everything; documents that
-share an id are told apart by their texts; equal rows are each other's repeats; an empty table gives
-no rows; other columns are ignored by ``repeats`` and kept by ``remove``.
+share an id are told apart by 128 bits of id and text; equal rows are each other's repeats; whole
+texts count, however long; an empty table gives no rows; other columns, whatever their names, are
+ignored by ``repeats`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -39,23 +42,29 @@ LENGTH = 200
 GRAM = 64
 BLOCK_BYTES = 1 << 19
 FILE_CHUNKS = 2500
+#: Places of the smallest gram within a window that are filed together, each time that a file is too large.
+WIDTHS = (35, 9, 3, 1)
 #: Windows hashed at once, so that a place fits 16 bits.
 _SLICE = 60_000
 #: content and content2 are one 128-bit hash: where they are equal, chunks count as equal.
 CONTENT = ["content", "content2"]
-CHUNKS = "doc bigint, mark int, file bigint, content bigint, content2 bigint, start int, size int"
+CHUNKS = "doc bigint, mark bigint, file bigint, content bigint, content2 bigint, start int, size int"
+
+
+def _grams(d: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each gram-byte string of at most _SLICE, ordered by its upper bits, then by place."""
+    up, down = powers(len(d) + 1)
+    sums = np.zeros(len(d) + 1, np.uint64)
+    np.cumsum((d.astype(np.uint64) + np.uint64(1)) * up[1:], out=sums[1:])
+    h = mix((sums[gram:] - sums[:-gram]) * down[: len(d) - gram + 1])
+    return (h & ~np.uint64(0xFFFF)) | np.arange(len(h), dtype=np.uint64)
 
 
 def chunks(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(file, start, size in bytes) of the chunks of a text: runs of windows with one smallest gram."""
     found = []
     for base in range(0, len(data) - length + 1, _SLICE):
-        d = np.frombuffer(data, np.uint8)[base : base + _SLICE + length - 1]
-        up, down = powers(len(d) + 1)
-        sums = np.zeros(len(d) + 1, np.uint64)
-        np.cumsum((d.astype(np.uint64) + np.uint64(1)) * up[1:], out=sums[1:])
-        h = mix((sums[gram:] - sums[:-gram]) * down[: len(d) - gram + 1])
-        h = (h & ~np.uint64(0xFFFF)) | np.arange(len(h), dtype=np.uint64)
+        h = _grams(np.frombuffer(data, np.uint8)[base : base + _SLICE + length - 1], gram)
         w, m = length - gram + 1, len(h)
         rows = np.concatenate((h, np.full(-m % w, 2**64 - 1, np.uint64))).reshape(-1, w)
         left = np.minimum.accumulate(rows, axis=1).ravel()
@@ -69,11 +78,27 @@ def chunks(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def parted(data: bytes, width: int, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
+    """(file, start, size) of the pieces of a chunk: its windows by the place of the smallest gram in them, width places a piece.
+
+    A piece is filed under its range and the bytes that every window of the range has.
+    """
+    place = int(_grams(np.frombuffer(data, np.uint8), gram).argmin())
+    out, at, windows = [], 0, len(data) - length + 1
+    while at < windows:
+        k = (place - at) // width  # the smallest gram lies k * width to (k + 1) * width - 1 bytes into the window
+        end = min(windows, place - k * width + 1)
+        core = data[place - k * width : place - (k + 1) * width + 1 + length]
+        out.append((xxhash.xxh3_64_intdigest(core, seed=k) - 2**63, at, end - at + length - 1))
+        at = end
+    return out
+
+
 def _keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with a key of their own: id and a checksum of the text."""
-    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63) + 1))
-    text = F.coalesce(text, F.lit(""))
-    return docs.withColumns({"doc": doc, "mark": (F.crc32(text.cast("binary")) - 2**31).cast("int"), "body": text.cast("binary")})
+    """The documents with a key of their own: 128 bits of id and text."""
+    body = F.coalesce(text, F.lit("")).cast("binary")
+    doc, mark = (F.xxhash64(F.lit(seed), F.col(doc_id).cast("bigint"), body) for seed in (1, 2))
+    return docs.withColumns({"doc": doc, "mark": mark, "body": body})
 
 
 def _all_chunks(docs: DataFrame, length: int) -> DataFrame:
@@ -97,22 +122,25 @@ def _all_chunks(docs: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, CHUNKS)
 
 
+_STRINGS = pa.schema([(c, pa.int64()) for c in ("file", *CONTENT, "copies", "doc", "mark")] + [("start", pa.int32()), ("bytes", pa.binary())])
+STRINGS = "file bigint, content bigint, content2 bigint, copies bigint, doc bigint, mark bigint, start int, bytes binary"
+
+
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted (file, content, content2, copies, doc, mark, start, size) with the bytes of each chunk."""
+    """STRINGS: wanted (file, content, content2, copies, doc, mark, start, size) with the bytes of each chunk."""
     per_doc = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("file", *CONTENT, "copies", "start", "size")).alias("wanted"))
     texts = _keyed(common.only(docs, "doc_id", "text")).select("doc", "mark", "body")
     one = texts.join(per_doc, ["doc", "mark"]).select("doc", "mark", "body", "wanted")
-    schema = pa.schema([("doc", pa.int64()), ("mark", pa.int32()), ("file", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("copies", pa.int64()), ("start", pa.int32()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 out = []
                 for d, m, body, some in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
-                    out += [{"doc": d, "mark": m, "file": w["file"], "content": w["content"], "content2": w["content2"], "copies": w["copies"], "start": w["start"], "bytes": body[w["start"] : w["start"] + w["size"]]} for w in some]
-                yield pa.RecordBatch.from_pylist(out, schema)
+                    out += [{"doc": d, "mark": m, "bytes": body[w["start"] : w["start"] + w["size"]], **w} for w in some]
+                yield pa.RecordBatch.from_pylist([{c: r[c] for c in _STRINGS.names} for r in out], _STRINGS)
 
-    return one.mapInArrow(run, "doc bigint, mark int, file bigint, content bigint, content2 bigint, copies bigint, start int, bytes binary").dropDuplicates(["file", *CONTENT])
+    return one.mapInArrow(run, STRINGS).dropDuplicates(["file", *CONTENT])
 
 
 def merged(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -137,7 +165,7 @@ def _sorted_blocks(strings: DataFrame, length: int, block_bytes: int) -> DataFra
             if copies == 1:
                 out += [(doc, mark, start + a, start + b) for a, b in merged(starts[owner == i] - at[i], length)]
         cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc", "mark", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc", "mark", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]):
         rows, size, last = [], 0, None
@@ -153,47 +181,74 @@ def _sorted_blocks(strings: DataFrame, length: int, block_bytes: int) -> DataFra
             yield block(rows)
 
     dealt = strings.select("file", "doc", "mark", "copies", "start", "bytes").repartition("file").sortWithinPartitions("file")
-    return dealt.mapInArrow(run, "doc bigint, mark int, a int, b int")
+    return dealt.mapInArrow(run, "doc bigint, mark bigint, a int, b int")
 
 
-def _named_windows(strings: DataFrame, length: int) -> DataFrame:
-    """As _sorted_blocks, for files of very many chunks: windows by name, counted in an aggregate."""
+def _parted(strings: DataFrame, width: int, length: int) -> DataFrame:
+    """STRINGS of the pieces of strings."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for doc, mark, start, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n = len(data) - length + 1
-                names = [xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.int32()), pa.array(range(start, start + n), pa.int32()), pa.array(names, pa.binary())], ["doc", "mark", "a", "name"])
+            for at in range(0, batch.num_rows, 1024):
+                out = []
+                for r in batch.slice(at, 1024).to_pylist():
+                    for file, start, size in parted(r["bytes"], width, length):
+                        data = r["bytes"][start : start + size]
+                        content = np.frombuffer(xxhash.xxh3_128_digest(data), np.int64).tolist()
+                        out.append({**r, "file": file, "content": content[0], "content2": content[1], "start": r["start"] + start, "bytes": data})
+                yield pa.RecordBatch.from_pylist(out, _STRINGS)
+
+    return strings.mapInArrow(run, STRINGS)
 
-    windows = strings.select("doc", "mark", "start", "bytes").mapInArrow(run, "doc bigint, mark int, a int, name binary")
-    windows = common.materialize(windows, "windows")
-    again = windows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    return windows.join(again, "name").select("doc", "mark", "a", (F.col("a") + length).alias("b"))
 
+def _filed_again(strings: DataFrame, length: int, file_chunks: int, widths: tuple[int, ...] = WIDTHS) -> tuple[DataFrame, list[DataFrame]]:
+    """The strings (a table of ``materialize``) in files of at most file_chunks, and the spans that are known on the way.
 
-def spans(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, file_chunks: int = FILE_CHUNKS) -> DataFrame:
+    Equal pieces are repeats; one of them stays to be compared with others, with copies above 1. The
+    last width is 1: a file is then one window, and has one string.
+    """
+    done, known = [], []
+    for width in widths:
+        large = strings.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > file_chunks)
+        large = common.materialize(large, "large-files")
+        if large.isEmpty():
+            break
+        total = large.agg(F.sum("n")).head()[0]
+        done.append(strings.join(common.small(large), "file", "left_anti"))
+        pieces = common.materialize(_parted(common.spread_join(strings, large, ["file"], total).drop("n"), width, length), "pieces")
+        one = F.min_by(F.struct("copies", "doc", "mark", "start", "bytes"), F.struct("doc", "mark", "start"))
+        groups = pieces.groupBy("file", *CONTENT).agg(F.count(F.lit(1)).alias("n"), one.alias("one"))
+        groups = common.materialize(groups.select("file", *CONTENT, "n", "one.*").withColumn("copies", F.when(F.col("n") > 1, 2).otherwise(F.col("copies")).cast("bigint")), "groups")
+        again = common.materialize(groups.where("n > 1").select("file", *CONTENT, "n"), "again")
+        twice = common.spread_join(pieces.where("copies = 1"), again, ["file", *CONTENT], total)
+        known.append(twice.select("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.octet_length("bytes")).alias("b")))
+        strings = groups.drop("n")
+    for d in done:
+        strings = strings.unionByName(d.select(*strings.columns))
+    return strings, known
+
+
+def spans(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, file_chunks: int = FILE_CHUNKS, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """(doc, mark, spans) of the documents with repeats; spans may overlap."""
     every = common.materialize(_all_chunks(docs, length), "chunks")
-    files = every.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in CONTENT for f in (F.min, F.max))).where("n > 1")
-    shared = every.join(files.select("file", F.expr("min_content <> max_content or min_content2 <> max_content2").alias("mixed")), "file")
-    shared = common.materialize(shared, "shared-chunks")
-    common.release(every)
-    whole = shared.where("not mixed").select("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
+    total = every.count()
+    ends = (f(c).alias(f"{f.__name__}_{c}") for c in CONTENT for f in (F.min, F.max))
+    files = every.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *ends).where("n > 1")
+    files = common.materialize(files.select("file", "n", F.expr("min_content <> max_content or min_content2 <> max_content2").alias("mixed")), "files")
+    shared = common.materialize(common.spread_join(every, files, ["file"], total).drop("n"), "shared-chunks")
+    common.release(every, files)
+    span = ("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
     mixed = shared.where("mixed")
     different = mixed.groupBy("file", *CONTENT).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark", "start", "size")).alias("at"))
     different = common.materialize(different.select("file", *CONTENT, "copies", "at.*"), "different-chunks")
-    copies = mixed.join(different.where("copies > 1").select("file", *CONTENT), ["file", *CONTENT])
-    copies = copies.select("doc", "mark", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
+    again = common.materialize(different.where("copies > 1").select("file", *CONTENT, "copies"), "repeated-chunks")
+    copies = common.spread_join(mixed, again, ["file", *CONTENT], total, "copies")
     strings = common.materialize(_fetched(docs, different), "strings")
-    large = common.materialize(strings.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > file_chunks).select("file"), "large-files")
-    parts = [whole, copies, _sorted_blocks(strings.join(large, "file", "left_anti"), length, block_bytes)]
-    if not large.isEmpty():
-        some = strings.join(large, "file", "left_semi")
-        parts.append(_named_windows(some, length))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.union(p)
+    common.release(different)
+    small_files, known = _filed_again(strings, length, file_chunks, widths)
+    rows = shared.where("not mixed").select(*span)
+    for found in (copies.select(*span), *known, _sorted_blocks(small_files, length, block_bytes)):
+        rows = rows.unionByName(found)
     out = rows.groupBy("doc", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     out = common.materialize(out, "spans")
     common.release(shared, strings)
