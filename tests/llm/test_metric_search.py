@@ -69,6 +69,42 @@ def test_blocks_of_small_tables_have_trees(spark):
     assert tree.compared < 0.75 * n * n
 
 
+def levels(tree):
+    def depth(page):
+        leaf, _, _, _, children = tree.pages[page]
+        return 1 if leaf else 1 + max(depth(c) for c in children.tolist())
+
+    return depth(tree.root)
+
+
+def test_blocks_of_the_given_table_have_several_levels(spark):
+    rows = M.quantised(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")).collect()
+    v = np.array([r.v for r in rows])
+    top = int((v * v).sum(1).max())
+    block, gap = M.Upper([r.v for r in rows[: M.LEAST_BLOCKS]], top).nearest(v)
+    assert len(np.unique(block)) > 6 and np.isfinite(gap).all()
+    deep = [levels(M.MTree(np.arange((block == b).sum()), v[block == b], top)) for b in np.unique(block) if (block == b).sum() > 4 * M.PAGE]
+    assert deep and min(deep) >= 3
+
+
+def test_queries_skip_blocks_and_pages_of_clustered_rows(spark):
+    rng = np.random.default_rng(5)
+    v = np.float32((rng.normal(size=(40, 1, 6)) * 9 + rng.normal(size=(40, 100, 6)) / 4).reshape(-1, 6))
+    rows = [(int(i), [float(c) for c in x]) for i, x in enumerate(rng.permutation(v))]
+    counter = spark.sparkContext.accumulator(0)
+    out = M.top_k(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA), F.col("vec_id") % 50 == 0, 5, counter=counter).collect()
+    assert sorted(map(tuple, out)) == brute(rows, 50, 5)
+    assert 0 < counter.value < 0.5 * 80 * len(rows)
+
+
+def test_one_vector_that_most_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_ROWS", 60)
+    rng = np.random.default_rng(6)
+    rows = [(i, [1.0, -2.0, 3.0]) for i in range(300)] + [(300 + i, [float(c) for c in np.float32(rng.normal(size=3))]) for i in range(200)]
+    out = M.top_k(spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA), F.col("vec_id") % 20 == 0, 5).collect()
+    assert sorted(map(tuple, out)) == brute(rows, 20, 5)
+
+
 def test_large_components(spark):
     rows = [(i, [float(np.float32((-1) ** i * 3e6 / (i + 1))), 1e6]) for i in range(40)]
     df = spark.createDataFrame([(*r, 0, 0) for r in rows], SCHEMA)

@@ -2,18 +2,24 @@
 
 Inner product becomes a metric by one more coordinate: with M the largest norm of all rows,
 x' = (x, sqrt(M^2 - |x|^2)) and q' = (q, 0) have squared distance |q|^2 + M^2 - 2 q.x, so the
-nearest rows are those of the highest scores. Rows are dealt over blocks by a hash; each block
-bulk-loads an M-tree (pages of routing objects with covering radii and distances to their parent)
-and answers the stated queries best-first: a page is opened by the lower bound of its distances,
-and an entry whose parent distance already rules it out by the triangle inequality is never
-compared. Scores themselves are exact integers. Blocks are bounded; queries stream through them.
+nearest rows are those of the highest scores.
+
+The upper level is distributed: at most ``PIVOTS`` rows, chosen by a hash, are routing objects, and
+every row goes to the nearest one, with its distance; the largest of these is the covering radius.
+Each such block (a block of more than ``BLOCK_ROWS`` rows is several parts) bulk-loads an M-tree:
+pages of routing objects with covering radii and distances to their parent. A query first visits
+its own block; its k-th score there is a bound, with which it goes only to the blocks that the bound
+allows. Within a tree the search is best-first: a page is opened by the lower bound of its
+distances, and an entry whose parent distance already rules it out by the triangle inequality is
+never compared. Scores themselves are exact integers.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part,
-neither do rows with a null id; vectors are compared with those of their own length; rows that
-share a query's id are its own; components beyond 2^31 (after scaling) are refused with an error.
-Ties go to the smaller id. Rows count as often as they are there, as in the SQL: each copy of a row
-takes a rank of its own, and the rows of a repeated query id share one list of k, to which each
-brings its own candidates. An empty table gives no rows.
+neither do rows with a null id; vectors are compared with those of their own length, however long;
+rows that share a query's id are its own; components beyond 2^31 (after scaling) are refused with an
+error. Ties go to the smaller id. Rows count as often as they are there, as in the SQL: each copy of a
+row takes a rank of its own, and the rows of a repeated query id share one list of k, to which each
+brings its own candidates. An empty table gives no rows; other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,20 +29,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Entries of a leaf at most; in smaller blocks half their rows, so that these have trees too, down to LEAST_PAGE rows.
-PAGE = 1024
-LEAST_PAGE = 32
-FANOUT = 8
-BLOCK_ROWS = 50_000
-LEAST_BLOCKS = 12
+#: Entries of a leaf, and of a routing page, at most.
+PAGE, FANOUT = 32, 4
+#: Rows of a part of a block, about; routing objects of the upper level, at least and at most.
+BLOCK_ROWS, LEAST_BLOCKS, PIVOTS = 50_000, 12, 4096
 _SLACK = 1e-6
 
 
+def distance(base: float, score: int) -> float:
+    """The distance of a row of this score from a query with |q|^2 + M^2 = base, with room for rounding in float64."""
+    return float(np.sqrt(max(base - 2.0 * score, 0.0))) + _SLACK * (1 + float(np.sqrt(base)))
+
+
 class MTree:
     """A bulk-loaded M-tree over integer vectors under the augmented metric."""
 
@@ -48,7 +58,6 @@ class MTree:
         # a page: (is_leaf, row of each entry's object, its distance to the page's own object, radius, child page)
         self.pages: list[tuple] = []
         self.compared = 0
-        self.page = min(PAGE, max(LEAST_PAGE, len(ids) // 2))
         self.root = self._page(np.arange(len(ids)), None) if len(ids) else None
 
     def _distance(self, rows: np.ndarray, to: int) -> np.ndarray:
@@ -56,7 +65,7 @@ class MTree:
         return np.sqrt((d * d).sum(1) + (self.rest[rows] - self.rest[to]) ** 2)
 
     def _page(self, rows: np.ndarray, parent: int | None) -> int:
-        if len(rows) <= self.page:
+        if len(rows) <= PAGE:
             near = self._distance(rows, parent) if parent is not None else None
             self.pages.append((True, rows, near, None, None))
             return len(self.pages) - 1
@@ -72,7 +81,7 @@ class MTree:
             least = np.minimum(least, d)
             chosen.append(far)
         if len(chosen) == 1:  # all rows are the same point
-            parts = np.array_split(rows, min(FANOUT, -(-len(rows) // self.page)))
+            parts = np.array_split(rows, min(FANOUT, -(-len(rows) // PAGE)))
             objects = [int(p[0]) for p in parts]
         else:
             parts, objects = [rows[owner == k] for k in range(len(chosen))], chosen
@@ -83,14 +92,14 @@ class MTree:
         self.pages.append((False, routing, near, radius, np.array(children)))
         return len(self.pages) - 1
 
-    def search(self, query: np.ndarray, own: int | None, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id), by score down and id up."""
+    def search(self, query: np.ndarray, own: int | None, k: int, floor: int | None = None) -> list[tuple[int, int]]:
+        """The k best (score, id), by score down and id up; of those below the score floor some may be missing."""
         if self.root is None:
             return []
         q = query.astype(np.float64)
         base = float(q @ q) + self.top
         best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst is on top
-        limit = np.inf  # distance of the k-th best
+        limit = np.inf if floor is None else distance(base, floor)  # of the k-th best
         queue: list[tuple[float, int, float]] = [(0.0, self.root, -1.0)]
         while queue:
             bound, page, to_parent = heapq.heappop(queue)
@@ -118,7 +127,7 @@ class MTree:
                     elif entry > best[0]:
                         heapq.heapreplace(best, entry)
                 if len(best) == k:
-                    limit = np.sqrt(max(base - 2.0 * best[0][0], 0.0)) * (1 + 1e-9) + _SLACK
+                    limit = min(limit, distance(base, best[0][0]))
             else:
                 d = np.sqrt(np.maximum(base - 2.0 * (self.v[rows] @ q), 0))
                 for dist, r, child in zip(d.tolist(), radius.tolist(), children.tolist(), strict=True):
@@ -134,44 +143,160 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     return x.where(fine).select(F.col("vec_id").cast("bigint"), F.transform("embedding", lambda c: F.floor(c.cast("double") * scale)).alias("v"))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
-    """query_id, rank, vec_id, score: the k rows of highest integer inner product of each query."""
-    spark = vectors.sparkSession
-    rows = quantised(vectors, scale)
-    largest = F.aggregate("v", F.lit(0).cast("double"), lambda s, c: s + c.cast("double") * c.cast("double"))
-    wide = F.array_max(F.transform("v", F.abs))
-    stats = rows.agg(F.count(F.lit(1)), F.max(largest), F.max(wide)).head()
-    if stats[2] is not None and stats[2] >= 2**31:
-        raise ValueError(f"a scaled component is {stats[2]}; scores would not fit 64 bits")
-    n, top = stats[0], int(stats[1] or 0)
-    blocks = max(LEAST_BLOCKS, -(-n // BLOCK_ROWS))
-    data = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "vec_id", "v")
-    asked = rows.where(is_query).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "vec_id", "v")
-    dealt = data.union(asked).repartition(4 * blocks, "block").sortWithinPartitions("block", "dim", "kind")
+class Upper:
+    """The routing objects of the upper level, by vector length."""
+
+    def __init__(self, vectors: list[list[int]], top: int):
+        self.top, self.by_length = float(top), {}
+        for n in {len(v) for v in vectors}:
+            v = np.unique(np.array([v for v in vectors if len(v) == n], np.float64), axis=0)
+            self.by_length[n] = v, self._rest(v)
+
+    def _rest(self, v: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(self.top - (v * v).sum(1), 0))
+
+    def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(block, distance from its object) of each row; a length without objects is one block."""
+        if v.shape[1] not in self.by_length:
+            return np.zeros(len(v), np.int32), np.full(len(v), np.inf)
+        objects, rest = self.by_length[v.shape[1]]
+        v = v.astype(np.float64)
+        own = self._rest(v)
+        far = (v * v).sum(1)[:, None] + (objects * objects).sum(1) - 2.0 * (v @ objects.T) + (own[:, None] - rest) ** 2
+        block = far.argmin(1)
+        d = v - objects[block]
+        return block.astype(np.int32), np.sqrt((d * d).sum(1) + (own - rest[block]) ** 2)
+
+    def allowed(self, query: np.ndarray, radii: dict[int, float], floor: int | None) -> list[int]:
+        """The blocks that may hold a row of score floor or more."""
+        blocks = sorted(radii)
+        if floor is None or len(query) not in self.by_length:
+            return blocks
+        objects, _ = self.by_length[len(query)]
+        q = query.astype(np.float64)
+        base = float(q @ q) + self.top
+        d = np.sqrt(np.maximum(base - 2.0 * (objects[blocks] @ q), 0))
+        radius = np.array([radii[b] for b in blocks])
+        return np.array(blocks)[d - radius <= distance(base, floor) + _SLACK].tolist()
+
+
+_ASKED = "query_id bigint, vec_id bigint, score bigint"
+_ROWS = "dim int, block int, gap double, asked boolean, row bigint, vec_id bigint, v array<bigint>"
+
+
+def _vectors(batch: pa.RecordBatch, column: int, at: int, n: int, dim: int) -> np.ndarray:
+    return batch.column(column).slice(at, n).flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
+
+
+def _cuts(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of equal rows."""
+    edge = np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0)) + 1
+    return [(a, b) for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(columns[0])], strict=True) if a < b]
+
+
+def _assigned(rows: DataFrame, upper: Upper) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(upper)  # at most PIVOTS vectors
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            dim = batch.column(0).to_numpy(zero_copy_only=False)
+            block, gap = np.empty(len(dim), np.int32), np.empty(len(dim))
+            for a, b in _cuts(dim):
+                block[a:b], gap[a:b] = shared.value.nearest(_vectors(batch, 4, a, b - a, int(dim[a])))
+            cols = [batch.column(0), pa.array(block), pa.array(gap), *batch.columns[1:]]
+            yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _ROWS.split(", ")])
+
+    return rows.mapInArrow(run, _ROWS)
+
+
+def _answers(data: DataFrame, asked: DataFrame, top: int, k: int, tasks: int, counter: Accumulator | None) -> DataFrame:
+    """_ASKED of the queries in the parts of blocks that they were sent to, k each."""
+    key = ["dim", "block", "part"]
+    data = data.select(*key, F.lit(0).alias("kind"), "vec_id", F.lit(None).cast("bigint").alias("floor"), "v")
+    asked = asked.select(*key, F.lit(1).alias("kind"), "vec_id", "floor", "v")
+    dealt = data.union(asked).repartition(tasks, *key).sortWithinPartitions(*key, "kind")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        key, ids, parts, tree = None, [], [], None
+        here, ids, parts, tree = None, [], [], None
         for batch in batches:
-            block, dim, kind, vec = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(dim) != 0) | (np.diff(kind) != 0)) + 1
+            dim, block, part, kind, vec = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             out: list[tuple] = []
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-                if a == b:
-                    continue
-                part = batch.column(4).slice(a, b - a).flatten().to_numpy(zero_copy_only=False).reshape(b - a, int(dim[a]))
-                if key != (block[a], dim[a]):
-                    key, ids, parts, tree = (block[a], dim[a]), [], [], None
+            for a, b in _cuts(dim, block, part, kind):
+                some = _vectors(batch, 6, a, b - a, int(dim[a]))
+                if here != (dim[a], block[a], part[a]):
+                    here, ids, parts, tree = (dim[a], block[a], part[a]), [], [], None
                 if kind[a] == 0:
                     ids.append(vec[a:b])
-                    parts.append(part)
+                    parts.append(some)
                     continue
                 if tree is None:
-                    tree = MTree(np.concatenate(ids) if ids else np.empty(0, np.int64), np.concatenate(parts) if parts else np.empty((0, int(dim[a])), np.int64), top)
-                for q, x in zip(vec[a:b].tolist(), part, strict=True):
-                    out += [(q, v, s) for s, v in tree.search(x, q, k)]
+                    tree = MTree(np.concatenate(ids) if ids else np.empty(0, np.int64), np.concatenate(parts) if parts else some[:0], top)
+                floors = batch.column(5).slice(a, b - a).to_pylist()
+                for q, x, floor in zip(vec[a:b].tolist(), some, floors, strict=True):
+                    before = tree.compared
+                    out += [(q, v, s) for s, v in tree.search(x, q, k, floor)]
+                    if counter is not None:
+                        counter.add(tree.compared - before)
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
 
-    found = dealt.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return dealt.mapInArrow(run, _ASKED)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, counter: Accumulator | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: the k rows of highest integer inner product of each query.
+
+    counter adds up the objects of trees that queries are compared with, if given.
+    """
+    spark = vectors.sparkSession
+    rows = quantised(vectors, scale)
+    largest = F.aggregate("v", F.lit(0).cast("double"), lambda s, c: s + c.cast("double") * c.cast("double"))
+    wide = F.array_max(F.transform("v", F.abs))
+    n, top, widest = rows.agg(F.count(F.lit(1)), F.max(largest), F.max(wide)).head()
+    if not n:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    if widest >= 2**31:
+        raise ValueError(f"a scaled component is {widest}; scores would not fit 64 bits")
+    top = int(top)
+    pivots = min(PIVOTS, max(LEAST_BLOCKS, -(-n // BLOCK_ROWS)))
+    chosen = rows.select("v").orderBy(F.xxhash64("v"), "vec_id").limit(pivots).collect()  # at most PIVOTS vectors
+    upper = Upper([r["v"] for r in chosen], top)
+    numbered = rows.select(F.size("v").alias("dim"), F.coalesce(is_query, F.lit(False)).alias("asked"), F.monotonically_increasing_id().alias("row"), "vec_id", "v")
+    rows = common.materialize(_assigned(numbered, upper), "vectors")
+    # a row for each pivot, and one for each length without
+    sizes = rows.groupBy("dim", "block").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()
+    blocks = spark.createDataFrame([(r[0], r[1], -(-r[2] // BLOCK_ROWS)) for r in sizes], "dim int, block int, parts int")
+    tasks = 4 * sum(-(-r[2] // BLOCK_ROWS) for r in sizes)
+    radii: dict[int, dict[int, float]] = {}
+    for r in sizes:
+        radii.setdefault(r["dim"], {})[r["block"]] = r["radius"]
+    rows = rows.join(F.broadcast(blocks), ["dim", "block"])  # at most PIVOTS rows of three numbers
+    data = rows.withColumn("part", F.pmod("row", F.col("parts")).cast("int"))
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    asked = rows.where("asked").select("dim", "block", "parts", "vec_id", F.lit(None).cast("bigint").alias("floor"), "v")
+    first = _answers(data, asked.select("*", every_part), top, k, tasks, counter)
+    first = common.materialize(_best(first, k), "first-answers")
+    floors = first.where(F.col("rank") == k).select("vec_id", "query_id", "score").select(F.col("query_id").alias("vec_id"), F.col("score").alias("known"))
+    shared = spark.sparkContext.broadcast((upper, radii))
+
+    def visits(batches: Iterator[pa.RecordBatch]):
+        upper, radii = shared.value
+        for batch in batches:
+            dim, own, floor = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            found = [
+                [b for b in upper.allowed(_vectors(batch, 4, i, 1, d)[0], radii[d], f) if b != o]
+                for i, (d, o, f) in enumerate(zip(dim, own, floor, strict=True))
+            ]
+            cols = [batch.column(0), pa.array(found, pa.list_(pa.int32())), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(cols, ["dim", "blocks", "vec_id", "floor", "v"])
+
+    asked = asked.join(floors, "vec_id", "left").select("dim", "block", "vec_id", F.col("known").alias("floor"), "v")
+    sent = asked.mapInArrow(visits, "dim int, blocks array<int>, vec_id bigint, floor bigint, v array<bigint>")
+    sent = sent.select("dim", F.explode("blocks").alias("block"), "vec_id", "floor", "v").join(F.broadcast(blocks), ["dim", "block"])
+    second = _answers(data, sent.select("*", every_part), top, k, tasks, counter)
+    return _best(first.drop("rank").unionByName(second), k).select("query_id", "rank", "vec_id", "score")
