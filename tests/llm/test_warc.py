@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from voxelweave.llm import common
 from voxelweave.llm import warc as W
 
 SCHEMA = "page_id bigint, url string, html string, Digest string, OFFSET int"
@@ -50,6 +51,25 @@ def test_round_trip(spark, tmp_path):
         assert all(texts[p] in {r[2] or "" for r in rows() if r[0] == p} for p in texts)
 
 
+def test_hot_payloads_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_SHARE", 10**6)
+    data = rows() + [(500 + i, f"http://e/{i}", ("", None)[i % 2], "", 0) for i in range(40)] + [(499, None, "", "", 0), (499, "http://e", "", "", 0)]
+    folder = f"file://{tmp_path}/hot"
+    index = W.write(spark.createDataFrame(data, SCHEMA), folder, file_bytes=2000)
+    assert digest(W.read(index, folder)) == expected(data, 0)
+
+
+def test_record_ids_are_unique(spark, tmp_path):
+    for least in (0, 10):
+        folder = f"{tmp_path}/{least}"
+        W.write(spark.createDataFrame(rows(), SCHEMA), f"file://{folder}", least, file_bytes=2000)
+        text = b"".join(gzip.decompress(open(os.path.join(folder, n), "rb").read()) for n in os.listdir(folder) if n.endswith(".gz"))
+        ids = [x for x in text.split(b"\r\n") if x.startswith(b"WARC-Record-ID")]
+        refers = {x.split(b": ")[1] for x in text.split(b"\r\n") if x.startswith(b"WARC-Refers-To")}
+        assert len(ids) == len(set(ids)) == len(rows()) and refers <= {x.split(b": ")[1] for x in ids}
+
+
 def test_index_ranges_are_whole_records(spark, tmp_path):
     folder = f"file://{tmp_path}/w"
     index = W.write(spark.createDataFrame(rows(), SCHEMA), folder).collect()
