@@ -18,9 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is configured."""
+    """The folder that driver and executors share; one of our own only on a single machine where none is configured."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="voxelweave-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark._jsc.sc().getCheckpointDir().isEmpty():
@@ -120,7 +122,11 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of so many rows, if the session has Spark's default: rows here are whole documents."""
+    """Arrow batches of so many rows, if the session has Spark's default: rows here are whole documents.
+
+    This holds for the session, as a plan reads it when it runs. Spark itself bounds a batch to 64 MB
+    (spark.sql.execution.arrow.maxBytesPerBatch), whatever its rows.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, rows)

@@ -13,7 +13,7 @@ from .common import new_path, table
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return toxicity.classify(docs, table(spark, sf_dir, "labels"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

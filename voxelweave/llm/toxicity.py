@@ -7,14 +7,17 @@ beyond the label (a log-linear model with pair terms, fitted by EM; labelled tra
 their label in the E step). A linear classifier on hit counts is then trained on the posterior
 labels and scores every whole text.
 
-The vote patterns of all documents are counted in a distributed aggregate of at most
-3 * 2^len(VOTERS) rows. Lexicons and classifier are fitted on a bounded sample of labelled rows: at
-most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` distinct texts, none above ``sampling.MAX_CHARS``; an induced
-lexicon has at most ``MAX_ENTRIES`` entries.
+Votes and counts of all documents are worked out once, whole texts, and written as a table; the vote
+patterns are counted in a distributed aggregate of at most 3 * 2^len(VOTERS) rows. Lexicons and
+classifier are fitted on a bounded sample of labelled rows: at most ``TOXIC_ROWS`` and ``CLEAN_ROWS``
+distinct texts, none above ``sampling.MAX_CHARS``; an induced lexicon has at most ``MAX_ENTRIES``
+entries. The label model's posteriors of at most ``UNLABELLED_ROWS`` documents without a label (by a
+hash of the id, none held out) train the classifier too, with ``UNLABELLED_WEIGHT`` in all.
 
 Defined results: a null text is scored as an empty one; labels other than 0 and 1, or without a
 document, are ignored; without any labels the fixed lexicon and the patterns vote alone; each input
-row gives one row.
+row gives one row, repeated ones and those without an id too; an empty table gives none; other
+columns, whatever their names, are ignored by the scores and kept by the filters.
 """
 
 from __future__ import annotations
@@ -26,12 +29,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from . import common, linear, sampling
 
 TOXIC_ROWS, CLEAN_ROWS, MAX_ENTRIES = 4000, 12_000, 2000
+UNLABELLED_ROWS, UNLABELLED_WEIGHT = 8000, 0.25
 THRESHOLD = 0.5
 #: Common insults.
 INSULTS = """
@@ -197,37 +202,57 @@ class Model:
         return self.fit(np.array([self.lexicons.features(t)[1] for t in texts])) if texts else np.empty(0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", rows: tuple[int, int] = (CLEAN_ROWS, TOXIC_ROWS)) -> Model:
-    spark = docs.sparkSession
-    sample = common.materialize(sampling.sample(docs, labels, name, {0: rows[0], 1: rows[1]}), "toxicity-sample")
-    lexicons = induce(sample)
-    shared = spark.sparkContext.broadcast(lexicons)
+def _measured(docs: DataFrame, lexicons: Lexicons, text: str) -> DataFrame:
+    """The columns of docs with votes and counts of each text, kept in the shared folder."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicons)  # at most 4 * MAX_ENTRIES entries
+    names, at = [*docs.columns, "_bits", "_x"], docs.columns.index(text)
 
-    def count(batches: Iterator[pa.RecordBatch]):
-        seen: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            seen.update(shared.value.features(t)[0] for t in batch.column(0).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int32()), pa.array(seen.values(), pa.int64())], ["bits", "n"])
+            found = [shared.value.features(t) for t in batch.column(at).to_pylist()]
+            cols = [pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names)
 
-    def extract(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            found = [shared.value.features(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.float64()))], ["doc_id", "label", "bits", "x"])
+    schema = StructType([*docs.schema.fields, StructField("_bits", IntegerType()), StructField("_x", ArrayType(DoubleType()))])
+    return docs.mapInArrow(run, schema)
 
+
+def _trained(measured: DataFrame, sample: DataFrame, lexicons: Lexicons) -> Model:
+    """measured: doc_id, _bits, _x of all documents; sample: doc_id, label."""
     counts = np.zeros((3, 1 << len(VOTERS)))
-    for r in common.only(docs, "text").mapInArrow(count, "bits int, n bigint").groupBy("bits").agg(F.sum("n").alias("n")).collect():  # at most 2^voters rows
-        counts[2, r["bits"]] = r["n"]
-    got = sample.select("doc_id", "label", "text").mapInArrow(extract, "doc_id bigint, label int, bits int, x array<double>").orderBy("doc_id", "label").collect()
+    for r in measured.groupBy("_bits").count().collect():  # at most 2^voters rows
+        counts[2, r["_bits"]] = r["count"]
+    ids = F.broadcast(sample)  # bounded
+    got = measured.join(ids, "doc_id").select("doc_id", "label", "_bits", "_x").orderBy("doc_id", "label", "_bits", "_x").collect()
     for r in got:
-        counts[r["label"], r["bits"]] += 1
-    if got:  # the sampled rows are among all documents
-        counts[2] = np.maximum(counts[2] - counts[0] - counts[1], 0)
+        counts[r["label"], r["_bits"]] += 1
+    counts[2] = np.maximum(counts[2] - counts[0] - counts[1], 0)  # the labelled rows are among all documents
     model = LabelModel(counts)
-    if got:
-        x, y = np.array([r["x"] for r in got]), np.array([model.posterior[r["bits"]] for r in got])
-    else:  # no labels: the vote patterns themselves, by their counts, are what there is
+    if not got:  # no labels: the vote patterns themselves, by their counts, are what there is
         return Model(lexicons, model, _by_votes(model))
-    return Model(lexicons, model, linear.fit(x, y))
+    free = measured.where(F.col("doc_id").isNotNull() & ~common.held_out(F.col("doc_id"))).join(ids, "doc_id", "left_anti")
+    more = free.orderBy(F.xxhash64("doc_id"), "doc_id", "_bits", "_x").limit(UNLABELLED_ROWS).collect()
+    x, y = np.array([r["_x"] for r in (*got, *more)]), np.array([model.posterior[r["_bits"]] for r in (*got, *more)])
+    weight = np.r_[np.ones(len(got)), np.full(len(more), UNLABELLED_WEIGHT * len(got) / max(len(more), 1))]
+    return Model(lexicons, model, linear.fit(x, y, weight))
+
+
+def learn(docs: DataFrame, labels: DataFrame, name: str = "toxic", rows: tuple[int, int] = (CLEAN_ROWS, TOXIC_ROWS), keep: bool = False) -> tuple[Model, DataFrame]:
+    """The fitted model, and a table of all documents with _bits and _x: (doc_id, _bits, _x), or with keep all columns by position."""
+    sample = common.materialize(sampling.sample(docs, labels, name, {0: rows[0], 1: rows[1]}), "toxicity-sample")
+    lexicons = induce(sample)
+    if keep:
+        every, place = common.positional(docs)
+        measured = common.materialize(_measured(every, lexicons, place["text"]), "toxicity-votes")
+        by_id = measured.select(F.col(place["doc_id"]).cast("bigint").alias("doc_id"), "_bits", "_x")
+    else:
+        every = common.only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), "text")
+        measured = by_id = common.materialize(_measured(every, lexicons, "text").drop("text"), "toxicity-votes")
+    return _trained(by_id, sample.select("doc_id", "label"), lexicons), measured
+
+
+def fit(docs: DataFrame, labels: DataFrame, name: str = "toxic", rows: tuple[int, int] = (CLEAN_ROWS, TOXIC_ROWS)) -> Model:
+    return learn(docs, labels, name, rows)[0]
 
 
 def _by_votes(model: LabelModel) -> linear.Logistic | linear.Constant:
@@ -236,32 +261,35 @@ def _by_votes(model: LabelModel) -> linear.Logistic | linear.Constant:
     return linear.fit(np.array([x for _, x in found]), np.array([float(b > 0) for b, _ in found]))
 
 
-def _scorer(shared, column: int):
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            yield batch, shared.value(batch.column(column).to_pylist())
+def _score(model: Model) -> Column:
+    """The score of a row with _x."""
+    fit = model.fit
+    if isinstance(fit, linear.Constant):
+        return F.lit(float(fit.p))
+    z = F.lit(float(fit.w[-1]))
+    for i, (mean, sd, w) in enumerate(zip(fit.mean.tolist(), fit.sd.tolist(), fit.w.tolist(), strict=False)):
+        z = z + w * F.greatest(F.lit(-20.0), F.least(F.lit(20.0), (F.col("_x")[i] - mean) / sd))
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
 
-    return run
+
+def _scored(measured: DataFrame, model: Model, threshold: float) -> DataFrame:
+    rows = measured.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), _score(model).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    scored = _scorer(docs.sparkSession.sparkContext.broadcast(model), 1)
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch, s in scored(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
+    rows = common.only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), "text")
+    return _scored(_measured(rows, model.lexicons, "text"), model, threshold)
 
-    rows = common.only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(run, "doc_id bigint, score double")
-    return rows.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
+def classify(docs: DataFrame, labels: DataFrame, name: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """As score with a model fitted on the same documents, in one pass over their words."""
+    model, measured = learn(docs, labels, name)
+    return _scored(measured, model, threshold)
 
-def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with scores below threshold, all columns as they were."""
-    scored = _scorer(docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch, s in scored(batches):
-            yield batch.filter(pa.array(s < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+def keep_clean(docs: DataFrame, labels: DataFrame, name: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with scores below threshold, all columns as they were; the model is fitted on them."""
+    model, measured = learn(docs, labels, name, keep=True)
+    return measured.where(_score(model) < threshold).drop("_bits", "_x").toDF(*docs.columns)
