@@ -15,11 +15,11 @@ from voxelweave.llm import common, decontamination, minhash, packing, suffix_ded
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised classifier calls toxic go."""
-    return toxicity.keep_clean(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
+    return toxicity.keep_clean(docs, common.table(spark, sf_dir, "labels"))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8 or more) the document with the smallest id stays."""
     return minhash.keep_one(docs)
 
 
