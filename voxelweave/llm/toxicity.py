@@ -29,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
@@ -108,16 +108,10 @@ def induce(sample: DataFrame, most: int = MAX_ENTRIES, odds: float = 3.0, chance
     lift = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     share = -np.log((toxic + 0.5) / (toxic + clean + 1.0))
     good = counts.where(F.col("toxic") * float(share) >= float(-np.log(chance)) + 3.0 * F.col("clean")).withColumn("lift", lift).where(F.col("lift") >= odds)
-    starts: dict[int, frozenset[str]] = {}
-    words: frozenset[str] = frozenset()
-    for kind in (0, *STARTS):
-        rows = good.where(F.col("kind") == kind).orderBy(F.desc("lift"), F.desc("toxic"), "entry").limit(most).collect()
-        entries = frozenset(r["entry"] for r in rows)
-        if kind:
-            starts[kind] = entries
-        else:
-            words = entries
-    return Lexicons(starts, words)
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("lift"), F.desc("toxic"), "entry"))
+    rows = good.withColumn("rank", rank).where(F.col("rank") <= most).select("kind", "entry").collect()  # at most 4 * most
+    found = {kind: frozenset(r["entry"] for r in rows if r["kind"] == kind) for kind in (0, *STARTS)}
+    return Lexicons({k: found[k] for k in STARTS}, found[0])
 
 
 def _counted(seen: list[Counter]) -> pa.RecordBatch:
