@@ -13,12 +13,13 @@ at 0.80 with 8e-5 (for independent coordinates; README has measured figures).
 Shingles are named by 64 bits: words of up to 16 bytes enter with all their bytes, longer ones by
 xxh3, and every step mixes non-linearly, so no family of texts is bound to collide.
 
-Large groups: equal sets are one node from the start. In every bucket the smallest id, and in buckets
-that still span several components one more, are compared with the members of other components. What
-remains is settled around a hub, the document that names the bucket's most common component: a pair
-can only be linked if its parts inside the hub's set are large enough, or if it shares shingles
-outside the hub's set, which an equi join on those finds. So no pairs of a group of copies are listed, and yet every candidate pair is either
-compared, ruled out by a bound, or already connected.
+Large groups: equal sets are one node from the start. In every bucket that spans several components a
+pivot is compared with the members of other components, first the smallest id, then the most central
+text, as long as that settles enough. What remains is settled around hubs, central texts, by what
+each member differs from the hub in: a pair can only be linked if these differences have enough in
+common, which bounds and an equi join on the rarest of them decide. So no pairs of a group of copies
+are listed, and yet every candidate pair is either compared, ruled out by a bound, or already
+connected.
 
 Defined results: null text, or text without words, has an empty set and no links; fewer words than
 a shingle give one shingle of all words; rows with a null id are linked with nothing and kept; rows
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -45,6 +46,8 @@ SHINGLE, BANDS, ROWS = 5, 40, 7
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 CELLS = 1 << 20
+#: Buckets get further pivots while a turn brings their members below this share of what they were.
+WORTH_A_TURN = 0.9
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 #: The lowest k bytes of a word of 8.
@@ -203,8 +206,23 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(F.first("hashes").alias("hashes"))  # repeated rows give a set more than once
 
 
+#: Rows that get one copy of a set in a join; a hot document's set is copied as often as its rows need.
+ROWS_A_COPY = 2000
+
+
+def _beside(rows: DataFrame, sets: DataFrame, end: str, name: str) -> DataFrame:
+    """rows with the set of the document in the column end, under name; no document's rows go to one task."""
+    sizes = rows.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / ROWS_A_COPY).cast("int").alias("copies")).where("copies > 1")
+    sizes = common.small(common.materialize(sizes, "hot-documents"))
+    spread = F.pmod(F.xxhash64(*(c for c, t in rows.dtypes if t == "bigint")), F.coalesce("copies", F.lit(1))).cast("int")
+    left = rows.join(sizes, end, "left").withColumn("copy", spread).drop("copies")
+    right = sets.select(F.col("id").alias(end), F.col("hashes").alias(name)).join(sizes, end, "left")
+    right = right.select(end, name, F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
+    return left.join(right, [end, "copy"]).drop("copy")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough."""
+    """The pairs (a, b), a table of ``materialize``, whose sets are alike enough."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -217,26 +235,26 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good[i] = 100 * common_ >= percent * (len(both) - common_)
             yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
 
-    left = sets.select(F.col("id").alias("b"), F.col("hashes").alias("second")).join(common.small(pairs), "b")
-    both = left.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("first")), "a")
+    both = _beside(_beside(pairs.select("a", "b"), sets, "b", "second"), sets, "a", "first")
     return both.select("a", "b", "first", "second").mapInArrow(run, "a bigint, b bigint")
 
 
 def _shared_counts(sets: DataFrame, active: DataFrame) -> DataFrame:
-    """(id, most): how many of a document's shingles some other active document has as well."""
+    """(id, most): how many of a document's shingles active documents of other components have as well."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for i, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, r, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = np.frombuffer(h, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), i)), pa.array(hashes)], ["id", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), i)), pa.array(np.full(len(hashes), r)), pa.array(hashes)], ["id", "root", "hash"])
 
-    ids = common.materialize(active.select("id").distinct(), "active-ids")
-    rows = sets.join(common.small(ids), "id", "left_semi").select("id", "hashes").mapInArrow(run, "id bigint, hash bigint")
+    ids = common.materialize(active.select("id", "root").distinct(), "active-ids")
+    rows = sets.join(common.small(ids), "id").select("id", "root", "hashes").mapInArrow(run, "id bigint, root bigint, hash bigint")
     rows = common.materialize(rows, "active-shingles")
-    common.forget(sets.sparkSession)
-    again = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash")
-    return common.materialize(rows.join(again, "hash", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("most")), "shared-counts")
+    apart = rows.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("hash")
+    out = common.materialize(rows.join(apart, "hash", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("most")), "shared-counts")
+    common.release(rows, ids)
+    return out
 
 
 def _without_partners(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -261,50 +279,88 @@ def _unfinished(active: DataFrame) -> DataFrame:
     return common.materialize(active.join(spread, "key", "left_semi").select("key", "id", "n", "root", "most"), "active")
 
 
-def _ball_pairs(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of active members of different components in a bucket that can be linked.
+def _pooled(active: DataFrame) -> DataFrame:
+    """Active members with buckets of one most common component as one bucket, named by that: members that share a bucket still do."""
+    sizes = active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    chosen = common.materialize(sizes.groupBy("key").agg(F.max_by("root", F.struct("c", -F.col("root"))).alias("pool")), "chosen")
+    rows = active.join(common.small(chosen), "key").groupBy("pool", "id").agg(*(F.min(c).alias(c) for c in ("n", "root", "most")))
+    return common.materialize(rows.withColumnRenamed("pool", "key"), "active")
 
-    A bucket's hub is the document that names its most common component. What x and y share lies in the hub h or outside it: |x & y| <= min(|x & h|, |y & h|) + shared,
-    with shared = |(x - h) & (y - h)|. Where the first term is not enough, x and y have a shingle
-    outside the hub in common, so an equi join on those finds the pair. One of the two is not in the
-    hub's component.
+
+def _balls(active: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) to hubs, and the members of balls: (hub, hub_root, id, n, root, d, difference).
+
+    A bucket's hub is the most central text of its most common component. A member's difference are
+    the shingles that it or the hub has alone; d is their number. A member that is linked with the
+    hub counts as one of its component.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            inside, outside = [], []
-            for x, h in zip(batch.column(4), batch.column(5), strict=True):
-                x, h = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
-                rest = x[~np.isin(x, h, assume_unique=True)]
-                inside.append(len(x) - len(rest))
-                outside.append(rest.view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(inside, pa.int64()), pa.array(outside, pa.list_(pa.int64()))], ["hub", "id", "n", "root", "inside", "outside"])
-
-    common_root = active.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", -F.col("root"))).alias("hub"))
-    ball = active.join(common_root, "key").groupBy("hub", "id").agg(F.min("n").alias("n"), F.min("root").alias("root"))
-    ball = common.small(common.materialize(ball, "balls"))
-    own = sets.select("id", F.col("hashes").alias("own")).join(ball, "id")
-    both = own.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub")
-    both = both.select("hub", "id", "n", "root", "own", "hub_hashes").mapInArrow(run, "hub bigint, id bigint, n bigint, root bigint, inside bigint, outside array<bigint>")
-    rows = common.materialize(both, "ball-members")
-    bounds = common.small(common.materialize(rows.groupBy("hub").agg(F.min("n").alias("least_n"), F.max("inside").alias("most_inside")), "ball-bounds"))
-
-    def enough(shared) -> Column:
-        return (100 + percent) * (F.least("inside", "other_inside") + shared) >= percent * (F.col("n") + F.col("other_n"))
-
-    names = {"id": "other", "n": "other_n", "root": "other_root", "inside": "other_inside"}
-    apart = rows.where("root <> hub")
-    differ = F.col("root") != F.col("other_root")
-    # without shingles of their own: only members that could be linked to the smallest of the ball
-    could = (100 + percent) * F.least("inside", "most_inside") >= percent * (F.col("n") + F.col("least_n"))
-    few = rows.join(bounds, "hub").where(could).select("hub", "id", "n", "root", "inside")
-    near = few.where("root <> hub").join(few.select("hub", *(F.col(c).alias(o) for c, o in names.items())), "hub").where(differ & enough(F.lit(0)))
-    left = apart.select("hub", "id", "n", "root", "inside", F.explode("outside").alias("shingle"))
-    right = rows.select("hub", *(F.col(c).alias(o) for c, o in names.items()), F.explode("outside").alias("shingle"))
-    with_own = left.join(right, ["hub", "shingle"]).where(differ)
-    counted = with_own.groupBy("hub", "id", "other").agg(F.count(F.lit(1)).alias("shared"), *(F.min(c).alias(c) for c in ("n", "inside", "other_n", "other_inside")))
-    found = near.select("id", "other").union(counted.where(enough(F.col("shared"))).select("id", "other"))
-    return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+            sizes, d, difference = [], [], []
+            for x, h in zip(batch.column(5), batch.column(6), strict=True):
+                both = np.sort(np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64))))
+                twin = np.concatenate((both[1:] == both[:-1], [False]))
+                twin[1:] |= twin[:-1]
+                sizes.append(len(h.as_buffer()) // 8)
+                difference.append(both[~twin].view(np.int64))
+                d.append(len(difference[-1]))
+            cols = [*batch.columns[:5], pa.array(sizes, pa.int64()), pa.array(d, pa.int64()), pa.array(difference, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, ["hub", "hub_root", "id", "n", "root", "hub_n", "d", "difference"])
+
+    keep, small = common.materialize, common.small
+    hubs = active.groupBy("root").agg(F.max_by("id", F.struct(F.col("most") / F.col("n"), "id")).alias("hub"))
+    hubs = keep(hubs.withColumnRenamed("root", "hub_root"), "hubs")
+    ball = _pooled(active).withColumnRenamed("key", "hub_root")
+    ball = keep(ball.join(small(hubs), "hub_root").select("hub", "hub_root", "id", "n", "root"), "balls")
+    own = sets.select("id", F.col("hashes").alias("own")).join(small(ball), "id")
+    both = _beside(own, sets, "hub", "hub_hashes").select("hub", "hub_root", "id", "n", "root", "own", "hub_hashes")
+    rows = keep(both.mapInArrow(run, "hub bigint, hub_root bigint, id bigint, n bigint, root bigint, hub_n bigint, d bigint, difference array<bigint>"), "ball-members")
+    linked = (100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("hub_n"))
+    links = rows.where(linked & (F.col("root") != F.col("hub_root"))).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    return links, rows.select("hub", "hub_root", "id", "n", F.when(linked, F.col("hub_root")).otherwise(F.col("root")).alias("root"), "d", "difference")
+
+
+def _ball_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of members of a ball, of different components, that can be linked.
+
+    x and y differ in d_x + d_y - 2 o shingles, o being what their differences from the hub have in
+    common, and they are linked if that is at most a share of n_x + n_y. Pairs that need no o are both
+    linked with the hub, so they are of one component. All others have o >= 1, and x has a lower bound
+    of o from the d and n of all possible partners. So it drops out if fewer of its shingles than that
+    are those of another component's member, or if no such member has enough of them; else a pair meets
+    in an equi join on the shingles that are rarest in the ball, all but one less than the bound.
+    """
+    for _ in range(2):  # what drops out makes the bounds of others tighter
+        tokens = members.select("hub", "id", "root", F.explode("difference").alias("shingle"))
+        apart = tokens.groupBy("hub", "shingle").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+        apart = apart.where("low <> high").select("hub", "shingle", "c")
+        shared = tokens.join(apart, ["hub", "shingle"]).groupBy("hub", "id").agg(F.array_sort(F.collect_list(F.struct("c", "shingle"))).alias("shared"))
+        rows = common.materialize(members.join(shared, ["hub", "id"]), "ball-shingles")
+        # x and y are linked if v_x + v_y <= 2 (100 + percent) o
+        both, out = 2 * (100 + percent), F.col("root") != F.col("hub_root")
+        rows = rows.withColumn("v", (100 + percent) * F.col("d") - (100 - percent) * F.col("n"))
+        stats = ((F.min, F.col("v"), "least"), (F.max, both * F.size("shared") - F.col("v"), "reach"))
+        limits = rows.groupBy("hub").agg(*(f(c).alias(n) for f, c, n in stats), *(f(F.when(out, c)).alias(f"out_{n}") for f, c, n in stats))
+        rows = rows.join(common.small(common.materialize(limits, "ball-limits")), "hub")
+        # partners of a member of the hub's component are outside of it
+        least, reach = (F.when(out, F.col(c)).otherwise(F.col(f"out_{c}")) for c in ("least", "reach"))
+        rows = rows.withColumn("bound", F.greatest(F.lit(1), F.ceil((F.col("v") + least) / both)).cast("int"))
+        left = rows.where((F.size("shared") >= F.col("bound")) & (F.col("v") <= reach))
+        rows = common.materialize(left, "ball-rest")
+        members = rows.select("hub", "hub_root", "id", "n", "root", "d", "difference")
+    # rows has the counts of the last turn, so the order of shingles is the same for all
+    prefix = F.slice("shared", F.lit(1), F.size("shared") - F.col("bound") + 1)
+    rare = rows.select("hub", "id", "n", "root", "v", F.size("shared").alias("left"), F.posexplode(prefix).alias("place", "t"))
+    rare = rare.select("hub", "id", "n", "root", "v", F.col("t.shingle").alias("shingle"), (F.col("left") - F.col("place")).alias("left"))
+    rare = common.materialize(rare, "ball-prefixes")
+    names = {c: f"other_{c}" for c in ("id", "n", "root", "v", "left")}
+    alike = 100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n")
+    # from their first common shingle on, they can have no more in common than is left of either
+    enough = F.col("v") + F.col("other_v") <= both * F.least("left", "other_left")
+    differ = (F.col("id") < F.col("other_id")) & (F.col("root") != F.col("other_root"))
+    meet = rare.join(rare.select("hub", "shingle", *(F.col(c).alias(o) for c, o in names.items())), ["hub", "shingle"])
+    return meet.where(differ & alike & enough).select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct()
 
 
 def _merged(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -327,11 +383,13 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int)
     sets = keep(_full_sets(docs, wanted), "sets")
     common.forget(spark)
     active = members.withColumns({"root": F.col("id"), "most": F.col("n")})
-    for turn in (0, 1):
-        if not turn:
+    before = None
+    while True:
+        if before is None:
             chosen = active.groupBy("key").agg(F.min(F.struct("id", "n", "root")).alias("p"))
-        else:
-            chosen = active.groupBy("key").agg(F.min_by(F.struct("id", "n", "root"), F.struct(F.xxhash64("id"), "id")).alias("p"))
+        else:  # the most central text: the one with the least that is its own
+            central = F.struct(F.col("most") / F.col("n"), F.xxhash64("id"), "id")
+            chosen = active.groupBy("key").agg(F.max_by(F.struct("id", "n", "root"), central).alias("p"))
         chosen = keep(chosen.select("key", F.col("p.id").alias("hub"), F.col("p.n").alias("m"), F.col("p.root").alias("hub_root")), "pivots")
         alike = (F.col("root") != F.col("hub_root")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
         pairs = active.join(common.small(chosen), "key").where(alike).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
@@ -341,14 +399,20 @@ def _links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int)
         if moved is not None:
             active = active.join(moved, "root", "left").select("key", "id", "n", F.coalesce("new", "root").alias("root"), "most")
         active = _unfinished(active)
-        if not turn and not active.isEmpty():
+        if not active.isEmpty():
             active = _unfinished(_without_partners(active, sets, percent))
+        if before is None:
+            active = _pooled(active)
         del chosen, pairs, moved
-        common.forget(spark)
-        if active.isEmpty():
+        left = active.count()
+        if not left:
             return roots
-    pairs = keep(_ball_pairs(active, sets, percent), "ball-pairs")
-    return _merged(roots, keep(_confirm(pairs, sets, percent), "confirmed"))[0]
+        if before is not None and left > WORTH_A_TURN * before:
+            break
+        before = left
+    hub_links, balls = _balls(active, sets, percent)
+    pairs = keep(_ball_pairs(balls, percent), "ball-pairs")
+    return _merged(roots, keep(_confirm(pairs, sets, percent).union(hub_links), "confirmed"))[0]
 
 
 def _components(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
