@@ -54,6 +54,11 @@ def test_sampling_step(voxels, target, want):
     assert ranges.sampling_step(voxels, target) == want
 
 
+@pytest.mark.parametrize(("voxels", "target"), [(1280, 1280), (1280, 160), (1280, 0), (1000, 1), (1001, 1), (999, 1), (10**12, 10**6), (2368 * 3300 * 3300, 10**6), (0, 5)])
+def test_stride_of_a_column(spark, voxels, target):
+    assert one(spark, r=ranges.stride(F.lit(voxels).cast("bigint"), target)) == ranges.sampling_step(voxels, target)
+
+
 def test_options_are_checked():
     with pytest.raises(ValueError, match="b must"):
         ranges.check_options(a=1, b=0, c=None)

@@ -23,6 +23,23 @@ def vectors(spark):
     return volumes.tiles_of_vectors(spark.read.parquet(f"{DATA}/embeddings.parquet"))
 
 
+def test_noise_and_statistics_from_a_stride(vectors):
+    diffs = diff.tile_diffs(vectors)
+    # 1,280 voxels and a target of 160: every second voxel on each axis
+    derived, given = diff.baseline_sigma(diffs, target=160).head().sigma, diff.baseline_sigma(diffs, 2).head().sigma
+    shifted = diff.baseline_sigma(diffs, 2, start=(1, 1, 1)).head().sigma
+    d = diff.voxel_diffs(diffs).where("seq = 1").toPandas()
+
+    def plain(at):
+        v = d[(d.z % 2 == at) & (d.y % 2 == at) & (d.x % 2 == at)].d.astype(float)
+        return (v - v.median()).abs().median() / diff.NORMAL_QUARTILE
+
+    assert derived == given == pytest.approx(plain(0)) and shifted == pytest.approx(plain(1)) and shifted != given
+    rows = volumes.voxels(vectors)
+    assert transform.statistics(rows, target=160).orderBy("seq").collect() == transform.statistics(rows, 2).orderBy("seq").collect()
+    assert transform.statistics(rows, target=160).head().n == 160 and transform.statistics(rows).head().n == 1280
+
+
 def test_counts_of_the_fixture(vectors):
     diffs = diff.tile_diffs(vectors)
     assert diffs.select("seq").distinct().count() == 24 and diff.voxel_diffs(diffs).count() == 30_720

@@ -59,6 +59,16 @@ def sampling_step(voxels: int, target: int) -> int:
     return step
 
 
+def stride(voxels: Column, target: int) -> Column:
+    """``sampling_step`` of a column: the least step, one at least, of which the cube times target reaches the voxels."""
+    if target <= 0:
+        return F.lit(1)
+    near = F.greatest(F.round(F.cbrt(voxels / F.lit(float(target)))).cast("bigint"), F.lit(1))
+    enough = [(near + k) * (near + k) * (near + k) * F.lit(target) >= voxels for k in (-1, 0)]
+    step = F.when(enough[0], near - 1).when(enough[1], near).otherwise(near + 1)
+    return F.greatest(step, F.lit(1)).cast("int")
+
+
 def check_options(**options: float | None) -> None:
     """Numbers that have to be above zero, if given."""
     wrong = [k for k, v in options.items() if v is not None and not v > 0]

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import ranges
 from ..sources.volumes import coordinates
 
 #: Fixed value: the 0.75 quantile of the standard normal distribution.
 NORMAL_QUARTILE = 0.6744897501960817
+#: Fixed value: voxels that noise and statistics are taken from, about.
+SAMPLES = 1_000_000
 
 
 def tile_diffs(tiles: DataFrame) -> DataFrame:
@@ -67,12 +70,22 @@ def robust_sigma(values: DataFrame, by: list[str], value: str = "d") -> DataFram
     return away.select(*by, F.when(F.col("mad") > 0, F.col("mad") / NORMAL_QUARTILE).otherwise(F.col("sd")).alias("sigma"))
 
 
-def baseline_sigma(diffs: DataFrame, step: int = 1) -> DataFrame:
-    """(series, sigma) of the first pair of each series, from every step-th voxel."""
-    first = diffs.groupBy("series").agg(F.min("seq").alias("seq"))
-    rows = voxel_diffs(diffs.join(F.broadcast(first), ["series", "seq"]))  # a row per series
-    every = (F.col("z") % step == 0) & (F.col("y") % step == 0) & (F.col("x") % step == 0)
-    return robust_sigma(rows.where(every), ["series"])
+def baseline_sigma(
+    diffs: DataFrame, step: int | None = None, target: int = SAMPLES, start: tuple[int, int, int] = (0, 0, 0)
+) -> DataFrame:
+    """(series, sigma) of the first pair of each series, from every step-th voxel on each axis, counted from start.
+
+    Without a step, it is the one that leaves about target voxels, from the size of that pair; so the
+    exact medians see a bounded sample, however large the volumes are.
+    """
+    pairs = diffs.groupBy("series", "seq").agg(F.sum(F.col("ny") * F.col("nx")).alias("voxels"))
+    by = ranges.stride(F.min_by("voxels", "seq"), target) if step is None else F.lit(step)
+    first = pairs.groupBy("series").agg(F.min("seq").alias("seq"), by.alias("step"))
+    every = {a: (F.col(a) - s) % F.col("step") == 0 for a, s in zip(("z", "y", "x"), start, strict=True)}
+    tiles = diffs.join(F.broadcast(first), ["series", "seq"]).where(every["z"])  # a row per series
+    y, x = coordinates(F.col("i"))
+    rows = tiles.select("*", F.posexplode("data").alias("i", "d")).select("series", "step", y.alias("y"), x.alias("x"), "d")
+    return robust_sigma(rows.where(every["y"] & every["x"]), ["series"])
 
 
 def preview_slice(diffs: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .diff import robust_sigma
+from ..functions import ranges
+from .diff import SAMPLES, robust_sigma
 
 VOLUME = ["series", "seq"]
 #: The percentiles of the statistics.
@@ -38,10 +39,20 @@ def slab_mean(voxels: DataFrame, axis: str, start: int, stop: int) -> DataFrame:
     return slab.groupBy(*VOLUME, *others).agg(F.avg(F.col("v").cast("double")).alias("v"))
 
 
-def statistics(voxels: DataFrame, step: int = 1) -> DataFrame:
-    """Count, range, exact percentiles and robust sigma of every step-th voxel of each volume."""
-    some = voxels.where((F.col("z") % step == 0) & (F.col("y") % step == 0) & (F.col("x") % step == 0) & ~F.isnan("v"))
-    some = some.withColumn("v", F.col("v").cast("double"))
+def statistics(
+    voxels: DataFrame, step: int | None = None, target: int = SAMPLES, start: dict[str, int] | None = None
+) -> DataFrame:
+    """Count, range, exact percentiles and robust sigma of every step-th voxel of each volume, counted from start.
+
+    Without a step, it is the one that leaves about target voxels of each volume.
+    """
+    by = F.lit(step)
+    if step is None:
+        sizes = voxels.groupBy(*VOLUME).agg(ranges.stride(F.count(F.lit(1)), target).alias("step"))
+        voxels, by = voxels.join(F.broadcast(sizes), VOLUME), F.col("step")  # a row per volume
+    for a in ("z", "y", "x"):
+        voxels = voxels.where((F.col(a) - (start or {}).get(a, 0)) % by == 0)
+    some = voxels.where(~F.isnan("v")).withColumn("v", F.col("v").cast("double"))
     found = some.groupBy(*VOLUME).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.percentile("v", F.array(*(F.lit(p / 100) for p in PERCENTILES))).alias("p"))
     named = [F.col("p")[i].alias("p" + f"{p:g}".replace(".", "_")) for i, p in enumerate(PERCENTILES)]
     return found.select(*VOLUME, "n", "low", "high", *named).join(robust_sigma(some, VOLUME, "v"), VOLUME)

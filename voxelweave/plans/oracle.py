@@ -32,18 +32,20 @@ kinds AS (SELECT *, CASE image_key WHEN 0 THEN 'projection' WHEN 1 THEN 'flat' W
 places AS (SELECT *, CAST(sum(frame_count) OVER (PARTITION BY scan ORDER BY block ROWS UNBOUNDED PRECEDING) AS BIGINT) AS last FROM blocks)
 """
 _VOXELS = """
-WITH RECURSIVE vox AS (SELECT 'vectors' AS series, CAST(vec_id // 20 AS INTEGER) AS seq, CAST(vec_id % 20 AS INTEGER) AS z, CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x, CAST(embedding[i] AS FLOAT) AS v
+WITH vox AS (SELECT 'vectors' AS series, CAST(vec_id // 20 AS INTEGER) AS seq, CAST(vec_id % 20 AS INTEGER) AS z, CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x, CAST(embedding[i] AS FLOAT) AS v
   FROM embeddings, unnest(range(1, 65)) t(i))
 """
-_DIFFS = f"""{_VOXELS},
-raw AS (SELECT a.series, a.seq, b.seq AS prev_seq, a.z, a.y, a.x, CAST(a.v - b.v AS FLOAT) AS d FROM vox a JOIN vox b ON b.seq = a.seq - 1 AND a.z = b.z AND a.y = b.y AND a.x = b.x),
+_RAW = f"""{_VOXELS},
+raw AS (SELECT a.series, a.seq, b.seq AS prev_seq, a.z, a.y, a.x, CAST(a.v - b.v AS FLOAT) AS d FROM vox a JOIN vox b ON b.seq = a.seq - 1 AND a.z = b.z AND a.y = b.y AND a.x = b.x)
+"""
+_DIFFS = f"""{_RAW},
 med AS (SELECT seq, median(CAST(d AS DOUBLE)) AS m, stddev_pop(CAST(d AS DOUBLE)) AS sd FROM raw GROUP BY seq),
 sig AS (SELECT seq, CASE WHEN median(abs(d - m)) > 0 THEN median(abs(CAST(d AS DOUBLE) - m)) / 0.6744897501960817 ELSE first(sd) END AS sigma FROM raw JOIN med USING (seq) GROUP BY seq),
 base AS (SELECT CAST(arg_min(sigma, seq) * 2.0 AS FLOAT) AS t FROM sig),
 mask AS (SELECT * FROM raw, base WHERE abs(d) >= t),
 tops AS (SELECT series, seq, prev_seq, z, CAST(max(abs(d)) AS DOUBLE) AS max_abs_diff FROM raw GROUP BY 1, 2, 3, 4)
 """
-_LABELS = f"""{_DIFFS},
+_LABELS = f"""{_DIFFS.replace("WITH", "WITH RECURSIVE", 1)},
 reach AS (SELECT seq, z, y, x, y * 100 + x AS label FROM mask
   UNION SELECT m.seq, m.z, m.y, m.x, r.label FROM reach r JOIN mask m ON m.seq = r.seq AND m.z = r.z AND abs(m.y - r.y) <= 1 AND abs(m.x - r.x) <= 1),
 labels AS (SELECT seq, z, y, x, min(label) AS label FROM reach GROUP BY 1, 2, 3, 4),
@@ -108,14 +110,14 @@ ORACLE: dict[str, str] = {
         FROM (SELECT n, unnest(range(1, n + 1)) AS k FROM range(1, 40) t(n))""",
     "crop_ranges": """SELECT n, raw, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS stop FROM (SELECT CAST(unnest(range(8, 13)) AS INTEGER) AS n),
         LATERAL (VALUES ('2:5', 2, 5), (':5', 0, 5), ('3:', 3, n), ('-3:', n - 3, n), ('-20:4', 0, 4), ('2:99', 2, n), (':', 0, n)) t(raw, a, b)""",
-    "voxel_diff": f"{_DIFFS} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
+    "voxel_diff": f"{_RAW} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
     "diff_maxima": f"{_DIFFS} SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3",
-    "slice_pair": f"{_DIFFS} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw WHERE z = 7",
+    "slice_pair": f"{_RAW} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw WHERE z = 7",
     "sigma_mad": f"{_DIFFS} SELECT 'vectors' AS series, seq, round(sigma, 6) AS sigma FROM sig",
     "threshold_mask": f"{_DIFFS} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM mask",
     "preview_slice": f"{_DIFFS} SELECT series, seq, prev_seq, z, {_r('max_abs_diff')} FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) = 1",
     "reference_diff": f"{_VOXELS} SELECT a.series, a.seq, 3 AS prev_seq, round(CAST(max(abs(CAST(a.v - b.v AS FLOAT))) AS DOUBLE), 6) AS max_abs_diff FROM vox a JOIN vox b ON b.seq = 3 AND a.seq <> 3 AND a.z = b.z AND a.y = b.y AND a.x = b.x GROUP BY 1, 2",
-    "deadband_diff": f"{_DIFFS} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
+    "deadband_diff": f"{_RAW} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
     "local_window": f"""{_DIFFS}, best AS (SELECT seq, z AS centre FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY max_abs_diff DESC, z) = 1)
         SELECT seq, centre, z, {_r('max_abs_diff')} FROM tops JOIN best USING (seq) WHERE abs(z - centre) <= 2""",
     "aligned_diff": f"{_VOXELS}, p AS (SELECT seq AS key, y, x, v FROM vox WHERE z = 0) SELECT b.key, b.y, b.x, round(CAST(CAST(a.v - b.v AS FLOAT) AS DOUBLE), 6) AS d FROM p a JOIN p b ON a.key = b.key AND a.y - 1 = b.y AND a.x - 1 = b.x WHERE b.y < 5 AND b.x < 6",

@@ -19,7 +19,8 @@ class Options:
     min_event: int = 1000
     merge_gap: int = 10
     max_events: int = 100
-    sampling_step: int = 1
+    sampling_step: int | None = None  # from the volumes' size and sample_target
+    sample_target: int = diff.SAMPLES
     crop_start: tuple[int, int, int] = (0, 0, 0)
 
     def __post_init__(self):
@@ -36,7 +37,7 @@ def with_threshold(diffs: DataFrame, options: Options) -> DataFrame:
     """diffs with the threshold of their series: absolute, or the first pair's noise for all pairs."""
     if options.absolute_threshold is not None:
         return diffs.withColumns({"baseline_sigma": F.lit(0.0), "threshold": F.lit(options.absolute_threshold)})
-    sigma = diff.baseline_sigma(diffs, options.sampling_step)
+    sigma = diff.baseline_sigma(diffs, options.sampling_step, options.sample_target)
     checked = F.when(F.col("sigma") > 0, F.col("sigma")).otherwise(F.raise_error(F.lit("the first pair has no noise to measure")).cast("double"))
     sigma = sigma.select("series", checked.alias("baseline_sigma"), (checked * options.threshold_sigma).alias("threshold"))
     return diffs.join(F.broadcast(sigma), "series")  # a row per series
