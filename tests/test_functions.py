@@ -106,3 +106,25 @@ def test_shapes_and_text(spark):
     assert one(spark, s=scalars.progress_bar(F.lit(1), F.lit(2), 4)) == "[##--]"
     assert one(spark, a=scalars.full_turn(F.lit(-7.0))) == 353.0
     assert one(spark, m=scalars.overlaid(F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2)), F.create_map(F.lit("b"), F.lit(3)))) == {"a": 1, "b": 3}
+
+
+def test_planes_and_centres(spark):
+    assert one(spark, p=ranges.checked_planes(F.lit(" XY ,,yz"))) == ["xy", "yz"]
+    assert one(spark, p=ranges.plane_list(F.lit(None).cast("string"))) == []
+    with pytest.raises(Exception, match="no such planes: ab, q"):
+        one(spark, p=ranges.checked_planes(F.lit("ab,xz,Q")))
+    sizes = F.array(F.lit(20), F.lit(8), F.lit(8))
+    assert one(spark, c=ranges.centre(F.lit("30,1,-2"), sizes)) == [19, 1, 0]
+    assert one(spark, c=ranges.centre(F.lit("3, 1,2"), sizes, strict=True)) == [3, 1, 2]
+    with pytest.raises(Exception, match="centre outside"):
+        one(spark, c=ranges.centre(F.lit("20,1,2"), sizes, strict=True))
+    assert ranges.target_to_source(4, 3, 2) == 11
+
+
+def test_titles_and_positions(spark):
+    def held(mode, chosen):
+        return one(spark, p=names.comparison_position_name(F.lit(mode), F.lit("a"), F.lit(chosen).cast("string")))
+
+    assert [held("same", None), held("same", "b"), held("all", "b")] == ["a", "b", None]
+    title = names.display_title(F.lit("d"), F.lit("f.h5"), F.lit("e"), F.lit("g.h5"))
+    assert one(spark, t=title) == "reference: d | f.h5\ncurrent: e | g.h5"

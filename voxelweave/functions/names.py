@@ -43,3 +43,13 @@ def iso_utc(moment: Column) -> Column:
 
 def scan_kind(image_key: Column) -> Column:
     return F.when(image_key == 0, "projection").when(image_key == 1, "flat").when(image_key == 2, "dark").otherwise("unknown")
+
+
+def comparison_position_name(mode: Column, reference: Column, chosen: Column) -> Column:
+    """The position that a comparison is held to: the chosen target's, else the reference's; none unless the mode is same."""
+    return F.when(mode == "same", F.coalesce(chosen, reference))
+
+
+def display_title(reference: Column, reference_file: Column, current: Column, current_file: Column) -> Column:
+    """Two lines: dataset and file of the reference, and of what is shown."""
+    return F.format_string("reference: %s | %s\ncurrent: %s | %s", reference, reference_file, current, current_file)

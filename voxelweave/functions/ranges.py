@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PLANES = ("xy", "xz", "yz")
+
 
 def _bound(part: Column, size: Column, default: Column) -> Column:
     n = F.trim(part).try_cast("int")
@@ -40,11 +42,38 @@ def slice_indices(n: Column, k: Column) -> Column:
     return F.when(k == 1, F.array(F.floor(n / 2).cast("int"))).otherwise(spread)
 
 
-def centre(raw: Column, sizes: Column) -> Column:
-    """``z,y,x`` or the middle of each axis, clamped into the shape."""
+def centre(raw: Column, sizes: Column, strict: bool = False) -> Column:
+    """``z,y,x`` or the middle of each axis, clamped into the shape; if strict, a centre outside is an error."""
     given = F.transform(F.split(raw, ","), lambda c: F.trim(c).cast("int"))
     middle = F.transform(sizes, lambda n: F.floor(n / 2).cast("int"))
-    return F.zip_with(F.coalesce(given, middle), sizes, lambda i, n: F.least(F.greatest(i, F.lit(0)), n - 1))
+    wrong = F.raise_error(F.concat(F.lit("centre outside the volume: "), raw)).cast("int")
+
+    def within(i: Column, n: Column) -> Column:
+        return F.when((i >= 0) & (i < n), i).otherwise(wrong) if strict else F.least(F.greatest(i, F.lit(0)), n - 1)
+
+    return F.zip_with(F.coalesce(given, middle), sizes, within)
+
+
+def target_to_source(index: int, start: int, factor: int) -> int:
+    """The first source index of an output index."""
+    return start + index * factor
+
+
+def plane_list(raw: Column) -> Column:
+    """Lower-case names of ``xy, XZ``, in their order; blanks are skipped, null is none."""
+    parts = F.transform(F.split(F.coalesce(raw, F.lit("")), ","), lambda p: F.lower(F.trim(p)))
+    return F.filter(parts, lambda p: p != "")
+
+
+def unknown_planes(planes: Column) -> Column:
+    return F.array_except(planes, F.array(*map(F.lit, PLANES)))
+
+
+def checked_planes(raw: Column) -> Column:
+    """plane_list; a name that is no plane is an error."""
+    found = plane_list(raw)
+    wrong = F.raise_error(F.concat(F.lit("no such planes: "), F.array_join(unknown_planes(found), ", ")))
+    return F.when(F.size(unknown_planes(found)) == 0, found).otherwise(wrong.cast("array<string>"))
 
 
 def sampling_step(voxels: int, target: int) -> int:

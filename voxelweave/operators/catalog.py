@@ -86,3 +86,45 @@ def newest_member(members: DataFrame, by: list[str]) -> DataFrame:
     """The member with the highest (seq, mtime, name) of each group."""
     best = F.max_by(F.struct("seq", "dataset_name", "file_name", "mtime"), F.struct("seq", "mtime", "dataset_name"))
     return members.groupBy(*by).agg(best.alias("m")).select(*by, "m.*")
+
+
+def numbered(members: DataFrame) -> DataFrame:
+    """Members with frame_index 1..N within their series, by sequence number."""
+    order = Window.partitionBy(*SERIES).orderBy("seq")
+    return members.withColumn("frame_index", F.row_number().over(order))
+
+
+def picked(members: DataFrame, seq: int | None = None) -> DataFrame:
+    """Per series, the member of that number, or the first; an error if no series has it."""
+    if seq is None:
+        first = F.min_by(F.struct("seq", "dataset_name", "file_name"), "seq")
+        return members.groupBy(*SERIES).agg(first.alias("m")).select(*SERIES, "m.*")
+    found = members.where(F.col("seq") == seq).select(*SERIES, "seq", "dataset_name", "file_name")
+    if found.isEmpty():
+        raise ValueError(f"no selected reconstruction #{seq:04d}")
+    return found
+
+
+def with_readability(files: DataFrame, known: DataFrame, key: tuple[str, ...] = ("path", "mtime", "length")) -> DataFrame:
+    """files with known (the same path, time and size was readable before) and readable (known, or valid now).
+
+    A file that has changed has another key and counts by its own validity; failures are never remembered.
+    """
+    before = known.select(*key).distinct().withColumn("known", F.lit(True))
+    rows = files.join(before, list(key), "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    return rows.withColumn("readable", F.col("known") | F.coalesce("valid", F.lit(False)))
+
+
+def second_targets(references: DataFrame, members: DataFrame, same_position: bool = True) -> DataFrame:
+    """For each reference the newest member of its series (or collection) that is not older, itself perhaps."""
+    by = SERIES if same_position else ["collection"]
+    newest = newest_member(members, by).drop("mtime")
+    newest = newest.withColumnsRenamed({c: f"target_{c}" for c in ("seq", "dataset_name", "file_name")})
+    rows = references.select(*SERIES, "seq", "dataset_name", "file_name").join(newest, by)
+    return rows.where(F.col("target_seq") >= F.col("seq"))
+
+
+def not_older(seq: Column, chosen: Column) -> Column:
+    """The chosen target's number; an error if it is older than the reference."""
+    wrong = F.format_string("comparison #%04d is older than reference #%04d", chosen, seq)
+    return F.when(chosen >= seq, chosen).otherwise(F.raise_error(wrong).cast("int"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -31,3 +31,17 @@ def locate(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
 def latest_projection(scans: DataFrame) -> DataFrame:
     """The scan of the highest number of each kind; frame_counts gives scans."""
     return scans.groupBy("kind").agg(F.max("scan").alias("scan"))
+
+
+def refusal(scan: Column, kind: Column) -> Column:
+    """Why a scan can't be shown as a projection, null if it can."""
+    return F.when(kind != "projection", F.concat(scan.cast("string"), F.lit(" is a "), kind, F.lit(" scan, not a projection scan")))
+
+
+def required_projection(scans: DataFrame, scan: int) -> DataFrame:
+    """The row of a scan, which has to be there and hold projections."""
+    rows = scans.where(F.col("scan") == scan)
+    found = rows.select(refusal(F.col("scan"), F.col("kind")).alias("why")).head()
+    if found is None or found.why:
+        raise ValueError(found.why if found else f"no scan {scan}")
+    return rows

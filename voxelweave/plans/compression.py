@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..functions.ranges import check_options
+from ..functions.ranges import check_options, target_to_source
 from ..operators import slices, transform
 
 
@@ -40,7 +40,32 @@ def reduce_volumes(voxels: DataFrame, options: Options) -> DataFrame:
         rows = transform.block_mean(rows, options.factor, start=start)
     else:
         rows = transform.subsample(rows, options.factor, start)
-    v = scalars.clip_and_mask(F.col("v"), options.clip_min, options.clip_max, options.mask_below)
-    if options.uint8:
-        v = scalars.to_uint8(v, options.clip_min, options.clip_max)
-    return rows.withColumn("v", v)
+    return rows.withColumn("v", _prepared(F.col("v"), options))
+
+
+def _prepared(v: Column, options: Options) -> Column:
+    v = scalars.clip_and_mask(v, options.clip_min, options.clip_max, options.mask_below)
+    return scalars.to_uint8(v, options.clip_min, options.clip_max) if options.uint8 else v
+
+
+def preview_views(voxels: DataFrame, options: Options, centre: tuple[int, int, int]) -> DataFrame:
+    """(series, seq, plane, row, col, v): three views through a centre in output coordinates, from one scan.
+
+    The source planes of the centre's block are averaged whatever the mode, so in subsample mode a view
+    differs from the plane of reduce_volumes; rows and columns are then averaged or subsampled.
+    """
+    n = options.factor
+    start = {a: (getattr(options, a) or (0, 0))[0] for a in "zyx"}
+    at = {a: (F.col(a) - start[a]) for a in "zyx"}
+    block = {a: F.floor(at[a] / n).cast("int") for a in "zyx"}
+    views = []
+    for plane, axis, row, col in (("xy", "z", "y", "x"), ("xz", "y", "z", "x"), ("yz", "x", "z", "y")):
+        first = target_to_source(centre["zyx".index(axis)], start[axis], n)
+        hit = (F.col(axis) >= first) & (F.col(axis) < first + n)
+        if options.mode == "subsample":
+            hit &= (at[row] % n == 0) & (at[col] % n == 0)
+        views.append((hit, F.struct(F.lit(plane).alias("plane"), block[row].alias("row"), block[col].alias("col"))))
+    rows = slices.crop(voxels, options.z, options.y, options.x).where(views[0][0] | views[1][0] | views[2][0])
+    rows = rows.withColumn("p", F.explode(F.filter(F.array(*(F.when(*w) for w in views)), lambda p: p.isNotNull())))
+    means = rows.groupBy("series", "seq", "p").agg(F.avg(F.col("v").cast("double")).alias("v"))
+    return means.select("series", "seq", "p.*", _prepared(F.col("v"), options).alias("v"))

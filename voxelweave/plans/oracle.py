@@ -91,6 +91,16 @@ ORACLE: dict[str, str] = {
         WHEN (collection, position, seq) NOT IN (SELECT (collection, position, seq) FROM files) THEN 'missing' ELSE 'unresolved' END AS status FROM wanted""",
     "used_members": f"{_RANGED} SELECT collection, position, seq FROM pairs UNION SELECT collection, position, prev_seq FROM pairs",
     "baseline_pair": f"{_RANGED} SELECT collection, position, seq, prev_seq FROM pairs QUALIFY row_number() OVER (PARTITION BY collection, position ORDER BY seq) = 1",
+    "frame_numbers": f"{_FILES} SELECT collection, position, seq, CAST(row_number() OVER (PARTITION BY collection, position ORDER BY seq) AS INTEGER) AS frame_index FROM latest WHERE seq NOT IN ({_SKIP})",
+    "preview_target": f"""{_FILES}, kept AS (SELECT collection, position, seq, dataset_name, file_name FROM latest WHERE seq BETWEEN {START} AND {STOP} AND seq NOT IN ({_SKIP}))
+        SELECT * FROM kept WHERE seq = 5 UNION ALL (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY collection, position ORDER BY seq) = 1)""",
+    "readable_files": f"{_FILES} SELECT collection, position, file_name, mtime, length, valid AND seq % 2 = 0 AS known, valid AND (seq % 2 = 0 OR seq % 4 = 1) AS readable FROM files",
+    "second_targets": f"""{_FILES}, same AS (SELECT * FROM latest QUALIFY row_number() OVER (PARTITION BY collection, position ORDER BY seq DESC, mtime DESC, dataset_name DESC) = 1),
+        anywhere AS (SELECT * FROM latest QUALIFY row_number() OVER (PARTITION BY collection ORDER BY seq DESC, mtime DESC, dataset_name DESC) = 1),
+        pairs AS (SELECT 'same' AS mode, l.*, t.seq AS target_seq, l.position AS held_to, t.dataset_name AS td, t.file_name AS tf FROM latest l JOIN same t USING (collection, position)
+          UNION ALL SELECT 'all', l.*, t.seq, NULL, t.dataset_name, t.file_name FROM latest l JOIN anywhere t USING (collection))
+        SELECT mode, collection, position, seq, target_seq, held_to, 'reference: ' || dataset_name || ' | ' || file_name || chr(10) || 'current: ' || td || ' | ' || tf AS title FROM pairs WHERE target_seq >= seq""",
+    "plane_lists": "SELECT * FROM (VALUES ('xy,xz,yz', 'xy+xz+yz', ''), (' XY ,,yz', 'xy+yz', ''), ('', '', ''), ('ab,xz,Q', 'ab+xz+q', 'ab+q')) t(raw, planes, unknown)",
     "file_times": f"""{_FILES} SELECT dataset_name, strftime(mtime, '%Y-%m-%dT%H:%M:%S+00:00') AS mtime_iso, CASE WHEN length < 1024 THEN length || ' B' WHEN length < 1048576 THEN printf('%.2f KiB', length / 1024) ELSE printf('%.2f MiB', length / 1048576) END AS size FROM latest""",
     "follow_emitted": f"""{_FILES}, b AS (SELECT date_diff('day', DATE '1970-01-01', CAST(mtime AS DATE)) AS batch, * FROM good),
         m AS (SELECT CAST(batch AS INTEGER) AS batch, collection, position, seq, mtime, file_name FROM b QUALIFY row_number() OVER (PARTITION BY batch, collection, position ORDER BY seq DESC, mtime DESC, file_name DESC) = 1)
@@ -100,6 +110,7 @@ ORACLE: dict[str, str] = {
     "block_offsets": f"{_BLOCKS} SELECT *, last - frame_count AS first FROM places",
     "frame_lookup": f"{_BLOCKS} SELECT scan, frames // 2 AS frame_index, block, frames // 2 - (last - frame_count) AS frame_in_block FROM scans JOIN places USING (scan) WHERE frames // 2 >= last - frame_count AND frames // 2 < last",
     "latest_projection": f"{_BLOCKS} SELECT kind, max(scan) AS scan FROM kinds GROUP BY kind",
+    "scan_refusals": f"{_BLOCKS} SELECT scan, CASE WHEN kind <> 'projection' THEN scan || ' is a ' || kind || ' scan, not a projection scan' END AS refusal FROM kinds",
     "volume_shapes": f"{_VOXELS} SELECT series, seq, max(z) + 1 AS nz, max(y) + 1 AS ny, max(x) + 1 AS nx, count(*) AS voxels, count(*) = (max(z) + 1) * 64 AS complete FROM vox GROUP BY 1, 2",
     "crop_filter": f"{_VOXELS} SELECT series, seq, z, y, x, {_r('v')} FROM vox WHERE z BETWEEN 2 AND 17 AND y BETWEEN 1 AND 6 AND x BETWEEN 3 AND 7",
     "axis_slice": f"{_VOXELS} SELECT series, seq, z, y, {_r('v')} FROM vox WHERE x = 3",
@@ -123,6 +134,7 @@ ORACLE: dict[str, str] = {
     "aligned_diff": f"{_VOXELS}, p AS (SELECT seq AS key, y, x, v FROM vox WHERE z = 0) SELECT b.key, b.y, b.x, round(CAST(CAST(a.v - b.v AS FLOAT) AS DOUBLE), 6) AS d FROM p a JOIN p b ON a.key = b.key AND a.y - 1 = b.y AND a.x - 1 = b.x WHERE b.y < 5 AND b.x < 6",
     "slice_labels": f"{_LABELS} SELECT seq, z, y, x, label // 100 AS label_y, label % 100 AS label_x FROM labels",
     "slice_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', 'sum_abs_diff', 'sum_signed_diff', 'z_weighted_sum', 'y_weighted_sum', 'x_weighted_sum', digits=4)} FROM comp",
+    "large_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', digits=4)} FROM comp WHERE voxel_count >= 2",
     "box_neighbours": f"""{_LABELS} SELECT a.seq, a.z, count(*) AS n FROM comp a JOIN comp b ON a.seq = b.seq AND a.z = b.z + 1 AND b.y_min <= a.y_max + 1 AND a.y_min <= b.y_max + 1 AND b.x_min <= a.x_max + 1 AND a.x_min <= b.x_max + 1 GROUP BY 1, 2""",
     "top_differences": f"{_DIFFS} SELECT series, seq, prev_seq, round(tops.max_abs_diff, 6) AS peak_abs_diff, z AS finish_order, CAST(row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) AS INTEGER) AS event_rank FROM tops QUALIFY event_rank <= 3",
     "block_mean_2d": f"{_VOXELS} SELECT series, seq, z, y // 3 AS y, x // 3 AS x, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox GROUP BY 1, 2, 3, vox.y // 3, vox.x // 3",
@@ -135,6 +147,14 @@ ORACLE: dict[str, str] = {
     "clip_mask": f"{_VOXELS} SELECT series, seq, z // 2 AS z, y // 2 AS y, x // 2 AS x, round(CAST({_MASKED} AS DOUBLE), 6) AS v FROM vox WHERE vox.z % 2 = 0 AND vox.y % 2 = 0 AND vox.x % 2 = 0",
     "to_uint8": f"""{_VOXELS} SELECT series, seq, (z - 1) // 2 AS z, y // 2 AS y, x // 2 AS x, CAST(floor(least(greatest((CAST({_MASKED} AS DOUBLE) - CAST({_LOW} AS DOUBLE)) / (CAST({_HIGH} AS DOUBLE) - CAST({_LOW} AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS v
         FROM vox WHERE vox.z BETWEEN 1 AND 18 AND (vox.z - 1) % 2 = 0 AND vox.y % 2 = 0 AND vox.x % 2 = 0""",
+    "preview_views": f"""{_VOXELS}, views AS (SELECT series, seq, 'xy' AS plane, y // 3 AS row, x // 3 AS col, v FROM vox WHERE z BETWEEN 7 AND 9 AND y % 3 = 0 AND x % 3 = 0
+          UNION ALL SELECT series, seq, 'xz', (z - 1) // 3, x // 3, v FROM vox WHERE z BETWEEN 1 AND 18 AND (z - 1) % 3 = 0 AND y BETWEEN 3 AND 5 AND x % 3 = 0
+          UNION ALL SELECT series, seq, 'yz', (z - 1) // 3, y // 3, v FROM vox WHERE z BETWEEN 1 AND 18 AND (z - 1) % 3 = 0 AND x BETWEEN 3 AND 5 AND y % 3 = 0),
+        m AS (SELECT series, seq, plane, row, col, CAST(avg(CAST(v AS DOUBLE)) AS FLOAT) AS v FROM views GROUP BY 1, 2, 3, 4, 5)
+        SELECT series, seq, plane, row, col, round(CAST({_MASKED} AS DOUBLE), 6) AS v FROM m""",
+    "preview_means": f"""{_VOXELS}, views AS (SELECT series, seq, 'xy' AS plane, y // 3 AS row, x // 3 AS col, v FROM vox WHERE z BETWEEN 6 AND 8
+          UNION ALL SELECT series, seq, 'xz', z // 3, x // 3, v FROM vox WHERE y BETWEEN 3 AND 5 UNION ALL SELECT series, seq, 'yz', z // 3, y // 3, v FROM vox WHERE x BETWEEN 3 AND 5)
+        SELECT series, seq, plane, row, col, round(CAST(CAST(avg(CAST(v AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS v FROM views GROUP BY 1, 2, 3, 4, 5""",
     "output_sizes": f"{_VOXELS} SELECT DISTINCT seq, '7,3,3' AS shape, CAST(252 AS BIGINT) AS bytes, '7,3,3' AS chunk FROM vox",
     "frame_grey": f"""{_VOXELS} SELECT seq, y, x, g AS r, g, g AS b FROM (SELECT seq, y, x, CAST(floor(least(greatest((CAST(v AS DOUBLE) - CAST(-0.25 AS DOUBLE)) / (CAST(0.25 AS DOUBLE) - CAST(-0.25 AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS g FROM vox WHERE z = 10)""",
     "frame_percentiles": f"{_VOXELS} SELECT seq, round(quantile_cont(CAST(v AS DOUBLE), 0.01), 6) AS low, round(quantile_cont(CAST(v AS DOUBLE), 0.99), 6) AS high FROM vox WHERE z = 10 GROUP BY seq",

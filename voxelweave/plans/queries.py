@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
@@ -20,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SKIP, START, STOP = "3,7-9,12", 1, 15
 CENTRE = (10, 4, 3)
 CLIP = (-0.3, 0.3)
+PREVIEW = compression.Options(factor=3, mode="subsample", z=(1, 19), clip_min=CLIP[0], clip_max=CLIP[1], mask_below=0.05)
+PREVIEW_CENTRE = (2, 1, 1)
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -120,6 +123,48 @@ def baseline_pair(spark, sf):
     return catalog.baseline_pair(catalog.predecessor_pairs(catalog.admitted(_files(spark, sf), _skipped(spark), START, STOP)))
 
 
+@query
+def frame_numbers(spark, sf):
+    rows = catalog.numbered(catalog.admitted(_files(spark, sf), _skipped(spark)))
+    return rows.select(*catalog.SERIES, "seq", "frame_index")
+
+
+@query
+def preview_target(spark, sf):
+    """The member of one number, and of no number, among the admitted ones."""
+    rows = catalog.admitted(_files(spark, sf), _skipped(spark), STOP, START)
+    return catalog.picked(rows, 5).union(catalog.picked(rows))
+
+
+@query
+def readable_files(spark, sf):
+    """Files that were readable in members of even numbers count as such, whatever is found now."""
+    key = ("collection", "position", "file_name", "mtime", "length")
+    rows = _files(spark, sf)
+    seen = catalog.with_readability(rows.withColumn("valid", F.col("valid") & (F.col("seq") % 4 == 1)), rows.where("valid and seq % 2 = 0"), key)
+    return seen.select(*key, "known", "readable")
+
+
+@query
+def second_targets(spark, sf):
+    members = catalog.latest_files(_files(spark, sf))
+    out = []
+    for mode in ("same", "all"):
+        rows = catalog.second_targets(members, members, mode == "same")
+        held = names.comparison_position_name(F.lit(mode), F.col("position"), F.lit(None).cast("string"))
+        title = names.display_title(*map(F.col, ("dataset_name", "file_name", "target_dataset_name", "target_file_name")))
+        out.append(rows.select(F.lit(mode).alias("mode"), *catalog.SERIES, "seq", "target_seq", held.alias("held_to"), title.alias("title")))
+    return out[0].union(out[1])
+
+
+@query
+def plane_lists(spark, sf):
+    raws = ["xy,xz,yz", " XY ,,yz", "", "ab,xz,Q"]
+    planes = ranges.plane_list(F.col("raw"))
+    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, raws))).alias("raw"))
+    return rows.select("raw", F.array_join(planes, "+").alias("planes"), F.array_join(ranges.unknown_planes(planes), "+").alias("unknown"))
+
+
 @query
 def file_times(spark, sf):
     rows = catalog.latest_files(_files(spark, sf))
@@ -162,6 +207,12 @@ def latest_projection(spark, sf):
     return projections.latest_projection(projections.frame_counts(_blocks(spark, sf)))
 
 
+@query
+def scan_refusals(spark, sf):
+    rows = projections.frame_counts(_blocks(spark, sf))
+    return rows.select("scan", projections.refusal(F.col("scan"), F.col("kind")).alias("refusal"))
+
+
 # Volumes and planes
 
 
@@ -279,6 +330,13 @@ def slice_components(spark, sf):
     return _rounded(rows.drop("label", "series", "prev_seq"), 4)
 
 
+@query
+def large_components(spark, sf):
+    """Components of two voxels and more."""
+    rows = tracking.regions(_diffs(spark, sf), dataclasses.replace(tracking.SMALL, min_component=2))
+    return _rounded(rows.select("seq", "z", "y_min", "y_max", "x_min", "x_max", "voxel_count", "peak_abs_diff"), 4)
+
+
 @query
 def box_neighbours(spark, sf):
     rows = components.touching(tracking.regions(_diffs(spark, sf), tracking.SMALL), 1)
@@ -362,6 +420,16 @@ def to_uint8(spark, sf):
     return compression.reduce_volumes(_voxels(spark, sf), options)
 
 
+@query
+def preview_views(spark, sf):
+    return _rounded(compression.preview_views(_voxels(spark, sf), PREVIEW, PREVIEW_CENTRE))
+
+
+@query
+def preview_means(spark, sf):
+    return _rounded(compression.preview_views(_voxels(spark, sf), compression.Options(factor=3), PREVIEW_CENTRE))
+
+
 @query
 def output_sizes(spark, sf):
     shape = F.array("nz", "ny", "nx")

@@ -37,3 +37,8 @@ def comparison_frames(tiles: DataFrame, centre: Centre, floor: float = 0.0, fast
 def labels(pairs: DataFrame) -> DataFrame:
     """The caption of each frame: its number and that of the member before."""
     return pairs.select("series", "seq", names.frame_label(F.col("seq"), F.col("prev_seq")).alias("label")).distinct()
+
+
+def raw_only(gif_only: bool, mode: str) -> bool:
+    """Whether raw frames are all that is wanted, so that nothing is compared."""
+    return gif_only and mode == "raw"
