@@ -54,6 +54,48 @@ comp AS (SELECT seq, z, label, min(y) AS y_min, max(y) AS y_max, min(x) AS x_min
   CAST(sum(y) AS DOUBLE) AS y_weighted_sum, CAST(sum(x) AS DOUBLE) AS x_weighted_sum, CAST(z * count(*) AS DOUBLE) AS z_weighted_sum
   FROM labels JOIN mask USING (seq, z, y, x) GROUP BY 1, 2, 3)
 """
+#: The fold over the regions of a pair: one region a step, with all events so far as a list in order of their numbers.
+_SUMMED = ["sum_abs_diff", "sum_signed_diff", "z_weighted_sum", "y_weighted_sum", "x_weighted_sum"]
+_LOWS, _HIGHS = ["z_min", "y_min", "x_min"], ["z_max", "y_max", "x_max"]
+_EVENT_TYPE = ", ".join(
+    ["event_id INTEGER", "last_z INTEGER"] + [f"{c} INTEGER" for c in _LOWS + _HIGHS]
+    + ["voxel_count BIGINT", "peak_abs_diff DOUBLE", "peak_signed_diff DOUBLE"] + [f"{c} DOUBLE" for c in _SUMMED]
+)
+_NEAR = " AND ".join(["e.last_z = z - 1"] + [f"e.{a}_min <= {a}_max + 1 AND {a}_min <= e.{a}_max + 1" for a in "yx"])
+
+
+def _over(function: str, column: str) -> str:
+    return f"list_{function}(list_transform(parts, lambda e: e.{column}))"
+
+
+_MERGED = ", ".join(
+    [f"event_id := {_over('min', 'event_id')}", "last_z := z"]
+    + [f"{c} := {_over('min', c)}" for c in _LOWS] + [f"{c} := {_over('max', c)}" for c in _HIGHS]
+    + [f"voxel_count := CAST({_over('sum', 'voxel_count')} AS BIGINT)", "peak_abs_diff := peak"]
+    + ["peak_signed_diff := list_filter(parts, lambda e: e.peak_abs_diff = peak)[1].peak_signed_diff"]
+    + [f"{c} := {_over('sum', c)}" for c in _SUMMED]
+)
+_AS_EVENT = ", ".join(
+    ["event_id := CAST(started + 1 AS INTEGER)", "last_z := z", "z_min := z", "y_min := y_min", "x_min := x_min", "z_max := z", "y_max := y_max", "x_max := x_max"]
+    + [f"{c} := {c}" for c in ["voxel_count", "peak_abs_diff", "peak_signed_diff", *_SUMMED]]
+)
+_FOLD = f"""{_LABELS},
+regions AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY z, label) AS step FROM comp),
+folded(seq, step, started, events) AS (
+  SELECT DISTINCT seq, CAST(0 AS BIGINT), 0, CAST([] AS STRUCT({_EVENT_TYPE})[]) FROM regions
+  UNION ALL
+  SELECT seq, step, CASE WHEN len(hit) = 0 THEN started + 1 ELSE started END, list_sort(list_append(rest, CAST(struct_pack({_MERGED}) AS STRUCT({_EVENT_TYPE}))))
+  FROM (SELECT *, {_over('max', 'peak_abs_diff')} AS peak FROM
+    (SELECT *, list_append(hit, CAST(struct_pack({_AS_EVENT}) AS STRUCT({_EVENT_TYPE}))) AS parts FROM
+      (SELECT f.started, r.*, list_filter(f.events, lambda e: {_NEAR}) AS hit, list_filter(f.events, lambda e: NOT ({_NEAR})) AS rest
+       FROM folded f JOIN regions r ON r.seq = f.seq AND r.step = f.step + 1)))),
+ended AS (SELECT seq, unnest(events, recursive := true) FROM folded QUALIFY step = max(step) OVER (PARTITION BY seq)),
+found AS (SELECT * FROM (SELECT 'vectors' AS series, seq, seq - 1 AS prev_seq, CAST(row_number() OVER (PARTITION BY seq ORDER BY last_z, event_id) - 1 AS INTEGER) AS finish_order, * EXCLUDE (seq, last_z) FROM ended)
+  WHERE voxel_count >= 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY seq ORDER BY peak_abs_diff DESC, finish_order) AS INTEGER) AS event_rank FROM found QUALIFY event_rank <= 100),
+compared AS (SELECT t.series, t.seq, t.prev_seq, coalesce(n, 0) AS detected_event_count, least(coalesce(n, 0), 100) AS stored_event_count, t.max_abs_diff
+  FROM (SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3) t LEFT JOIN (SELECT seq, count(*) AS n FROM found GROUP BY seq) USING (seq))
+"""
 _STATS = """, picked AS (SELECT series, seq, CAST(v AS DOUBLE) AS v FROM vox WHERE z % {step} = 0 AND y % {step} = 0 AND x % {step} = 0),
 m AS (SELECT series, seq, median(v) AS m, stddev_pop(v) AS sd FROM picked GROUP BY 1, 2),
 s AS (SELECT series, seq, CASE WHEN median(abs(v - m)) > 0 THEN median(abs(v - m)) / 0.6744897501960817 ELSE first(sd) END AS sigma FROM picked JOIN m USING (series, seq) GROUP BY 1, 2),
@@ -74,6 +116,16 @@ def _r(*cols: str, digits: int = 6) -> str:
     return ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c.split('.')[-1]}" for c in cols)
 
 
+_PLACE = ", ".join(f"{a}_{c}" for a in "zyx" for c in ("min", "max"))
+_FOUND = f"series, seq, prev_seq, event_id, finish_order, {_PLACE}, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', *_SUMMED, digits=4)}"
+_DESCRIBED = ", ".join(
+    [_FOUND, "event_rank"]
+    + [f"round({c} / greatest(voxel_count, 1), 4) AS {n}" for c, n in (("sum_abs_diff", "mean_abs_diff"), ("sum_signed_diff", "mean_signed_diff"))]
+    + [f"round({a}_weighted_sum / greatest(voxel_count, 1), 4) AS {p}{a}_centroid" for a in "zyx" for p in ("", "full_")]
+    + [f"{a}_{c} AS full_{a}_{c}" for a in "zyx" for c in ("min", "max")]
+)
+
+
 ORACLE: dict[str, str] = {
     "series_names": f"""{_FILES} SELECT DISTINCT collection, dataset_name, regexp_replace(dataset_name, '_\\d{{4}}$', '') AS series_name, coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d{{4}})$', 1) AS INTEGER), 0) AS seq,
         coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d+)$', 1) AS INTEGER), 0) AS seq_live, position AS position_name, dataset_name || '_compressed.hdf5' AS output_name FROM files""",
@@ -136,6 +188,11 @@ ORACLE: dict[str, str] = {
     "slice_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', 'sum_abs_diff', 'sum_signed_diff', 'z_weighted_sum', 'y_weighted_sum', 'x_weighted_sum', digits=4)} FROM comp",
     "large_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', digits=4)} FROM comp WHERE voxel_count >= 2",
     "box_neighbours": f"""{_LABELS} SELECT a.seq, a.z, count(*) AS n FROM comp a JOIN comp b ON a.seq = b.seq AND a.z = b.z + 1 AND b.y_min <= a.y_max + 1 AND a.y_min <= b.y_max + 1 AND b.x_min <= a.x_max + 1 AND a.x_min <= b.x_max + 1 GROUP BY 1, 2""",
+    "event_fold": f"{_FOLD} SELECT {_FOUND} FROM found",
+    "track_events": f"{_FOLD} SELECT {_DESCRIBED} FROM ranked",
+    "comparisons": f"{_FOLD} SELECT * FROM compared",
+    "events_export": f"{_FOLD} SELECT * FROM compared JOIN (SELECT {_DESCRIBED} FROM ranked) USING (series, seq, prev_seq)",
+    "events_on_slice": f"{_FOLD} SELECT {_DESCRIBED} FROM ranked WHERE z_min <= 10 AND z_max >= 10",
     "top_differences": f"{_DIFFS} SELECT series, seq, prev_seq, round(tops.max_abs_diff, 6) AS peak_abs_diff, z AS finish_order, CAST(row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) AS INTEGER) AS event_rank FROM tops QUALIFY event_rank <= 3",
     "block_mean_2d": f"{_VOXELS} SELECT series, seq, z, y // 3 AS y, x // 3 AS x, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox GROUP BY 1, 2, 3, vox.y // 3, vox.x // 3",
     "block_mean_3d": f"{_VOXELS} SELECT series, seq, z // 3 AS z, y // 3 AS y, x // 3 AS x, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox GROUP BY 1, 2, vox.z // 3, vox.y // 3, vox.x // 3",
