@@ -94,4 +94,26 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM r
 """
 
-ORACLE: dict[str, str] = {"op3_near_duplicates": OP3, "op5_metric_search": OP5, "op6_suffix_dedup": OP6, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
+_FLOOR_MEAN = "(CAST(sum(x) AS BIGINT) - ((CAST(sum(x) AS BIGINT) % count(*)) + count(*)) % count(*)) // count(*)"
+
+
+def _round(n: int) -> str:
+    """Assignment to the centroids c{n}, and the centroids after it."""
+    return f"""
+a{n} AS (SELECT r, v, number FROM (SELECT k.r, k.v, c.number, row_number() OVER (PARTITION BY k.r ORDER BY {_DISTANCE}, c.number) AS nth FROM k, c{n} c) WHERE nth = 1),
+m{n} AS (SELECT number, list(x ORDER BY d) AS v FROM (SELECT number, d, {_FLOOR_MEAN} AS x FROM (SELECT number, unnest(range(1, 65)) AS d, unnest(v) AS x FROM a{n}) GROUP BY number, d) GROUP BY number),
+c{n + 1} AS MATERIALIZED (SELECT c.number, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m USING (number))"""
+
+
+_DISTANCE = "list_sum(list_transform(list_zip(k.v, c.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+OP12 = f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS number, v FROM k WHERE vec_id IS NOT NULL QUALIFY number < 16),
+{", ".join(map(_round, range(3)))},
+f AS (SELECT vec_id, number, distance FROM (SELECT k.vec_id, c.number, {_DISTANCE} AS distance, row_number() OVER (PARTITION BY k.r ORDER BY {_DISTANCE}, c.number) AS nth FROM k, c3 c) WHERE nth = 1)
+SELECT vec_id, CAST(number AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c3.v, ',')) AS centroid_sha256 FROM f JOIN c3 USING (number)
+"""
+
+ORACLE: dict[str, str] = {"op3_near_duplicates": OP3, "op5_metric_search": OP5, "op6_suffix_dedup": OP6, "op7_chat_formatting": OP7, "op8_url_rules": OP8, "op9_decontamination": OP9, "op10_warc": OP10, "op12_centroid_clusters": OP12}

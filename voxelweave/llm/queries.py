@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, compression, decontamination, metric_search, minhash, packing, suffix_dedup, toxicity, url_rules, warc
+from . import centroids, chat, compression, decontamination, metric_search, minhash, packing, suffix_dedup, token_counts, toxicity, url_rules, warc
 from .common import new_path, table
 
 
@@ -61,4 +61,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_near_duplicates, op4_quality_compression, op5_metric_search, op6_suffix_dedup, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc)}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_best_fit_packing, op3_near_duplicates, op4_quality_compression, op5_metric_search, op6_suffix_dedup, op7_chat_formatting, op8_url_rules, op9_decontamination, op10_warc, op11_token_counts, op12_centroid_clusters)}
