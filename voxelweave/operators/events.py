@@ -68,14 +68,32 @@ def fold(components: pd.DataFrame, gap: int) -> list[_Event]:
     return done + active
 
 
+def islands(components: DataFrame) -> DataFrame:
+    """components with island: slices of a pair up to the next one without regions, where every event ends."""
+    order = Window.partitionBy(*PAIR).orderBy("z", "label")
+    new = (F.col("z") - F.lag("z").over(order) > 1).cast("int")
+    rows = components.withColumn("new", F.coalesce(new, F.lit(0)))
+    return rows.withColumn("island", F.sum("new").over(order).cast("int")).drop("new")
+
+
 def assemble(components: DataFrame, min_size: int = 1000, gap: int = 10) -> DataFrame:
-    """EVENT rows of each pair with at least min_size voxels. One group holds a pair's regions."""
+    """EVENT rows of each pair with at least min_size voxels.
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(*key, e.number, i, e.box[0], e.box[3], e.box[1], e.box[4], e.box[2], e.box[5], e.voxels, *e.peak, *e.sums) for i, e in enumerate(fold(pdf, gap)) if e.voxels >= min_size]
-        return pd.DataFrame(rows, columns=[*PAIR, *(c.split()[0] for c in schema.EVENT.split(", "))])
+    A group is an island of slices, not a pair: events neither cross an empty slice nor end after one. Each
+    island numbers its own events; those of the islands before are added by a running sum.
+    """
+    names = [c.split()[0] for c in schema.EVENT.split(", ")]
 
-    return components.groupBy(*PAIR).applyInPandas(run, f"series string, seq int, prev_seq int, {schema.EVENT}")
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = fold(pdf, gap)
+        rows = [(*key, 0, e.number, i, e.box[0], e.box[3], e.box[1], e.box[4], e.box[2], e.box[5], e.voxels, *e.peak, *e.sums) for i, e in enumerate(found) if e.voxels >= min_size]
+        rows.append((*key, len(found), *(None for _ in names)))
+        return pd.DataFrame(rows, columns=[*PAIR, "island", "events", *names]).astype({"events": "int32", **{n: "Int64" for n in names[:9]}})
+
+    out = islands(components).groupBy(*PAIR, "island").applyInPandas(run, f"series string, seq int, prev_seq int, island int, events int, {schema.EVENT}")
+    before = Window.partitionBy(*PAIR).orderBy("island").rangeBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("before", F.coalesce(F.sum("events").over(before), F.lit(0)).cast("int")).where("event_id is not null")
+    return out.withColumns({c: F.col(c) + F.col("before") for c in ("event_id", "finish_order")}).drop("island", "events", "before")
 
 
 def ranked(events: DataFrame, max_events: int = 100) -> DataFrame:

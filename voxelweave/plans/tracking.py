@@ -45,8 +45,7 @@ def with_threshold(diffs: DataFrame, options: Options) -> DataFrame:
 
 def regions(diffs: DataFrame, options: Options) -> DataFrame:
     """The regions of every slice of every pair."""
-    cells = diff.masked(with_threshold(diffs, options), F.col("threshold"))
-    return components.aggregated(components.labelled(cells), options.min_component)
+    return components.tile_regions(with_threshold(diffs, options), options.min_component)
 
 
 def track(diffs: DataFrame, options: Options = Options()) -> DataFrame:

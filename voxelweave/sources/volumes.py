@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import few
+
 
 def read_tiles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -48,3 +50,51 @@ def shapes(tile_rows: DataFrame) -> DataFrame:
 def write_tiles(tile_rows: DataFrame, path: str, compression: str = "gzip") -> None:
     """The tile table, by volume; z stays sorted within files, so that plane filters skip row groups."""
     tile_rows.repartition("series", "seq").sortWithinPartitions("series", "seq", "z", "y0", "x0").write.partitionBy("seq").option("compression", compression).parquet(path)
+
+
+def volumes_of_vectors(vectors: DataFrame, series: list[str], depth: int = 20, ny: int = 8, nx: int = 8) -> DataFrame:
+    """Like ``tiles_of_vectors``, with the volumes dealt to several series in turn."""
+    rows, n = tiles_of_vectors(vectors, depth, ny, nx), len(series)
+    name = F.element_at(F.array(*map(F.lit, series)), F.col("seq") % n + 1)
+    return rows.withColumns({"series": name, "seq": F.floor(F.col("seq") / n).cast("int")})
+
+
+def crop_tiles(tile_rows: DataFrame, z: tuple[int, int] | None = None, y: tuple[int, int] | None = None, x: tuple[int, int] | None = None) -> DataFrame:
+    """The part of the tiles within [start, stop) of each axis, in coordinates counted from the crop's start.
+
+    Arrays are cut, no voxel becomes a row; bounds on z are a filter that the scan takes.
+    """
+    if z:
+        tile_rows = tile_rows.where((F.col("z") >= z[0]) & (F.col("z") < z[1])).withColumn("z", F.col("z") - z[0])
+
+    def bounds(first: str, n: str, axis: tuple[int, int] | None) -> tuple[Column, Column]:
+        """Within the tile: where the part starts, and its extent."""
+        if not axis:
+            return F.lit(0), F.col(n)
+        start = F.greatest(F.lit(axis[0]) - F.col(first), F.lit(0))
+        return start, F.least(F.lit(axis[1]) - F.col(first), F.col(n)) - start
+
+    if not y and not x:
+        return tile_rows
+    (top, high), (left, wide) = bounds("y0", "ny", y), bounds("x0", "nx", x)
+    rows = tile_rows.withColumns({"_top": top, "_high": high, "_left": left, "_wide": wide}).where("_high > 0 and _wide > 0")
+    lines = F.transform(F.sequence(F.lit(0), F.col("_high") - 1), lambda i: F.slice("data", ((F.col("_top") + i) * F.col("nx") + F.col("_left") + 1).cast("int"), F.col("_wide")))
+    at = {"y0": F.col("y0") + F.col("_top") - (y[0] if y else 0), "x0": F.col("x0") + F.col("_left") - (x[0] if x else 0)}
+    cut = rows.withColumns({"data": F.flatten(lines), **at})
+    return cut.withColumns({"ny": F.col("_high"), "nx": F.col("_wide")}).select(*tile_rows.columns)
+
+
+def write_store(tile_rows: DataFrame, path: str, table: str, buckets: int = 64, compression: str = "gzip") -> None:
+    """A tile store: partitioned by member, bucketed by the place of tiles within a volume.
+
+    All members hold a place in the same bucket, so differences of members need no exchange; filters on
+    members prune folders. A place has one file for each member and bucket.
+    """
+    rows = tile_rows.repartition(buckets, "z", "y0", "x0").sortWithinPartitions("series", "seq", "z", "y0", "x0")
+    writer = rows.write.format("parquet").partitionBy("series", "seq").bucketBy(buckets, "z", "y0", "x0").sortBy("z", "y0", "x0")
+    writer.option("path", path).option("compression", compression).saveAsTable(table)
+
+
+def of_members(tile_rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Tiles of the members (series, seq); a catalog that is small is broadcast, and prunes the store's folders when the query runs."""
+    return tile_rows.join(few(members.select("series", "seq").distinct()), ["series", "seq"])
