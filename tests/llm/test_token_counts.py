@@ -37,14 +37,15 @@ def test_odd_texts(spark, model, monkeypatch):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(3, "again"), (3, "again"), (None, "no id"), (None, None)]
     data = spark.createDataFrame(rows, SCHEMA)
     check(rows, token_counts.count(data).collect(), model)
-    # few broadcast, few held: the rest meets in the shuffled join
+    # few broadcast, few held, short slices: the rest meets in the shuffled join
     monkeypatch.setattr(token_counts, "HOT", 3)
     monkeypatch.setattr(token_counts, "HELD", 4)
+    monkeypatch.setattr(token_counts, "SLICE", 7)
     check(rows, token_counts.count(data, limit=5).collect(), model, 5)
 
 
 def test_whole_table_with_few_broadcast(spark, model, monkeypatch):
-    monkeypatch.setattr(token_counts, "HOT", 20)
+    monkeypatch.setattr(token_counts, "HOT", 200)
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     check(rows, token_counts.count(spark.createDataFrame(rows, SCHEMA)).collect(), model)
 
@@ -72,6 +73,15 @@ def test_any_text(text):
     assert sum(n * c for n, c in zip(found.values(), p.counts(list(found)), strict=True)) == len(p.model.encode(text * 3))
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 50])
+def test_slices_cut_no_pre_token(size, monkeypatch):
+    monkeypatch.setattr(token_counts, "SLICE", size)
+    p = token_counts.pieces(MODEL)
+    for text in ODD:
+        found = p.frequencies(text)
+        assert sum(n * c for n, c in zip(found.values(), p.counts(list(found)), strict=True)) == len(p.model.encode(text or ""))
+
+
 def test_texts_are_not_normalised(model):
     for start in range(0, 0x11000, 64):
         text = "".join(chr(c) for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)

@@ -7,9 +7,10 @@ cut there into pre-tokens; a pre-token's pieces do not depend on what stands bes
 which is as exact (scripts without blanks come out as short pre-tokens).
 
 One pass counts the pre-tokens of the corpus, and the pieces of each distinct one are counted once. A
-second pass joins each document's own frequencies with those counts and sums up; ids are never kept. The
-``HOT`` most frequent pre-tokens (with keys of at most ``KEY_BYTES`` bytes, so below 8 MB) are broadcast;
-documents' other pre-tokens, none of them more frequent than those, meet their counts in a shuffled join.
+second pass meets each document's own frequencies with those counts and sums up; ids are never kept. The
+most frequent pre-tokens, at most ``HOT`` with keys of at most ``KEY_BYTES`` bytes, are broadcast, and a
+document's sum over them is made where it lies. Its other pre-tokens meet their counts in a shuffled join; by
+the choice of the first, none of those is in more than a small share of documents.
 
 Defined results: null and empty text have no tokens; documents sharing an id, or with a null id, are
 counted each on its own; an empty table gives no rows; other columns are ignored. Texts of any length
@@ -35,10 +36,15 @@ MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 #: Characters of a pre-token from which on it is cut further, and bytes of a key that stands for itself.
 CUT, KEY_BYTES = 48, 64
-#: Pre-tokens whose counts are broadcast, and distinct ones that a task holds before it passes them on.
-HOT, HELD = 1 << 16, 1 << 17
+#: Pre-tokens whose counts are broadcast, at most; distinct ones that a task holds before it passes them on.
+HOT, HELD = 1 << 20, 1 << 17
+#: Characters of a text that are cut into pre-tokens at a time, about.
+SLICE = 1 << 20
+#: Steps of a doubling by which frequencies are compared.
+STEPS = 16
 _MARK = "▁"
 _PRE = re.compile(f"{_MARK}*[^{_MARK}\n]+|{_MARK}+|\n")
+_PLACE = re.compile(f"\n|(?<=[^{_MARK}\n]){_MARK}")
 
 
 def model_path(model: str | None) -> str:
@@ -76,9 +82,15 @@ class Pieces:
 
     def frequencies(self, text: str | None) -> Counter[str]:
         """Distinct pre-tokens of a text with their numbers."""
+        found: Counter[str] = Counter()
         if not text:
-            return Counter()
-        found = Counter(map(re.Match.group, _PRE.finditer(_MARK + text.replace(" ", _MARK))))
+            return found
+        marked, start = _MARK + text.replace(" ", _MARK), 0
+        while start < len(marked):
+            place = _PLACE.search(marked, start + SLICE)
+            end = place.start() if place else len(marked)
+            found.update(_PRE.findall(marked, start, end))
+            start = end
         for token in [t for t in found if len(t) > CUT]:
             n = found.pop(token)
             for part, k in Counter(self._cut(token)).items():
@@ -133,43 +145,59 @@ def vocabulary(texts: DataFrame, path: str) -> DataFrame:
     return _corpus(texts, path).mapInArrow(run, "key string, n bigint, pieces bigint")
 
 
-def _documents(texts: DataFrame, path: str) -> DataFrame:
-    """(row, doc_id, n_bytes, key, n): each document's pre-tokens; a document without any has one row without a key."""
-    names = ["row", "doc_id", "n_bytes", "key", "n"]
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+def _documents(texts: DataFrame, path: str, hot: dict[str, int]) -> DataFrame:
+    """(row, doc_id, n_bytes, n_tokens, rest) of each document: the pieces of its hot pre-tokens, and its others with their numbers."""
+    shared = texts.sparkSession.sparkContext.broadcast(hot)  # at most HOT short keys
+    rest_type = pa.list_(pa.struct([("key", pa.string()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        held: list[list] = [[] for _ in names]
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types, strict=True)], names)
-
+        known = shared.value
         for batch in batches:
-            for row, doc_id, n_bytes, text in zip(*(batch.column(i) for i in range(4)), strict=True):
-                found = pieces(path).frequencies(text.as_py())
-                keys, counts = ([key(t) for t in found], list(found.values())) if found else ([None], [0])
-                for col, more in zip(held, ([row.as_py()] * len(keys), [doc_id.as_py()] * len(keys), [n_bytes.as_py()] * len(keys), keys, counts), strict=True):
-                    col += more
-                if len(held[0]) >= HELD:
-                    yield out()
-                    held = [[] for _ in names]
-        yield out()
-
-    return texts.mapInArrow(run, "row bigint, doc_id bigint, n_bytes bigint, key string, n bigint")
+            totals, rests = [], []
+            for text in batch.column(3):
+                total, rest = 0, []
+                for token, n in pieces(path).frequencies(text.as_py()).items():
+                    c = known.get(token)
+                    if c is None:
+                        k = key(token)
+                        c = known.get(k) if k is not token else None
+                        if c is None:
+                            rest.append({"key": k, "n": n})
+                            continue
+                    total += n * c
+                totals.append(total)
+                rests.append(rest)
+            cols = [*(batch.column(i) for i in range(3)), pa.array(totals, pa.int64()), pa.array(rests, rest_type)]
+            yield pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "n_bytes", "n_tokens", "rest"])
+
+    return texts.mapInArrow(run, "row bigint, doc_id bigint, n_bytes bigint, n_tokens bigint, rest array<struct<key:string,n:bigint>>")
+
+
+def _hot(known: DataFrame, most: int) -> int:
+    """The least level from which on there are at most so many pre-tokens."""
+    sizes = known.groupBy("level").count().orderBy(F.desc("level")).collect()  # a row for each level: below 64 * STEPS
+    total, least = 0, 1 << 30
+    for r in sizes:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["level"]
+    return least
 
 
 def count(docs: DataFrame, model: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document."""
     path = model_path(model)
     texts = common.only(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), "text")
-    known = common.materialize(vocabulary(texts, path), "pre-tokens")
-    hot = common.materialize(known.orderBy(F.desc("n"), "key").limit(HOT).select("key", "pieces"), "hot-pre-tokens")
-    own = ["row", "doc_id", "n_bytes"]
-    met = _documents(texts, path).join(F.broadcast(hot), "key", "left")  # at most HOT rows of a short key and a number
-    away = F.when(F.col("pieces").isNull(), F.col("key")).alias("key")
-    sums = met.groupBy(*own, away).agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.col("n") * F.col("pieces")), F.lit(0)).alias("n_tokens"))
-    sums = common.materialize(sums, "token-sums")
-    rest = known.join(F.broadcast(hot.select("key")), "key", "left_anti").select("key", "pieces")
-    others = sums.where("key is not null").join(rest, "key").select(*own, (F.col("n") * F.col("pieces")).alias("n_tokens"))
-    total = sums.where("key is null").select(*own, "n_tokens").unionByName(others).groupBy(*own).agg(F.sum("n_tokens").alias("n_tokens"))
-    return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    level = F.floor(F.log2("n") * STEPS).cast("int").alias("level")
+    known = common.materialize(vocabulary(texts, path).select("key", "pieces", level), "pre-tokens")
+    least = _hot(known, HOT)
+    hot = known.where(F.col("level") >= least).select("key", "pieces").toArrow()  # at most HOT short keys and numbers
+    hot = dict(zip(hot.column(0).to_pylist(), hot.column(1).to_pylist(), strict=True))
+    sums = common.materialize(_documents(texts, path, hot), "token-sums")
+    rest = sums.select("row", F.explode("rest").alias("r")).select("row", "r.key", "r.n")
+    rest = rest.join(known.where(F.col("level") < least).select("key", "pieces"), "key")
+    rest = rest.groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))
+    n_tokens = (F.col("n_tokens") + F.coalesce("more", F.lit(0))).alias("n_tokens")
+    total = sums.join(rest, "row", "left").select("doc_id", "n_bytes", n_tokens)
+    return total.withColumn("over_limit", F.col("n_tokens") > limit)
