@@ -102,7 +102,7 @@ def test_shapes_and_text(spark):
     shape = F.array(F.lit(20), F.lit(8), F.lit(8))
     assert one(spark, s=scalars.output_shape(shape, 3)) == [7, 3, 3]
     assert one(spark, s=scalars.size_bytes(shape, 4)) == 5120
-    assert [one(spark, s=scalars.readable_bytes(F.lit(n))) for n in (5, 2048, 5 << 20, 3 << 30, 7 << 40)] == ["5 B", "2.00 KiB", "5.00 MiB", "3.00 GiB", "7.00 TiB"]
+    assert [one(spark, s=scalars.readable_bytes(F.lit(n))) for n in (5, 1023, 1280, 2048, 5 << 20, 3 << 30, 7 << 40, 2000 << 40)] == ["5.0 B", "1023.0 B", "1.2 KB", "2.0 KB", "5.0 MB", "3.0 GB", "7.0 TB", "2000.0 TB"]
     assert one(spark, s=scalars.progress_bar(F.lit(1), F.lit(2), 4)) == "[##--]"
     assert one(spark, a=scalars.full_turn(F.lit(-7.0))) == 353.0
     assert one(spark, m=scalars.overlaid(F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2)), F.create_map(F.lit("b"), F.lit(3)))) == {"a": 1, "b": 3}

@@ -43,10 +43,11 @@ def size_bytes(shape: Column, item_bytes: int) -> Column:
 
 
 def readable_bytes(n: Column) -> Column:
-    out = F.format_string("%.2f TiB", F.bround(n / 2.0**40, 2))
-    for power, unit in ((40, "GiB"), (30, "MiB"), (20, "KiB")):
-        out = F.when(n < 2**power, F.format_string(f"%.2f {unit}", F.bround(n / 2.0 ** (power - 10), 2))).otherwise(out)
-    return F.when(n < 1024, F.format_string("%d B", n)).otherwise(out)
+    """One decimal and a unit from B to TB, each 1024 of the one before."""
+    out = F.format_string("%.1f TB", F.bround(n / 2.0**40, 1))
+    for power, unit in ((40, "GB"), (30, "MB"), (20, "KB"), (10, "B")):
+        out = F.when(n < 2**power, F.format_string(f"%.1f {unit}", F.bround(n / 2.0 ** (power - 10), 1))).otherwise(out)
+    return out
 
 
 def progress_bar(done: Column, total: Column, width: int = 30) -> Column:

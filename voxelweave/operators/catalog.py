@@ -47,6 +47,14 @@ def predecessor_pairs(members: DataFrame) -> DataFrame:
     return rows.select(*SERIES, "seq", "dataset_name", "file_name", F.col("p.seq").alias("prev_seq"), F.col("p.dataset_name").alias("prev_dataset_name"), F.col("p.file_name").alias("prev_file_name"))
 
 
+def described_pairs(members: DataFrame) -> DataFrame:
+    """``predecessor_pairs`` by series (collection and position in one name), with the files' times."""
+    order = Window.partitionBy("series").orderBy("seq")
+    rows = members.withColumn("series", F.concat_ws("_", *SERIES))
+    rows = rows.withColumn("p", F.lag(F.struct("seq", "dataset_name", "file_name", "mtime")).over(order)).where("p is not null")
+    return rows.select("series", "seq", F.col("p.seq").alias("prev_seq"), "dataset_name", "file_name", "mtime", *(F.col(f"p.{c}").alias(f"prev_{c}") for c in ("dataset_name", "file_name", "mtime")))
+
+
 def preview_pairs(files: DataFrame) -> DataFrame:
     """Per series, the first pair of neighbouring directories that both have a valid file."""
     order = Window.partitionBy(*SERIES).orderBy("seq")

@@ -45,7 +45,11 @@ base AS (SELECT CAST(arg_min(sigma, seq) * 2.0 AS FLOAT) AS t FROM sig),
 mask AS (SELECT * FROM raw, base WHERE abs(d) >= t),
 tops AS (SELECT series, seq, prev_seq, z, CAST(max(abs(d)) AS DOUBLE) AS max_abs_diff FROM raw GROUP BY 1, 2, 3, 4)
 """
-_LABELS = f"""{_DIFFS.replace("WITH", "WITH RECURSIVE", 1)},
+
+
+def labels_sql(diffs: str) -> str:
+    """Regions within slices, on top of mask."""
+    return f"""{diffs.replace("WITH", "WITH RECURSIVE", 1)},
 reach AS (SELECT seq, z, y, x, y * 100 + x AS label FROM mask
   UNION SELECT m.seq, m.z, m.y, m.x, r.label FROM reach r JOIN mask m ON m.seq = r.seq AND m.z = r.z AND abs(m.y - r.y) <= 1 AND abs(m.x - r.x) <= 1),
 labels AS (SELECT seq, z, y, x, min(label) AS label FROM reach GROUP BY 1, 2, 3, 4),
@@ -54,6 +58,9 @@ comp AS (SELECT seq, z, label, min(y) AS y_min, max(y) AS y_max, min(x) AS x_min
   CAST(sum(y) AS DOUBLE) AS y_weighted_sum, CAST(sum(x) AS DOUBLE) AS x_weighted_sum, CAST(z * count(*) AS DOUBLE) AS z_weighted_sum
   FROM labels JOIN mask USING (seq, z, y, x) GROUP BY 1, 2, 3)
 """
+
+
+_LABELS = labels_sql(_DIFFS)
 #: The fold over the regions of a pair: one region a step, with all events so far as a list in order of their numbers.
 _SUMMED = ["sum_abs_diff", "sum_signed_diff", "z_weighted_sum", "y_weighted_sum", "x_weighted_sum"]
 _LOWS, _HIGHS = ["z_min", "y_min", "x_min"], ["z_max", "y_max", "x_max"]
@@ -79,7 +86,11 @@ _AS_EVENT = ", ".join(
     ["event_id := CAST(started + 1 AS INTEGER)", "last_z := z", "z_min := z", "y_min := y_min", "x_min := x_min", "z_max := z", "y_max := y_max", "x_max := x_max"]
     + [f"{c} := {c}" for c in ["voxel_count", "peak_abs_diff", "peak_signed_diff", *_SUMMED]]
 )
-_FOLD = f"""{_LABELS},
+
+
+def fold_sql(labels: str) -> str:
+    """Events of each pair, on top of comp."""
+    return f"""{labels},
 regions AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY z, label) AS step FROM comp),
 folded(seq, step, started, events) AS (
   SELECT DISTINCT seq, CAST(0 AS BIGINT), 0, CAST([] AS STRUCT({_EVENT_TYPE})[]) FROM regions
@@ -96,6 +107,9 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY seq ORDER BY peak_abs_
 compared AS (SELECT t.series, t.seq, t.prev_seq, coalesce(n, 0) AS detected_event_count, least(coalesce(n, 0), 100) AS stored_event_count, t.max_abs_diff
   FROM (SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3) t LEFT JOIN (SELECT seq, count(*) AS n FROM found GROUP BY seq) USING (seq))
 """
+
+
+_FOLD = fold_sql(_LABELS)
 _STATS = """, picked AS (SELECT series, seq, CAST(v AS DOUBLE) AS v FROM vox WHERE z % {step} = 0 AND y % {step} = 0 AND x % {step} = 0),
 m AS (SELECT series, seq, median(v) AS m, stddev_pop(v) AS sd FROM picked GROUP BY 1, 2),
 s AS (SELECT series, seq, CASE WHEN median(abs(v - m)) > 0 THEN median(abs(v - m)) / 0.6744897501960817 ELSE first(sd) END AS sigma FROM picked JOIN m USING (series, seq) GROUP BY 1, 2),
@@ -116,6 +130,8 @@ def _r(*cols: str, digits: int = 6) -> str:
     return ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c.split('.')[-1]}" for c in cols)
 
 
+#: A number of bytes as text.
+SIZE = "CASE " + " ".join(f"WHEN {{0}} < {2**(p + 10)} THEN printf('%.1f {u}', CAST({{0}} AS DOUBLE) / {2**p})" for p, u in ((0, "B"), (10, "KB"), (20, "MB"), (30, "GB"))) + f" ELSE printf('%.1f TB', CAST({{0}} AS DOUBLE) / {2**40}) END"
 _PLACE = ", ".join(f"{a}_{c}" for a in "zyx" for c in ("min", "max"))
 _FOUND = f"series, seq, prev_seq, event_id, finish_order, {_PLACE}, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', *_SUMMED, digits=4)}"
 _DESCRIBED = ", ".join(
@@ -126,6 +142,38 @@ _DESCRIBED = ", ".join(
 )
 
 
+
+
+def tracked_sql(series: list[str], skip: list[int], crop: tuple[tuple[int, int], ...], where: str = "true") -> str:
+    """Pairs of the catalog, and the events of their volumes within a crop. Here seq is a number of the pair, in all series."""
+    names, (z, y, x) = ", ".join(f"'{n}'" for n in series), crop
+    inside = " AND ".join(f"{a} BETWEEN {r[0]} AND {r[1] - 1}" for a, r in zip("zyx", crop))
+    raw = f"""{_FILES},
+    vox AS (SELECT ['{"', '".join(series)}'][1 + CAST(vec_id // 20 AS INTEGER) % {len(series)}] AS series, CAST(vec_id // 20 // {len(series)} AS INTEGER) AS seq, CAST(vec_id % 20 AS INTEGER) AS z,
+      CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x, CAST(embedding[i] AS FLOAT) AS v FROM embeddings, unnest(range(1, 65)) t(i)),
+    members AS (SELECT collection || '_' || position AS series, seq, dataset_name, file_name, mtime FROM latest WHERE collection || '_' || position IN ({names}) AND seq NOT IN ({", ".join(map(str, skip))}) AND {where}),
+    pairs AS (SELECT *, list_position([{names}], series) * 100000 + seq AS pair, lag(seq) OVER o AS prev_seq, lag(dataset_name) OVER o AS prev_dataset_name, lag(file_name) OVER o AS prev_file_name, lag(mtime) OVER o AS prev_mtime
+      FROM members SEMI JOIN vox USING (series, seq) WINDOW o AS (PARTITION BY series ORDER BY seq) QUALIFY prev_seq IS NOT NULL),
+    cut AS MATERIALIZED (SELECT series, seq, z - {z[0]} AS z, y - {y[0]} AS y, x - {x[0]} AS x, v FROM vox WHERE {inside}),
+    raw AS MATERIALIZED (SELECT p.series, p.pair AS seq, p.prev_seq, a.z, a.y, a.x, CAST(a.v - b.v AS FLOAT) AS d FROM pairs p JOIN cut a USING (series, seq) JOIN cut b ON b.series = p.series AND b.seq = p.prev_seq AND a.z = b.z AND a.y = b.y AND a.x = b.x)
+    """
+    diffs = _DIFFS.replace(_RAW, raw)
+    diffs = diffs.replace("base AS (SELECT CAST(arg_min(sigma, seq) * 2.0 AS FLOAT) AS t FROM sig)", "base AS (SELECT seq // 100000 AS line, arg_min(sigma, seq) AS sigma, CAST(arg_min(sigma, seq) * 2.0 AS FLOAT) AS t FROM sig GROUP BY 1)")
+    diffs = diffs.replace("mask AS (SELECT * FROM raw, base WHERE abs(d) >= t)", "mask AS (SELECT raw.* FROM raw JOIN base ON line = seq // 100000 WHERE abs(d) >= t)")
+    return fold_sql(labels_sql(diffs)).replace("'vectors' AS series, seq, seq - 1 AS prev_seq", "seq")\
+        .replace("t.series, t.seq, t.prev_seq", "t.seq").replace("SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3", "SELECT seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1")
+
+
+def described_sql(start: tuple[int, ...], digits: int = 4) -> str:
+    """Columns of an event, with places in the whole volume."""
+    n = "greatest(voxel_count, 1)"
+    cols = ["event_rank", "voxel_count", *(f"round({c}, {digits}) AS {c}" for c in ("peak_abs_diff", "peak_signed_diff"))]
+    cols += [f"round(sum_{m}_diff / {n}, {digits}) AS mean_{m}_diff" for m in ("abs", "signed")]
+    cols += [f"round({a}_weighted_sum / {n}, {digits}) AS {a}_centroid" for a in "zyx"] + [f"{a}_{e}" for a in "zyx" for e in ("min", "max")]
+    cols += [f"round({a}_weighted_sum / {n} + {s}, {digits}) AS full_{a}_centroid" for a, s in zip("zyx", start)]
+    return ", ".join(cols + [f"{a}_{e} + {s} AS full_{a}_{e}" for a, s in zip("zyx", start) for e in ("min", "max")])
+
+
 ORACLE: dict[str, str] = {
     "series_names": f"""{_FILES} SELECT DISTINCT collection, dataset_name, regexp_replace(dataset_name, '_\\d{{4}}$', '') AS series_name, coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d{{4}})$', 1) AS INTEGER), 0) AS seq,
         coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d+)$', 1) AS INTEGER), 0) AS seq_live, position AS position_name, dataset_name || '_compressed.hdf5' AS output_name FROM files""",
@@ -153,7 +201,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'all', l.*, t.seq, NULL, t.dataset_name, t.file_name FROM latest l JOIN anywhere t USING (collection))
         SELECT mode, collection, position, seq, target_seq, held_to, 'reference: ' || dataset_name || ' | ' || file_name || chr(10) || 'current: ' || td || ' | ' || tf AS title FROM pairs WHERE target_seq >= seq""",
     "plane_lists": "SELECT * FROM (VALUES ('xy,xz,yz', 'xy+xz+yz', ''), (' XY ,,yz', 'xy+yz', ''), ('', '', ''), ('ab,xz,Q', 'ab+xz+q', 'ab+q')) t(raw, planes, unknown)",
-    "file_times": f"""{_FILES} SELECT dataset_name, strftime(mtime, '%Y-%m-%dT%H:%M:%S+00:00') AS mtime_iso, CASE WHEN length < 1024 THEN length || ' B' WHEN length < 1048576 THEN printf('%.2f KiB', length / 1024) ELSE printf('%.2f MiB', length / 1048576) END AS size FROM latest""",
+    "file_times": f"""{_FILES} SELECT dataset_name, strftime(mtime, '%Y-%m-%dT%H:%M:%S+00:00') AS mtime_iso, {SIZE.format('length')} AS size FROM latest""",
     "follow_emitted": f"""{_FILES}, b AS (SELECT date_diff('day', DATE '1970-01-01', CAST(mtime AS DATE)) AS batch, * FROM good),
         m AS (SELECT CAST(batch AS INTEGER) AS batch, collection, position, seq, mtime, file_name FROM b QUALIFY row_number() OVER (PARTITION BY batch, collection, position ORDER BY seq DESC, mtime DESC, file_name DESC) = 1)
         SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.collection = m.collection AND q.position = m.position AND q.batch < m.batch AND (q.seq, q.mtime, q.file_name) >= (m.seq, m.mtime, m.file_name))""",

@@ -97,4 +97,5 @@ def write_store(tile_rows: DataFrame, path: str, table: str, buckets: int = 64,
 
 def of_members(tile_rows: DataFrame, members: DataFrame) -> DataFrame:
     """Tiles of the members (series, seq); a catalog that is small is broadcast, and prunes the store's folders when the query runs."""
-    return tile_rows.join(few(members.select("series", "seq").distinct()), ["series", "seq"])
+    some = members.where("seq >= 0").select("series", "seq").distinct()  # folders are pruned by filtered tables only
+    return tile_rows.join(few(some), ["series", "seq"])

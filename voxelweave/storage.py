@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 #: Rows of a table of short columns that is broadcast, at most.
 FEW = 50_000
@@ -40,3 +41,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def few(df: DataFrame, rows: int = FEW) -> DataFrame:
     """df with a broadcast hint if it has at most so many rows, which a scan of no more than that many finds out."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def load(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet table at path, empty where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def replace(rows: DataFrame, path: str, by: list[str]) -> None:
+    """Write rows; the partitions that they have are replaced, others stay. No setting of the session is touched."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
