@@ -36,7 +36,12 @@ class _Event:
 
 
 def fold(components: pd.DataFrame, gap: int) -> list[_Event]:
-    """Events in the order in which they end.
+    """Events in the order in which they end."""
+    return _folded(components, gap)[0]
+
+
+def _folded(components: pd.DataFrame, gap: int) -> tuple[list[_Event], int]:
+    """Events in the order in which they end, and how many were started (some have been joined into others).
 
     Slices come in ascending order, regions in raster order. A region continues the open events
     that the slice before extended and whose whole box so far is within gap; it joins them into the
@@ -65,7 +70,7 @@ def fold(components: pd.DataFrame, gap: int) -> list[_Event]:
             event.last_z = z
         done += [e for e in active if e.last_z < z]
         active = [e for e in active if e.last_z == z]
-    return done + active
+    return done + active, count
 
 
 def islands(components: DataFrame) -> DataFrame:
@@ -85,15 +90,16 @@ def assemble(components: DataFrame, min_size: int = 1000, gap: int = 10) -> Data
     names = [c.split()[0] for c in schema.EVENT.split(", ")]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = fold(pdf, gap)
-        rows = [(*key, 0, e.number, i, e.box[0], e.box[3], e.box[1], e.box[4], e.box[2], e.box[5], e.voxels, *e.peak, *e.sums) for i, e in enumerate(found) if e.voxels >= min_size]
-        rows.append((*key, len(found), *(None for _ in names)))
-        return pd.DataFrame(rows, columns=[*PAIR, "island", "events", *names]).astype({"events": "int32", **{n: "Int64" for n in names[:9]}})
+        found, started = _folded(pdf, gap)
+        rows = [(*key, 0, 0, e.number, i, e.box[0], e.box[3], e.box[1], e.box[4], e.box[2], e.box[5], e.voxels, *e.peak, *e.sums) for i, e in enumerate(found) if e.voxels >= min_size]
+        rows.append((*key, started, len(found), *(None for _ in names)))
+        return pd.DataFrame(rows, columns=[*PAIR, "island", "started", "ended", *names]).astype({n: "Int64" for n in names[:9]})
 
-    out = islands(components).groupBy(*PAIR, "island").applyInPandas(run, f"series string, seq int, prev_seq int, island int, events int, {schema.EVENT}")
+    out = islands(components).groupBy(*PAIR, "island").applyInPandas(run, f"series string, seq int, prev_seq int, island int, started int, ended int, {schema.EVENT}")
     before = Window.partitionBy(*PAIR).orderBy("island").rangeBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("before", F.coalesce(F.sum("events").over(before), F.lit(0)).cast("int")).where("event_id is not null")
-    return out.withColumns({c: F.col(c) + F.col("before") for c in ("event_id", "finish_order")}).drop("island", "events", "before")
+    counted = {"event_id": "started", "finish_order": "ended"}
+    out = out.withColumns({n: F.coalesce(F.sum(n).over(before), F.lit(0)).cast("int") for n in counted.values()}).where("event_id is not null")
+    return out.withColumns({c: F.col(c) + F.col(n) for c, n in counted.items()}).drop("island", *counted.values())
 
 
 def ranked(events: DataFrame, max_events: int = 100) -> DataFrame:

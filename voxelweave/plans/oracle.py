@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CENTRE, CLIP, SKIP, START, STOP
+from .queries import CENTRE, CLIP, CROP, SERIES, SKIP, START, STOP
 
 _SKIPPED = sorted({n for part in SKIP.split(",") for lo, hi in [(part.split("-") * 2)[:2]] for n in range(int(lo), int(hi) + 1)})
 _SKIP = ", ".join(map(str, _SKIPPED))
@@ -38,6 +38,10 @@ WITH vox AS (SELECT 'vectors' AS series, CAST(vec_id // 20 AS INTEGER) AS seq, C
 _RAW = f"""{_VOXELS},
 raw AS (SELECT a.series, a.seq, b.seq AS prev_seq, a.z, a.y, a.x, CAST(a.v - b.v AS FLOAT) AS d FROM vox a JOIN vox b ON b.seq = a.seq - 1 AND a.z = b.z AND a.y = b.y AND a.x = b.x)
 """
+#: The same differences in one pass, for queries of them alone.
+_LAGGED = f"""{_VOXELS},
+raw AS (SELECT series, seq, lag(seq) OVER o AS prev_seq, z, y, x, CAST(v - lag(v) OVER o AS FLOAT) AS d FROM vox WINDOW o AS (PARTITION BY z, y, x ORDER BY seq) QUALIFY prev_seq IS NOT NULL)
+"""
 _DIFFS = f"""{_RAW},
 med AS (SELECT seq, median(CAST(d AS DOUBLE)) AS m, stddev_pop(CAST(d AS DOUBLE)) AS sd FROM raw GROUP BY seq),
 sig AS (SELECT seq, CASE WHEN median(abs(d - m)) > 0 THEN median(abs(CAST(d AS DOUBLE) - m)) / 0.6744897501960817 ELSE first(sd) END AS sigma FROM raw JOIN med USING (seq) GROUP BY seq),
@@ -174,6 +178,8 @@ def described_sql(start: tuple[int, ...], digits: int = 4) -> str:
     return ", ".join(cols + [f"{a}_{e} + {s} AS full_{a}_{e}" for a, s in zip("zyx", start) for e in ("min", "max")])
 
 
+_RUN = tracked_sql(SERIES, _SKIPPED, (CROP.z, CROP.y, CROP.x), f"seq BETWEEN {START} AND {STOP}")
+
 ORACLE: dict[str, str] = {
     "series_names": f"""{_FILES} SELECT DISTINCT collection, dataset_name, regexp_replace(dataset_name, '_\\d{{4}}$', '') AS series_name, coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d{{4}})$', 1) AS INTEGER), 0) AS seq,
         coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d+)$', 1) AS INTEGER), 0) AS seq_live, position AS position_name, dataset_name || '_compressed.hdf5' AS output_name FROM files""",
@@ -221,17 +227,18 @@ ORACLE: dict[str, str] = {
         FROM (SELECT n, unnest(range(1, n + 1)) AS k FROM range(1, 40) t(n))""",
     "crop_ranges": """SELECT n, raw, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS stop FROM (SELECT CAST(unnest(range(8, 13)) AS INTEGER) AS n),
         LATERAL (VALUES ('2:5', 2, 5), (':5', 0, 5), ('3:', 3, n), ('-3:', n - 3, n), ('-20:4', 0, 4), ('2:99', 2, n), (':', 0, n)) t(raw, a, b)""",
-    "voxel_diff": f"{_RAW} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
+    "voxel_diff": f"{_LAGGED} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
     "diff_maxima": f"{_DIFFS} SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3",
-    "slice_pair": f"{_RAW} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw WHERE z = 7",
+    "slice_pair": f"{_LAGGED} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw WHERE z = 7",
     "sigma_mad": f"{_DIFFS} SELECT 'vectors' AS series, seq, round(sigma, 6) AS sigma FROM sig",
     "threshold_mask": f"{_DIFFS} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM mask",
     "preview_slice": f"{_DIFFS} SELECT series, seq, prev_seq, z, {_r('max_abs_diff')} FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) = 1",
     "reference_diff": f"{_VOXELS} SELECT a.series, a.seq, 3 AS prev_seq, round(CAST(max(abs(CAST(a.v - b.v AS FLOAT))) AS DOUBLE), 6) AS max_abs_diff FROM vox a JOIN vox b ON b.seq = 3 AND a.seq <> 3 AND a.z = b.z AND a.y = b.y AND a.x = b.x GROUP BY 1, 2",
-    "deadband_diff": f"{_RAW} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
+    "deadband_diff": f"{_LAGGED} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
     "local_window": f"""{_DIFFS}, best AS (SELECT seq, z AS centre FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY max_abs_diff DESC, z) = 1)
         SELECT seq, centre, z, {_r('max_abs_diff')} FROM tops JOIN best USING (seq) WHERE abs(z - centre) <= 2""",
-    "aligned_diff": f"{_VOXELS}, p AS (SELECT seq AS key, y, x, v FROM vox WHERE z = 0) SELECT b.key, b.y, b.x, round(CAST(CAST(a.v - b.v AS FLOAT) AS DOUBLE), 6) AS d FROM p a JOIN p b ON a.key = b.key AND a.y - 1 = b.y AND a.x - 1 = b.x WHERE b.y < 5 AND b.x < 6",
+    "aligned_diff": f"""{_VOXELS}, p AS MATERIALIZED (SELECT seq AS key, y, x, v FROM vox WHERE z = 0)
+        SELECT key, y, x, round(CAST(d AS DOUBLE), 6) AS d FROM (SELECT key, y, x, CAST(lead(v, 9) OVER (PARTITION BY key ORDER BY y, x) - v AS FLOAT) AS d FROM p) WHERE y < 5 AND x < 6""",
     "slice_labels": f"{_LABELS} SELECT seq, z, y, x, label // 100 AS label_y, label % 100 AS label_x FROM labels",
     "slice_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', 'sum_abs_diff', 'sum_signed_diff', 'z_weighted_sum', 'y_weighted_sum', 'x_weighted_sum', digits=4)} FROM comp",
     "large_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', digits=4)} FROM comp WHERE voxel_count >= 2",
@@ -240,6 +247,15 @@ ORACLE: dict[str, str] = {
     "track_events": f"{_FOLD} SELECT {_DESCRIBED} FROM ranked",
     "comparisons": f"{_FOLD} SELECT * FROM compared",
     "events_export": f"{_FOLD} SELECT * FROM compared JOIN (SELECT {_DESCRIBED} FROM ranked) USING (series, seq, prev_seq)",
+    "catalog_events": f"{_RUN} SELECT p.series AS run_id, p.seq AS sequence_number, r.* EXCLUDE (seq) FROM pairs p JOIN (SELECT seq, {described_sql(CROP.start)} FROM ranked) r ON r.seq = pair",
+    "catalog_comparisons": f"""{_RUN} SELECT p.series || '/' || p.seq AS id, p.series AS run_id, p.seq AS sequence_number, prev_seq AS previous_sequence_number, prev_dataset_name AS previous_dataset_root, prev_file_name AS previous_reconstruction_file,
+        prev_mtime AS previous_reconstruction_mtime, dataset_name AS dataset_root, file_name AS reconstruction_file, mtime AS reconstruction_mtime, detected_event_count, stored_event_count, round(max_abs_diff, 4) AS max_abs_diff
+        FROM pairs p JOIN compared c ON c.seq = pair""",
+    "run_orphans": f"""{_RUN} SELECT 'comparisons' AS table, series || '/' || seq AS id, series AS missing FROM pairs WHERE seq % 2 = 0 AND series = '{SERIES[0]}'
+        UNION ALL SELECT 'events', p.series || '/' || p.seq || '/' || event_rank, p.series || '/' || p.seq FROM ranked r JOIN pairs p ON r.seq = pair WHERE p.seq % 2 = 1""",
+    "bucketed_diffs": f"{_LAGGED} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
+    "tiled_labels": f"{_LABELS} SELECT seq, z, y, x, label // 100 AS label_y, label % 100 AS label_x FROM labels",
+    "tiled_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', 'sum_abs_diff', 'sum_signed_diff', 'z_weighted_sum', 'y_weighted_sum', 'x_weighted_sum', digits=4)} FROM comp",
     "events_on_slice": f"{_FOLD} SELECT {_DESCRIBED} FROM ranked WHERE z_min <= 10 AND z_max >= 10",
     "top_differences": f"{_DIFFS} SELECT series, seq, prev_seq, round(tops.max_abs_diff, 6) AS peak_abs_diff, z AS finish_order, CAST(row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) AS INTEGER) AS event_rank FROM tops QUALIFY event_rank <= 3",
     "block_mean_2d": f"{_VOXELS} SELECT series, seq, z, y // 3 AS y, x // 3 AS x, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox GROUP BY 1, 2, 3, vox.y // 3, vox.x // 3",

@@ -9,11 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import images
+from .. import images, runs
 from ..functions import names, ranges, scalars
 from ..operators import catalog, components, diff, events, frames, projections, slices, transform
 from ..shipping import ship
 from ..sources import files, volumes
+from ..storage import materialize, new_path
 from ..streaming import follow
 from . import compression, screening, tracking
 
@@ -25,6 +26,10 @@ PREVIEW = compression.Options(factor=3, mode="subsample", z=(1, 19), clip_min=CL
 PREVIEW_CENTRE = (2, 1, 1)
 
 
+SERIES = ["c0_view", "c3_error"]
+CROP = tracking.Crop(z=(1, 19), y=(0, 7), x=(2, 8))
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         ship(spark)
@@ -314,6 +319,19 @@ def aligned_diff(spark, sf):
     return _rounded(diff.aligned_planes(rows, rows.where("y < 5 and x < 6")))
 
 
+@query
+def bucketed_diffs(spark, sf):
+    """Differences over a tile store whose buckets hold all members' tiles of a place: no exchange."""
+    return _rounded(diff.voxel_diffs(diff.tile_diffs(_store(spark, sf, _tiles(spark, sf)))))
+
+
+def _store(spark: SparkSession, sf: str, tiles: DataFrame) -> DataFrame:
+    path = new_path(spark, "tiles")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    volumes.write_store(tiles, path, table, 8)
+    return spark.table(table)
+
+
 # Components and events
 
 
@@ -324,6 +342,25 @@ def slice_labels(spark, sf):
     return rows.select("seq", "z", "y", "x", F.shiftright("label", 32).cast("int").alias("label_y"), F.col("label").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("label_x"))
 
 
+def _tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Differences of planes that are cut into tiles of four by four, with threshold."""
+    tiles = materialize(volumes.tiles(_voxels(spark, sf), 4, 4), "tiles")
+    return tracking.with_threshold(diff.tile_diffs(tiles), tracking.SMALL)
+
+
+@query
+def tiled_labels(spark, sf):
+    """slice_labels of planes in several tiles."""
+    rows = components.tile_labels(_tiled(spark, sf))
+    return rows.select("seq", "z", "y", "x", F.shiftright("label", 32).cast("int").alias("label_y"), F.col("label").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("label_x"))
+
+
+@query
+def tiled_components(spark, sf):
+    """slice_components of planes in several tiles."""
+    return _rounded(components.tile_regions(_tiled(spark, sf), 1).drop("label", "series", "prev_seq"), 4)
+
+
 @query
 def slice_components(spark, sf):
     rows = tracking.regions(_diffs(spark, sf), tracking.SMALL)
@@ -364,6 +401,37 @@ def events_export(spark, sf):
     return events.export_rows(comparisons(spark, sf), track_events(spark, sf))
 
 
+def _catalog_run(spark: SparkSession, sf: str) -> tuple[DataFrame, tracking.Found]:
+    """From a catalog, a skip list, a range and a crop to events: tiles come from a store, of admitted members alone."""
+    store = _store(spark, sf, volumes.volumes_of_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), SERIES))
+    pairs = tracking.pairs_of_catalog(_files(spark, sf), store, _skipped(spark), STOP, START)
+    options = dataclasses.replace(tracking.SMALL, crop_start=CROP.start)
+    return pairs, tracking.find(tracking.with_threshold(tracking.diffs_of_pairs(store, pairs, CROP), options), options)
+
+
+@query
+def catalog_events(spark, sf):
+    """Ranked events of the catalog's pairs, in coordinates of the crop and of the whole volume."""
+    rows = runs.event_rows(_catalog_run(spark, sf)[1].ranked)
+    return _rounded(rows.drop("id", "comparison_id"), 4)
+
+
+@query
+def catalog_comparisons(spark, sf):
+    """A row for each pair of the catalog, with its files, counts and largest difference."""
+    pairs, found = _catalog_run(spark, sf)
+    return _rounded(runs.comparison_rows(pairs, found.compared), 4)
+
+
+@query
+def run_orphans(spark, sf):
+    """Keys without their row, where the run of one series and the comparisons of odd numbers are gone."""
+    pairs, found = _catalog_run(spark, sf)
+    compared = runs.comparison_rows(pairs, found.compared)
+    known = compared.select("run_id").distinct().where(F.col("run_id") != SERIES[0])
+    return runs.orphans(known, compared.where("sequence_number % 2 = 0"), runs.event_rows(found.ranked))
+
+
 @query
 def events_on_slice(spark, sf):
     return events.visible(track_events(spark, sf), 10)

@@ -78,7 +78,9 @@ def crop_tiles(tile_rows: DataFrame, z: tuple[int, int] | None = None, y: tuple[
         return tile_rows
     (top, high), (left, wide) = bounds("y0", "ny", y), bounds("x0", "nx", x)
     rows = tile_rows.withColumns({"_top": top, "_high": high, "_left": left, "_wide": wide}).where("_high > 0 and _wide > 0")
-    lines = F.transform(F.sequence(F.lit(0), F.col("_high") - 1), lambda i: F.slice("data", ((F.col("_top") + i) * F.col("nx") + F.col("_left") + 1).cast("int"), F.col("_wide")))
+    # a filter on the arrays may be tried before the one above, so tiles beside the crop give empty ones
+    each = F.sequence(F.lit(0), F.greatest(F.col("_high"), F.lit(1)) - 1)
+    lines = F.transform(each, lambda i: F.slice("data", ((F.col("_top") + i) * F.col("nx") + F.col("_left") + 1).cast("int"), F.greatest(F.col("_wide"), F.lit(0))))
     at = {"y0": F.col("y0") + F.col("_top") - (y[0] if y else 0), "x0": F.col("x0") + F.col("_left") - (x[0] if x else 0)}
     cut = rows.withColumns({"data": F.flatten(lines), **at})
     return cut.withColumns({"ny": F.col("_high"), "nx": F.col("_wide")}).select(*tile_rows.columns)
