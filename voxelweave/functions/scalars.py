@@ -34,6 +34,11 @@ def normalised(v: Column, low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least((finite - a) / (b - a), F.lit(1.0)))
 
 
+def normalised_frame(v: Column, low: Column, high: Column) -> Column:
+    """Like ``normalised`` for saved frames: a constant range is black."""
+    return F.when(high == low, F.lit(0.0)).otherwise(normalised(v, low, high))
+
+
 def output_shape(shape: Column, factor: int) -> Column:
     return F.transform(shape, lambda n: F.ceil(n / factor).cast("int"))
 

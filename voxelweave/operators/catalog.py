@@ -27,12 +27,36 @@ def in_range(seq: Column, start: int | None, stop: int | None) -> Column:
     return out if stop is None else out & (seq <= stop)
 
 
-def admitted(files: DataFrame, skipped: DataFrame | None = None, start: int | None = None, stop: int | None = None) -> DataFrame:
-    """Members in range that are not skipped; both filters stand below the file choice. skipped: (seq)."""
-    rows = files.where(in_range(F.col("seq"), start, stop))
-    if skipped is not None:
+def within_series(members: DataFrame, start: int | None, stop: int | None) -> DataFrame:
+    """Members between the bounds; a missing bound is the end of the member's series, then bounds may be swapped."""
+    series = Window.partitionBy(*SERIES)
+    ends = [F.lit(b) if b is not None else f("seq").over(series) for b, f in ((start, F.min), (stop, F.max))]
+    rows = members.withColumns({"_low": F.least(*ends), "_high": F.greatest(*ends)})
+    return rows.where((F.col("seq") >= F.col("_low")) & (F.col("seq") <= F.col("_high"))).drop("_low", "_high")
+
+
+def admitted(files: DataFrame, skipped: DataFrame | None = None, start: int | None = None, stop: int | None = None, unique: bool = False) -> DataFrame:
+    """Members in range that are not skipped. skipped: (seq). With both bounds the filters stand below the file choice.
+
+    If unique, a number that two members of a series have is an error.
+    """
+    both = start is not None and stop is not None
+    rows = files.where(in_range(F.col("seq"), start, stop)) if both else files
+    if skipped is not None and (both or start is None and stop is None):
         rows = rows.join(skipped, "seq", "left_anti")
-    return latest_files(rows)
+    rows = latest_files(rows)
+    if not both and (start is not None or stop is not None):  # the ends of a series are those of all its members
+        rows = within_series(rows, start, stop)
+        if skipped is not None:
+            rows = rows.join(skipped, "seq", "left_anti").select(rows.columns)
+    return single(rows) if unique else rows
+
+
+def single(members: DataFrame) -> DataFrame:
+    """members; an error if two of a series have one number."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*SERIES, "seq"))
+    wrong = F.raise_error(F.format_string("%s_%s has more than one member #%04d", *SERIES, "seq")).cast("int")
+    return members.withColumn("_n", n).withColumn("seq", F.when(F.col("_n") == 1, F.col("seq")).otherwise(wrong)).drop("_n")
 
 
 def roots(files: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranges
 from ..sources.volumes import coordinates
+from ..storage import few
 
 #: Fixed value: the 0.75 quantile of the standard normal distribution.
 NORMAL_QUARTILE = 0.6744897501960817
@@ -76,7 +77,8 @@ def baseline_sigma(
     """(series, sigma) of the first pair of each series, from every step-th voxel on each axis, counted from start.
 
     Without a step, it is the one that leaves about target voxels, from the size of that pair; so the
-    exact medians see a bounded sample, however large the volumes are.
+    exact medians see a bounded sample, however large the volumes are. A sample with a value that is no number has
+    no noise to measure (null).
     """
     pairs = diffs.groupBy("series", "seq").agg(F.sum(F.col("ny") * F.col("nx")).alias("voxels"))
     by = ranges.stride(F.min_by("voxels", "seq"), target) if step is None else F.lit(step)
@@ -85,13 +87,28 @@ def baseline_sigma(
     tiles = diffs.join(F.broadcast(first), ["series", "seq"]).where(every["z"])  # a row per series
     y, x = coordinates(F.col("i"))
     rows = tiles.select("*", F.posexplode("data").alias("i", "d")).select("series", "step", y.alias("y"), x.alias("x"), "d")
-    return robust_sigma(rows.where(every["y"] & every["x"]), ["series"])
+    sample = rows.where(every["y"] & every["x"])
+    broken = sample.groupBy("series").agg(F.max(F.isnan("d")).alias("broken"))
+    return robust_sigma(sample, ["series"]).join(broken, "series").select("series", F.when(~F.col("broken"), F.col("sigma")).alias("sigma"))
 
 
-def preview_slice(diffs: DataFrame) -> DataFrame:
-    """Per pair the z of the largest abs(d), the first of equal ones."""
-    top = slice_maxima(diffs).where("max_abs_diff is not null")
-    return top.groupBy("series", "seq", "prev_seq").agg(F.max_by("z", F.struct("max_abs_diff", -F.col("z"))).alias("z"), F.max("max_abs_diff").alias("max_abs_diff"))
+def preview_slice(diffs: DataFrame, planes: int = 32, lines: int = 512) -> DataFrame:
+    """Per pair the z of the largest abs(d), the first of equal ones, over about planes planes and lines lines of each.
+
+    Strides come from the pair's shape; the last plane is looked at, too.
+    """
+    pair = ["series", "seq", "prev_seq"]
+    shape = diffs.groupBy(*pair).agg((F.max("z") + 1).alias("_nz"), F.max(F.col("y0") + F.col("ny")).alias("_ny"), F.max(F.col("x0") + F.col("nx")).alias("_nx"))
+    steps = shape.select(*pair, (F.col("_nz") - 1).alias("_end"), F.greatest(F.floor(F.col("_nz") / planes), F.lit(1)).alias("_dz"), F.greatest(F.floor(F.least("_ny", "_nx") / lines), F.lit(1)).alias("_d"))
+    some = diffs.join(few(steps), pair).where((F.col("z") % F.col("_dz") == 0) | (F.col("z") == F.col("_end")))
+
+    def on_grid(v: Column, i: Column) -> Column:
+        y, x = coordinates(i)
+        return (y % F.col("_d") == 0) & (x % F.col("_d") == 0)
+
+    seen = F.when(F.col("_d") == 1, F.col("data")).otherwise(F.filter("data", on_grid))
+    top = slice_maxima(some.withColumn("data", seen).where("size(data) > 0")).where("max_abs_diff is not null")
+    return top.groupBy(*pair).agg(F.max_by("z", F.struct("max_abs_diff", -F.col("z"))).alias("z"), F.max("max_abs_diff").alias("max_abs_diff"))
 
 
 def against_reference(tiles: DataFrame, reference_seq: int) -> DataFrame:

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import normalised
+from ..functions.scalars import normalised_frame
 
 
 def display_range(planes: DataFrame, by: list[str], low: float | None = None, high: float | None = None, percentiles: tuple[float, float] = (0.01, 0.99)) -> DataFrame:
-    """The fixed range if both bounds are given, else exact percentiles of the finite values."""
+    """The fixed range if both bounds are given, else exact percentiles, where these are equal the least and greatest value.
+
+    Values that are not finite count as 0.
+    """
     if low is not None and high is not None:
         return planes.select(*by).distinct().withColumns({"low": F.lit(float(low)), "high": F.lit(float(high))})
     v = F.col("v").cast("double")
-    p = planes.where(~F.isnan("v") & (F.abs(v) < float("inf"))).groupBy(*by).agg(F.percentile(v, F.array(*map(F.lit, percentiles))).alias("p"))
-    return p.select(*by, F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
+    v = F.when(v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), F.lit(0.0)).otherwise(v)
+    p = planes.groupBy(*by).agg(F.percentile(v, F.array(*map(F.lit, percentiles))).alias("p"), F.min(v).alias("least"), F.max(v).alias("most"))
+    flat = F.col("p")[0] == F.col("p")[1]
+    return p.select(*by, *(F.when(flat, F.col(end)).otherwise(F.col("p")[i]).alias(n) for i, (n, end) in enumerate((("low", "least"), ("high", "most")))))
 
 
 def normalised_frames(planes: DataFrame, by: list[str], **limits) -> DataFrame:
-    """Planes (by, y, x, v) with v in 0..1."""
+    """Planes (by, y, x, v) with v in 0..1; a plane of one value is black."""
     rows = planes.join(display_range(planes, by, **limits), by)
-    return rows.select(*by, "y", "x", normalised(F.col("v"), F.col("low"), F.col("high")).alias("v"))
+    return rows.select(*by, "y", "x", normalised_frame(F.col("v"), F.col("low"), F.col("high")).alias("v"))
 
 
 def grey(frames: DataFrame, by: list[str]) -> DataFrame:

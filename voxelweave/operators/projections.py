@@ -9,8 +9,9 @@ from ..functions import names
 
 
 def frame_counts(blocks: DataFrame) -> DataFrame:
-    """Frames and kind of each scan; the first block by number has the key."""
-    out = blocks.groupBy("scan").agg(F.sum("frame_count").alias("frames"), F.count(F.lit(1)).alias("blocks"), F.min_by("image_key", "block").alias("image_key"))
+    """Frames and kind of each scan; the first block by number that has a key decides."""
+    known = F.when(F.col("image_key").isNotNull(), F.col("block"))
+    out = blocks.groupBy("scan").agg(F.sum("frame_count").alias("frames"), F.count(F.lit(1)).alias("blocks"), F.min_by("image_key", known).alias("image_key"))
     return out.withColumn("kind", names.scan_kind(F.col("image_key")))
 
 
@@ -35,7 +36,7 @@ def latest_projection(scans: DataFrame) -> DataFrame:
 
 def refusal(scan: Column, kind: Column) -> Column:
     """Why a scan can't be shown as a projection, null if it can."""
-    return F.when(kind != "projection", F.concat(scan.cast("string"), F.lit(" is a "), kind, F.lit(" scan, not a projection scan")))
+    return F.when(kind != "projection", F.concat(scan.cast("string"), F.lit(" is a "), kind, F.lit(" scan; only projections can be shown")))
 
 
 def required_projection(scans: DataFrame, scan: int) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ranges
+from ..functions import ranges, scalars
+from ..storage import few
 from .diff import SAMPLES, robust_sigma
 
 VOLUME = ["series", "seq"]
@@ -40,16 +41,19 @@ def slab_mean(voxels: DataFrame, axis: str, start: int, stop: int) -> DataFrame:
 
 
 def statistics(
-    voxels: DataFrame, step: int | None = None, target: int = SAMPLES, start: dict[str, int] | None = None
+    voxels: DataFrame, step: int | None = None, target: int = SAMPLES, start: dict[str, int] | None = None, factor: int = 1
 ) -> DataFrame:
     """Count, range, exact percentiles and robust sigma of every step-th voxel of each volume, counted from start.
 
-    Without a step, it is the one that leaves about target voxels of each volume.
+    Without a step, it is the one that would leave about target voxels of the volume reduced by factor, times that
+    factor: samples are voxels of the source.
     """
     by = F.lit(step)
     if step is None:
-        sizes = voxels.groupBy(*VOLUME).agg(ranges.stride(F.count(F.lit(1)), target).alias("step"))
-        voxels, by = voxels.join(F.broadcast(sizes), VOLUME), F.col("step")  # a row per volume
+        extents = [F.ceil((F.max(a) - (start or {}).get(a, 0) + 1) / factor).cast("bigint") for a in ("z", "y", "x")]
+        reduced = ranges.stride(extents[0] * extents[1] * extents[2], target) * factor
+        sizes = voxels.groupBy(*VOLUME).agg(reduced.alias("step"))
+        voxels, by = voxels.join(few(sizes), VOLUME), F.col("step")
     for a in ("z", "y", "x"):
         voxels = voxels.where((F.col(a) - (start or {}).get(a, 0)) % by == 0)
     some = voxels.where(~F.isnan("v")).withColumn("v", F.col("v").cast("double"))
@@ -58,11 +62,21 @@ def statistics(
     return found.select(*VOLUME, "n", "low", "high", *named).join(robust_sigma(some, VOLUME, "v"), VOLUME)
 
 
-def suggestions(stats: DataFrame, voxels: Column | int, most: int = 1024**3) -> DataFrame:
-    """Clip bounds at the half percentiles, a mask of three sigma, and the factor that brings a volume under most voxels."""
-    n = F.lit(voxels) if isinstance(voxels, int) else voxels
-    factor = F.greatest(F.lit(1), F.ceil(F.pow(n / F.lit(float(most)), F.lit(1 / 3)))).cast("int")
-    return stats.select(*VOLUME, F.col("p0_5").alias("clip_min"), F.col("p99_5").alias("clip_max"), (3 * F.col("sigma")).alias("mask_below"), factor.alias("downsample"))
+def suggestions(stats: DataFrame, shapes: DataFrame, factor: int = 1, item_bytes: int = 4, most: int = 1024**3) -> DataFrame:
+    """Clip bounds at the half percentiles, a mask of three sigma, the factor that brings the output under most voxels, and sizes.
+
+    shapes: ``volumes.shapes`` of the source, which factor reduces. A suggested factor is two at least and never below the present one.
+    """
+    out = scalars.output_shape(F.array("nz", "ny", "nx"), factor)
+    n = scalars.size_bytes(F.col("out"), 1)
+    wanted = F.ceil(F.pow(n / F.lit(float(most)), F.lit(1 / 3))).cast("int")
+    sizes = {"size": scalars.size_bytes(F.col("out"), item_bytes), "uint8_size": n, **{f"size_by_{k}": scalars.size_bytes(scalars.output_shape(F.col("out"), k), item_bytes) for k in (2, 4)}}
+    rows = stats.join(shapes.select(*VOLUME, out.alias("out")), VOLUME)
+    return rows.select(
+        *VOLUME, F.col("p0_5").alias("clip_min"), F.col("p99_5").alias("clip_max"), F.greatest(3 * F.col("sigma"), F.lit(0.0)).alias("mask_below"),
+        F.when(n <= most, F.lit(factor)).otherwise(F.greatest(wanted, F.lit(2), F.lit(factor))).alias("downsample"),
+        *(scalars.readable_bytes(v).alias(c) for c, v in sizes.items()),
+    )
 
 
 def chunk_shape(shape: Column, z: int | None = None, y: int | None = None, x: int | None = None) -> Column:

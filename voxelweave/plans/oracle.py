@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import CENTRE, CLIP, CROP, SERIES, SKIP, START, STOP
+from .queries import CENTRE, CLIP, CROP, LATE, SERIES, SKIP, START, STOP
 
 _SKIPPED = sorted({n for part in SKIP.split(",") for lo, hi in [(part.split("-") * 2)[:2]] for n in range(int(lo), int(hi) + 1)})
 _SKIP = ", ".join(map(str, _SKIPPED))
@@ -216,7 +216,7 @@ ORACLE: dict[str, str] = {
     "block_offsets": f"{_BLOCKS} SELECT *, last - frame_count AS first FROM places",
     "frame_lookup": f"{_BLOCKS} SELECT scan, frames // 2 AS frame_index, block, frames // 2 - (last - frame_count) AS frame_in_block FROM scans JOIN places USING (scan) WHERE frames // 2 >= last - frame_count AND frames // 2 < last",
     "latest_projection": f"{_BLOCKS} SELECT kind, max(scan) AS scan FROM kinds GROUP BY kind",
-    "scan_refusals": f"{_BLOCKS} SELECT scan, CASE WHEN kind <> 'projection' THEN scan || ' is a ' || kind || ' scan, not a projection scan' END AS refusal FROM kinds",
+    "scan_refusals": f"{_BLOCKS} SELECT scan, CASE WHEN kind <> 'projection' THEN scan || ' is a ' || kind || ' scan; only projections can be shown' END AS refusal FROM kinds",
     "volume_shapes": f"{_VOXELS} SELECT series, seq, max(z) + 1 AS nz, max(y) + 1 AS ny, max(x) + 1 AS nx, count(*) AS voxels, count(*) = (max(z) + 1) * 64 AS complete FROM vox GROUP BY 1, 2",
     "crop_filter": f"{_VOXELS} SELECT series, seq, z, y, x, {_r('v')} FROM vox WHERE z BETWEEN 2 AND 17 AND y BETWEEN 1 AND 6 AND x BETWEEN 3 AND 7",
     "axis_slice": f"{_VOXELS} SELECT series, seq, z, y, {_r('v')} FROM vox WHERE x = 3",
@@ -237,7 +237,7 @@ ORACLE: dict[str, str] = {
     "deadband_diff": f"{_LAGGED} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
     "local_window": f"""{_DIFFS}, best AS (SELECT seq, z AS centre FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY max_abs_diff DESC, z) = 1)
         SELECT seq, centre, z, {_r('max_abs_diff')} FROM tops JOIN best USING (seq) WHERE abs(z - centre) <= 2""",
-    "aligned_diff": f"""{_VOXELS}, p AS MATERIALIZED (SELECT seq AS key, y, x, v FROM vox WHERE z = 0)
+    "aligned_diff": f"""{_VOXELS}, p AS MATERIALIZED (SELECT seq * 20 + z AS key, y, x, v FROM vox)
         SELECT key, y, x, round(CAST(d AS DOUBLE), 6) AS d FROM (SELECT key, y, x, CAST(lead(v, 9) OVER (PARTITION BY key ORDER BY y, x) - v AS FLOAT) AS d FROM p) WHERE y < 5 AND x < 6""",
     "slice_labels": f"{_LABELS} SELECT seq, z, y, x, label // 100 AS label_y, label % 100 AS label_x FROM labels",
     "slice_components": f"{_LABELS} SELECT seq, z, y_min, y_max, x_min, x_max, voxel_count, {_r('peak_abs_diff', 'peak_signed_diff', 'sum_abs_diff', 'sum_signed_diff', 'z_weighted_sum', 'y_weighted_sum', 'x_weighted_sum', digits=4)} FROM comp",
@@ -264,7 +264,15 @@ ORACLE: dict[str, str] = {
     "slab_mean": f"{_VOXELS} SELECT series, seq, y, x, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox WHERE z BETWEEN 4 AND 8 GROUP BY 1, 2, 3, 4",
     "sampled_stats": f"""{_VOXELS}{_STATS.format(step=2)} SELECT series, seq, n, {_r('low', 'high')}, {", ".join(f"round(p[{i + 1}], 6) AS {c}" for i, c in enumerate("p0_1 p0_5 p1 p5 p50 p95 p99 p99_5 p99_9".split()))}, {_r('sigma')}
         FROM st JOIN s USING (series, seq)""",
-    "suggested_settings": f"{_VOXELS}{_STATS.format(step=1)} SELECT series, seq, round(p[2], 6) AS clip_min, round(p[8], 6) AS clip_max, round(3 * sigma, 6) AS mask_below, CAST(ceil(pow(2368.0 * 3300 * 3300 / 1073741824, 1 / 3)) AS INTEGER) AS downsample FROM st JOIN s USING (series, seq)",
+    "suggested_settings": f"""{_VOXELS}{_STATS.format(step=2)} SELECT series, seq, round(p[2], 6) AS clip_min, round(p[8], 6) AS clip_max, round(3 * sigma, 6) AS mask_below, 3 AS downsample, '640.0 B' AS size, '160.0 B' AS uint8_size,
+        '80.0 B' AS size_by_2, '12.0 B' AS size_by_4 FROM st JOIN s USING (series, seq)""",
+    "slab_mean_x": f"{_VOXELS} SELECT series, seq, z, y, round(avg(CAST(v AS DOUBLE)), 6) AS v FROM vox WHERE x BETWEEN 2 AND 6 GROUP BY 1, 2, 3, 4",
+    "sigma_counted": f"{_LAGGED}, med AS (SELECT seq, median(CAST(d AS DOUBLE)) AS m FROM raw GROUP BY seq) SELECT 'vectors' AS series, seq, round(median(abs(CAST(d AS DOUBLE) - m)) / 0.6744897501960817, 6) AS sigma FROM raw JOIN med USING (seq) GROUP BY seq",
+    "percentiles_counted": f"""{_VOXELS}{_STATS.format(step=1)} SELECT series, seq, n, {", ".join(f"round(p[{i + 1}], 6) AS {c}" for i, c in enumerate("p0_1 p0_5 p1 p5 p50 p95 p99 p99_5 p99_9".split()))} FROM st""",
+    "preview_slice_strided": f"""{_LAGGED}, tops AS (SELECT series, seq, prev_seq, z, CAST(max(abs(d)) AS DOUBLE) AS top FROM raw WHERE (z % 5 = 0 OR z = 19) AND y % 2 = 0 AND x % 2 = 0 GROUP BY 1, 2, 3, 4)
+        SELECT series, seq, prev_seq, z, round(top, 6) AS max_abs_diff FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY top DESC, z) = 1""",
+    "one_sided_range": f"""{_FILES}, ends AS (SELECT collection, position, max(seq) AS high FROM latest GROUP BY 1, 2)
+        SELECT collection, position, seq, file_name FROM latest JOIN ends USING (collection, position) WHERE seq BETWEEN least({LATE}, high) AND greatest({LATE}, high) AND seq NOT IN ({_SKIP})""",
     "clip_mask": f"{_VOXELS} SELECT series, seq, z // 2 AS z, y // 2 AS y, x // 2 AS x, round(CAST({_MASKED} AS DOUBLE), 6) AS v FROM vox WHERE vox.z % 2 = 0 AND vox.y % 2 = 0 AND vox.x % 2 = 0",
     "to_uint8": f"""{_VOXELS} SELECT series, seq, (z - 1) // 2 AS z, y // 2 AS y, x // 2 AS x, CAST(floor(least(greatest((CAST({_MASKED} AS DOUBLE) - CAST({_LOW} AS DOUBLE)) / (CAST({_HIGH} AS DOUBLE) - CAST({_LOW} AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS v
         FROM vox WHERE vox.z BETWEEN 1 AND 18 AND (vox.z - 1) % 2 = 0 AND vox.y % 2 = 0 AND vox.x % 2 = 0""",
@@ -277,11 +285,11 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT series, seq, 'xz', z // 3, x // 3, v FROM vox WHERE y BETWEEN 3 AND 5 UNION ALL SELECT series, seq, 'yz', z // 3, y // 3, v FROM vox WHERE x BETWEEN 3 AND 5)
         SELECT series, seq, plane, row, col, round(CAST(CAST(avg(CAST(v AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS v FROM views GROUP BY 1, 2, 3, 4, 5""",
     "output_sizes": f"{_VOXELS} SELECT DISTINCT seq, '7,3,3' AS shape, CAST(252 AS BIGINT) AS bytes, '7,3,3' AS chunk FROM vox",
-    "frame_grey": f"""{_VOXELS} SELECT seq, y, x, g AS r, g, g AS b FROM (SELECT seq, y, x, CAST(floor(least(greatest((CAST(v AS DOUBLE) - CAST(-0.25 AS DOUBLE)) / (CAST(0.25 AS DOUBLE) - CAST(-0.25 AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS g FROM vox WHERE z = 10)""",
-    "frame_percentiles": f"{_VOXELS} SELECT seq, round(quantile_cont(CAST(v AS DOUBLE), 0.01), 6) AS low, round(quantile_cont(CAST(v AS DOUBLE), 0.99), 6) AS high FROM vox WHERE z = 10 GROUP BY seq",
-    "frame_pairs": f"""{_DIFFS}, wide AS (SELECT DISTINCT seq FROM raw), grid AS (SELECT seq, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x FROM wide, range(8) a(y), range(20) b(x))
-        SELECT g.seq, g.y, g.x, round(CASE WHEN g.x < 8 THEN CAST(v.v AS DOUBLE) WHEN g.x < 12 THEN 1.0 ELSE coalesce(CAST(d.d AS DOUBLE), 0.0) END, 6) AS v
-        FROM grid g LEFT JOIN vox v ON v.seq = g.seq AND v.z = 10 AND v.y = g.y AND v.x = g.x LEFT JOIN raw d ON d.seq = g.seq AND d.z = 10 AND d.y = g.y AND d.y < 6 AND d.x = g.x - 12""",
+    "frame_grey": f"""{_VOXELS} SELECT seq, z, y, x, g AS r, g, g AS b FROM (SELECT seq, z, y, x, CAST(floor(least(greatest((CAST(v AS DOUBLE) - CAST(-0.25 AS DOUBLE)) / (CAST(0.25 AS DOUBLE) - CAST(-0.25 AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS g FROM vox)""",
+    "frame_percentiles": f"{_VOXELS} SELECT seq, z, round(quantile_cont(CAST(v AS DOUBLE), 0.01), 6) AS low, round(quantile_cont(CAST(v AS DOUBLE), 0.99), 6) AS high FROM vox GROUP BY seq, z",
+    "frame_pairs": f"""{_LAGGED}, grid AS (SELECT seq, z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x FROM (SELECT DISTINCT seq, z FROM raw), range(8) a(y), range(20) b(x))
+        SELECT g.seq, g.z, g.y, g.x, round(CASE WHEN g.x < 8 THEN CAST(v.v AS DOUBLE) WHEN g.x < 12 THEN 1.0 ELSE coalesce(CAST(d.d AS DOUBLE), 0.0) END, 6) AS v
+        FROM grid g LEFT JOIN vox v ON v.seq = g.seq AND v.z = g.z AND v.y = g.y AND v.x = g.x LEFT JOIN raw d ON d.seq = g.seq AND d.z = g.z AND d.y = g.y AND d.y < 6 AND d.x = g.x - 12""",
     "screening_frames": f"""{_PLANES} SELECT series, plane, seq, y, x, round(least(greatest((v - CAST(-0.3 AS DOUBLE)) / (CAST(0.3 AS DOUBLE) - CAST(-0.3 AS DOUBLE)), 0), 1), 6) AS v FROM planes""",
     "comparison_frames": f"""{_DIFFS}, dv AS (SELECT series, seq, z, y, x, sign(d) * greatest(abs(CAST(d AS DOUBLE)) - CAST(0.1 AS DOUBLE), 0) AS v FROM raw),
         lp AS (SELECT series, seq, 'xy' AS plane, y, x, CAST(v AS DOUBLE) AS v FROM vox WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, v FROM vox WHERE y = {_Y} UNION ALL SELECT series, seq, 'yz', z, y, v FROM vox WHERE x = {_X}),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import images, runs
 from ..functions import names, ranges, scalars
-from ..operators import catalog, components, diff, events, frames, projections, slices, transform
+from ..operators import catalog, components, diff, events, frames, kernels, projections, selection, slices, transform
 from ..shipping import ship
 from ..sources import files, volumes
 from ..storage import materialize, new_path
@@ -27,6 +27,7 @@ PREVIEW_CENTRE = (2, 1, 1)
 
 
 SERIES = ["c0_view", "c3_error"]
+LATE = 135
 CROP = tracking.Crop(z=(1, 19), y=(0, 7), x=(2, 8))
 
 
@@ -293,6 +294,34 @@ def preview_slice(spark, sf):
     return _rounded(diff.preview_slice(_diffs(spark, sf)))
 
 
+@query
+def preview_slice_strided(spark, sf):
+    """The preview slice from every fifth plane and the last one, and every second line of each."""
+    return _rounded(diff.preview_slice(_diffs(spark, sf), planes=4, lines=4))
+
+
+@query
+def sigma_counted(spark, sf):
+    """sigma_mad by counting in ranges, for any number of voxels."""
+    rows = diff.voxel_diffs(_diffs(spark, sf)).select("series", "seq", F.col("d").alias("v"))
+    return _rounded(selection.robust_sigma(rows, ["series", "seq"]))
+
+
+@query
+def percentiles_counted(spark, sf):
+    """The percentiles of the statistics over every voxel of each volume, by counting in ranges."""
+    rows = selection.percentiles(_voxels(spark, sf), ["series", "seq"], [p / 100 for p in transform.PERCENTILES])
+    named = [F.col("p")[i].alias("p" + f"{p:g}".replace(".", "_")) for i, p in enumerate(transform.PERCENTILES)]
+    return _rounded(rows.select("series", "seq", "n", *named))
+
+
+@query
+def one_sided_range(spark, sf):
+    """Members from one number on: the other bound is the end of their series, which may lie before it."""
+    rows = catalog.admitted(_files(spark, sf), _skipped(spark), start=LATE, unique=True)
+    return rows.select(*catalog.SERIES, "seq", "file_name")
+
+
 @query
 def reference_diff(spark, sf):
     return _rounded(diff.pair_maxima(diff.against_reference(_tiles(spark, sf), 3)))
@@ -315,7 +344,7 @@ def local_window(spark, sf):
 @query
 def aligned_diff(spark, sf):
     """Two planes of different sizes, cut to the common size around the centre."""
-    rows = _voxels(spark, sf).where("z = 0").select(F.col("seq").alias("key"), "y", "x", "v")
+    rows = _voxels(spark, sf).select((F.col("seq") * 20 + F.col("z")).alias("key"), "y", "x", "v")
     return _rounded(diff.aligned_planes(rows, rows.where("y < 5 and x < 6")))
 
 
@@ -449,22 +478,29 @@ def top_differences(spark, sf):
 
 @query
 def block_mean_2d(spark, sf):
-    return _rounded(transform.block_mean(_voxels(spark, sf), 3, ("y", "x")))
+    return _rounded(kernels.block_means(_tiles(spark, sf), (1, 3, 3)))
 
 
 @query
 def block_mean_3d(spark, sf):
-    return _rounded(transform.block_mean(_voxels(spark, sf), 3))
+    return _rounded(kernels.block_means(_tiles(spark, sf), (3, 3, 3)))
 
 
 @query
 def subsample_3d(spark, sf):
-    return _rounded(transform.subsample(_voxels(spark, sf), 3))
+    return _rounded(kernels.subsampled(_tiles(spark, sf), 3))
 
 
 @query
 def slab_mean(spark, sf):
-    return _rounded(transform.slab_mean(_voxels(spark, sf), "z", 4, 9))
+    return _rounded(kernels.slab_means(_tiles(spark, sf), "z", 4, 9))
+
+
+@query
+def slab_mean_x(spark, sf):
+    """A slab along x of planes in several tiles."""
+    tiles = materialize(volumes.tiles(_voxels(spark, sf), 5, 3), "tiles")
+    return _rounded(kernels.slab_means(tiles, "x", 2, 7))
 
 
 @query
@@ -474,7 +510,9 @@ def sampled_stats(spark, sf):
 
 @query
 def suggested_settings(spark, sf):
-    return _rounded(transform.suggestions(transform.statistics(_voxels(spark, sf)), 2368 * 3300 * 3300))
+    tiles = _tiles(spark, sf)
+    stats = transform.statistics(volumes.voxels(tiles), factor=2)
+    return _rounded(transform.suggestions(stats, volumes.shapes(tiles), factor=2, most=10))
 
 
 @query
@@ -507,23 +545,23 @@ def output_sizes(spark, sf):
 
 @query
 def frame_grey(spark, sf):
-    planes = _voxels(spark, sf).where("z = 10")
-    rows = frames.grey(frames.normalised_frames(planes, ["seq"], low=-0.25, high=0.25), ["seq"])
-    return rows.select("seq", "y", "x", "rgb.r", "rgb.g", "rgb.b")
+    rows = frames.grey(frames.normalised_frames(_voxels(spark, sf), ["seq", "z"], low=-0.25, high=0.25), ["seq", "z"])
+    return rows.select("seq", "z", "y", "x", "rgb.r", "rgb.g", "rgb.b")
 
 
 @query
 def frame_percentiles(spark, sf):
-    return _rounded(frames.display_range(_voxels(spark, sf).where("z = 10"), ["seq"]))
+    return _rounded(frames.display_range(_voxels(spark, sf), ["seq", "z"]))
 
 
 @query
 def frame_pairs(spark, sf):
-    """Each volume's plane beside its difference plane."""
-    left = _voxels(spark, sf).where("z = 10").select("seq", "y", "x", F.col("v").cast("double").alias("v"))
-    right = diff.voxel_diffs(_diffs(spark, sf)).where("z = 10 and y < 6").select("seq", "y", "x", F.col("d").cast("double").alias("v"))
-    left = left.join(right.select("seq").distinct(), "seq", "left_semi")
-    return _rounded(frames.side_by_side(left, right, ["seq"]))
+    """Each plane beside its difference, which is cut lower and so padded."""
+    by = ["seq", "z"]
+    left = _voxels(spark, sf).select(*by, "y", "x", F.col("v").cast("double").alias("v"))
+    right = diff.voxel_diffs(_diffs(spark, sf)).where("y < 6").select(*by, "y", "x", F.col("d").cast("double").alias("v"))
+    left = left.join(right.select(*by).distinct(), by, "left_semi")
+    return _rounded(frames.side_by_side(left, right, by))
 
 
 @query

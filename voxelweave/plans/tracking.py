@@ -42,7 +42,7 @@ def thresholds(diffs: DataFrame, options: Options) -> DataFrame:
     if options.absolute_threshold is not None:
         return diffs.select("series", F.lit(0.0).alias("baseline_sigma"), F.lit(options.absolute_threshold).alias("threshold")).distinct()
     sigma = diff.baseline_sigma(diffs, options.sampling_step, options.sample_target)
-    checked = F.when(F.col("sigma") > 0, F.col("sigma")).otherwise(F.raise_error(F.lit("the first pair has no noise to measure")).cast("double"))
+    checked = F.when((F.col("sigma") > 0) & (F.col("sigma") < float("inf")), F.col("sigma")).otherwise(F.raise_error(F.lit("the first pair has no noise to measure")).cast("double"))
     return sigma.select("series", checked.alias("baseline_sigma"), (checked * options.threshold_sigma).alias("threshold"))
 
 
