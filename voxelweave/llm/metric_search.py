@@ -11,7 +11,8 @@ pages of routing objects with covering radii and distances to their parent. A qu
 its own block; its k-th score there is a bound, with which it goes only to the blocks that the bound
 allows. Within a tree the search is best-first: a page is opened by the lower bound of its
 distances, and an entry whose parent distance already rules it out by the triangle inequality is
-never compared. Scores themselves are exact integers.
+never compared. Queries that meet in a tree go through it together, each by its own bounds. Scores themselves
+are exact integers. A part of a block holds about ``PART_BYTES`` of vectors, however wide these are.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part,
 neither do rows with a null id; vectors are compared with those of their own length, however long;
@@ -40,6 +41,10 @@ PAGE, FANOUT = 32, 4
 #: Rows of a part of a block, about; routing objects of the upper level, at least and at most.
 BLOCK_ROWS, LEAST_BLOCKS, PIVOTS = 50_000, 12, 4096
 _SLACK = 1e-6
+#: Bytes of the vectors of a part, about, and queries that go through a tree together.
+PART_BYTES, TOGETHER = 32 << 20, 256
+#: The score of no entry.
+NONE = np.iinfo(np.int64).min
 
 
 def distance(base: float, score: int) -> float:
@@ -94,46 +99,87 @@ class MTree:
 
     def search(self, query: np.ndarray, own: int | None, k: int, floor: int | None = None) -> list[tuple[int, int]]:
         """The k best (score, id), by score down and id up; of those below the score floor some may be missing."""
+        scores, ids = self.search_all(query[None], [own], k, [floor])
+        return [(s, i) for s, i in zip(scores[0].tolist(), ids[0].tolist(), strict=True) if s > NONE]
+
+    def search_all(self, queries: np.ndarray, own: list[int | None], k: int, floors: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``search`` of several queries at once: scores and ids, a row for each query; places left over have the score NONE.
+
+        Each query opens the pages that its own bound allows. They share one queue, in which a page has the
+        lowest bound of the queries that wait for it; those that still want it when it comes up see its entries together.
+        """
+        m = len(queries)
+        best = _Best(m, k)
         if self.root is None:
-            return []
-        q = query.astype(np.float64)
-        base = float(q @ q) + self.top
-        best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst is on top
-        limit = np.inf if floor is None else distance(base, floor)  # of the k-th best
-        queue: list[tuple[float, int, float]] = [(0.0, self.root, -1.0)]
+            return best.scores, best.ids
+        q = queries.astype(np.float64)
+        base = (q * q).sum(1) + self.top
+        limit = np.array([np.inf if f is None else distance(float(b), f) for b, f in zip(base, floors, strict=True)])  # of each k-th best
+        mine = np.array([NONE if o is None else o for o in own])
+        queue: list[tuple] = [(0.0, self.root, np.arange(m), np.zeros(m), None)]
         while queue:
-            bound, page, to_parent = heapq.heappop(queue)
-            if bound > limit:
+            least, page, who, bound, to_parent = heapq.heappop(queue)
+            if least > limit.max():
                 break
+            wanted = bound <= limit[who]
+            who = who[wanted]
+            if not len(who):
+                continue
             leaf, rows, near, radius, children = self.pages[page]
-            if near is not None and limit < np.inf:
-                pick = np.flatnonzero(np.abs(to_parent - near) <= (limit if leaf else limit + radius))
-                if len(pick) < len(rows):
-                    rows = rows[pick]
-                    if not leaf:
-                        radius, children = radius[pick], children[pick]
-            if leaf and own is not None:  # however many they are, they take no place among the best
-                rows = rows[self.ids[rows] != own]
-            if not len(rows):
+            may = np.ones((len(who), len(rows)), bool)
+            if near is not None and to_parent is not None:
+                to_parent = to_parent[wanted]
+                may = np.abs(to_parent[:, None] - near) <= (limit[who][:, None] if leaf else limit[who][:, None] + radius)
+            if leaf:  # however many own rows there are, they take no place among the best
+                may &= (self.ids[rows] != mine[who][:, None]) | (mine[who] == NONE)[:, None]
+            pick = np.flatnonzero(may.any(0))
+            if not len(pick):
                 continue
-            self.compared += len(rows)
+            rows, may = rows[pick], may[:, pick]
+            self.compared += int(may.sum())
             if leaf:
-                scores = self.exact[rows] @ (q if self.exact is self.v else query)
-                good = np.arange(len(rows)) if len(rows) <= 2 * k else np.flatnonzero(scores >= np.partition(scores, len(rows) - k)[len(rows) - k])
-                for i in good[scores[good] >= best[0][0]] if len(best) == k else good:
-                    entry = (int(scores[i]), -int(self.ids[rows[i]]))
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
-                if len(best) == k:
-                    limit = min(limit, distance(base, best[0][0]))
+                scores = (q if self.exact is self.v else queries)[who] @ self.exact[rows].T
+                changed = best.add(who, np.where(may, scores.astype(np.int64), NONE), self.ids[rows])
+                if len(changed):
+                    worst = best.scores[changed, k - 1]
+                    full = changed[worst > NONE]
+                    far = np.sqrt(np.maximum(base[full] - 2.0 * worst[worst > NONE], 0)) + _SLACK * (1 + np.sqrt(base[full]))
+                    limit[full] = np.minimum(limit[full], far)
             else:
-                d = np.sqrt(np.maximum(base - 2.0 * (self.v[rows] @ q), 0))
-                for dist, r, child in zip(d.tolist(), radius.tolist(), children.tolist(), strict=True):
-                    if dist - r <= limit:
-                        heapq.heappush(queue, (max(dist - r - _SLACK, 0.0), child, dist))
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+                d = np.sqrt(np.maximum(base[who][:, None] - 2.0 * (q[who] @ self.v[rows].T), 0))
+                go = may & (d - radius[pick] <= limit[who][:, None])
+                for j, child in enumerate(children[pick].tolist()):
+                    some = np.flatnonzero(go[:, j])
+                    if len(some):
+                        low = np.maximum(d[some, j] - radius[pick[j]] - _SLACK, 0.0)
+                        heapq.heappush(queue, (float(low.min()), child, who[some], low, d[some, j]))
+        return best.scores, best.ids
+
+
+class _Best:
+    """The k best entries of each query, by score down and id up."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.scores, self.ids = np.full((queries, k), NONE), np.full((queries, k), np.iinfo(np.int64).max)
+
+    def add(self, who: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Entries (scores: a row for each of who, a column for each id); returns the queries that have new ones."""
+        k, least = self.k, self.scores[who, self.k - 1]
+        if len(ids) > k:
+            least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
+        at, col = np.nonzero((scores >= least[:, None]) & (scores > NONE))
+        if not len(at):
+            return at
+        new = np.unique(at)
+        owner = np.concatenate((np.repeat(new, k), at))
+        score = np.concatenate((self.scores[who[new]].ravel(), scores[at, col]))
+        ident = np.concatenate((self.ids[who[new]].ravel(), ids[col]))
+        order = np.lexsort((ident, ~score, owner))
+        first = np.flatnonzero(np.concatenate(([True], np.diff(owner[order]) != 0)))
+        keep = order[first[:, None] + np.arange(k)]
+        self.scores[who[new]], self.ids[who[new]] = score[keep], ident[keep]
+        return who[new]
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -220,7 +266,7 @@ def _answers(data: DataFrame, asked: DataFrame, top: int, k: int, tasks: int, co
         here, ids, parts, tree = None, [], [], None
         for batch in batches:
             dim, block, part, kind, vec = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            out: list[tuple] = []
+            out: list[tuple[np.ndarray, ...]] = []
             for a, b in _cuts(dim, block, part, kind):
                 some = _vectors(batch, 6, a, b - a, int(dim[a]))
                 if here != (dim[a], block[a], part[a]):
@@ -232,12 +278,15 @@ def _answers(data: DataFrame, asked: DataFrame, top: int, k: int, tasks: int, co
                 if tree is None:
                     tree = MTree(np.concatenate(ids) if ids else np.empty(0, np.int64), np.concatenate(parts) if parts else some[:0], top)
                 floors = batch.column(5).slice(a, b - a).to_pylist()
-                for q, x, floor in zip(vec[a:b].tolist(), some, floors, strict=True):
-                    before = tree.compared
-                    out += [(q, v, s) for s, v in tree.search(x, q, k, floor)]
+                for at in range(0, b - a, TOGETHER):
+                    to, before = min(at + TOGETHER, b - a), tree.compared
+                    own = vec[a + at : a + to]
+                    scores, found = tree.search_all(some[at:to], own.tolist(), k, floors[at:to])
+                    there = scores > NONE
+                    out.append((np.repeat(own, k)[there.ravel()], found[there], scores[there]))
                     if counter is not None:
                         counter.add(tree.compared - before)
-            cols = list(zip(*out, strict=True)) or [(), (), ()]
+            cols = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.empty(0, np.int64)] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
 
     return dealt.mapInArrow(run, _ASKED)
@@ -270,8 +319,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, co
     rows = common.materialize(_assigned(numbered, upper), "vectors")
     # a row for each pivot, and one for each length without
     sizes = rows.groupBy("dim", "block").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()
-    blocks = spark.createDataFrame([(r[0], r[1], -(-r[2] // BLOCK_ROWS)) for r in sizes], "dim int, block int, parts int")
-    tasks = 4 * sum(-(-r[2] // BLOCK_ROWS) for r in sizes)
+    parts = [(r["dim"], r["block"], -(-r["n"] // max(1, min(BLOCK_ROWS, PART_BYTES // (8 * r["dim"]))))) for r in sizes]
+    blocks = spark.createDataFrame(parts, "dim int, block int, parts int")
+    tasks = 4 * sum(p[2] for p in parts)
     radii: dict[int, dict[int, float]] = {}
     for r in sizes:
         radii.setdefault(r["dim"], {})[r["block"]] = r["radius"]
