@@ -163,3 +163,16 @@ def test_preview_slice_looks_at_the_last_plane(spark):
     assert (best.z, best.max_abs_diff) == (8, 3.0)
     assert diff.preview_slice(diff.tile_diffs(tiles)).head().z == 5
     assert volumes.shapes(tiles).count() == 2
+
+
+def test_colour_maps(spark):
+    assert frames.colour_table("gray")[0] == (0, 0, 0, 0) and frames.colour_table("gray")[255] == (255, 255, 255, 255)
+    hot = frames.colour_table("hot")
+    # red starts at 0.0416 of 255, is full from 0.365 on; green rises between 0.365 and 0.746; blue after that
+    assert hot[0] == (0, 10, 0, 0) and hot[93][1] == 254 and hot[94] == (94, 255, 2, 0) and hot[191] == (191, 255, 255, 2) and hot[255] == (255, 255, 255, 255)
+    assert frames.colour_table("cool")[0] == (0, 0, 255, 255)
+    with pytest.raises(ValueError, match="no such colour map: plaid"):
+        frames.colour_table("plaid")
+    rows = spark.createDataFrame([(0, 0, 0, 0.0), (0, 0, 1, 0.5), (0, 0, 2, 0.999), (0, 0, 3, 1.0)], "k int, y int, x int, v double")
+    got = {r.x: tuple(r.rgb) for r in frames.coloured(rows, ["k"], "hot").collect()}
+    assert got == {0: hot[0][1:], 1: hot[128][1:], 2: hot[255][1:], 3: hot[255][1:]}

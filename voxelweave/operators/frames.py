@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,40 @@ def normalised_frames(planes: DataFrame, by: list[str], **limits) -> DataFrame:
     return rows.select(*by, "y", "x", normalised_frame(F.col("v"), F.col("low"), F.col("high")).alias("v"))
 
 
+#: Colour maps as places and levels of each channel, with straight lines between.
+MAPS = {
+    "gray": {"r": [(0.0, 0.0), (1.0, 1.0)], "g": [(0.0, 0.0), (1.0, 1.0)], "b": [(0.0, 0.0), (1.0, 1.0)]},
+    "hot": {
+        "r": [(0.0, 0.0416), (0.365079, 1.0), (1.0, 1.0)],
+        "g": [(0.0, 0.0), (0.365079, 0.0), (0.746032, 1.0), (1.0, 1.0)],
+        "b": [(0.0, 0.0), (0.746032, 0.0), (1.0, 1.0)],
+    },
+    "bone": {
+        "r": [(0.0, 0.0), (0.746032, 0.652778), (1.0, 1.0)],
+        "g": [(0.0, 0.0), (0.365079, 0.319444), (0.746032, 0.777778), (1.0, 1.0)],
+        "b": [(0.0, 0.0), (0.365079, 0.444444), (1.0, 1.0)],
+    },
+    "cool": {"r": [(0.0, 0.0), (1.0, 1.0)], "g": [(0.0, 1.0), (1.0, 0.0)], "b": [(0.0, 1.0), (1.0, 1.0)]},
+}
+ENTRIES = 256
+
+
+def colour_table(name: str) -> list[tuple[int, int, int, int]]:
+    """(index, r, g, b) of a map's entries, from its lines; bytes are cut, not rounded."""
+    if name not in MAPS:
+        raise ValueError(f"no such colour map: {name}")
+    places = np.linspace(0.0, 1.0, ENTRIES)
+    levels = [np.interp(places, *zip(*MAPS[name][c], strict=True)) for c in "rgb"]
+    return [(i, *(int(level[i] * 255.0) for level in levels)) for i in range(ENTRIES)]
+
+
+def coloured(frames: DataFrame, by: list[str], name: str = "gray") -> DataFrame:
+    """Normalised frames in a colour map: each value's entry, as r, g, b bytes."""
+    table = frames.sparkSession.createDataFrame(colour_table(name), "i int, r smallint, g smallint, b smallint")
+    rows = frames.select(*by, "y", "x", F.least(F.floor(F.col("v") * ENTRIES), F.lit(ENTRIES - 1)).cast("int").alias("i"))
+    return rows.join(F.broadcast(table), "i").select(*by, "y", "x", F.struct("r", "g", "b").alias("rgb"))  # ENTRIES rows
+
+
 def grey(frames: DataFrame, by: list[str]) -> DataFrame:
     """Normalised frames as r, g, b bytes of a grey map."""
     byte = F.floor(F.col("v") * 255).cast("smallint")

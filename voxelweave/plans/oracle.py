@@ -286,6 +286,13 @@ ORACLE: dict[str, str] = {
         SELECT series, seq, plane, row, col, round(CAST(CAST(avg(CAST(v AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS v FROM views GROUP BY 1, 2, 3, 4, 5""",
     "output_sizes": f"{_VOXELS} SELECT DISTINCT seq, '7,3,3' AS shape, CAST(252 AS BIGINT) AS bytes, '7,3,3' AS chunk FROM vox",
     "frame_grey": f"""{_VOXELS} SELECT seq, z, y, x, g AS r, g, g AS b FROM (SELECT seq, z, y, x, CAST(floor(least(greatest((CAST(v AS DOUBLE) - CAST(-0.25 AS DOUBLE)) / (CAST(0.25 AS DOUBLE) - CAST(-0.25 AS DOUBLE)), 0), 1) * 255) AS SMALLINT) AS g FROM vox)""",
+    "frame_hot": f"""{_VOXELS}, t AS (SELECT CAST(i AS INTEGER) AS i, i / CAST(255 AS DOUBLE) AS p FROM range(256) r(i)),
+        hot AS (SELECT i, CAST(floor(255 * CASE WHEN p < 0.365079 THEN 0.0416 + (1 - 0.0416) * p / 0.365079 ELSE 1 END) AS SMALLINT) AS r,
+          CAST(floor(255 * CASE WHEN p < 0.365079 THEN 0 WHEN p < 0.746032 THEN (p - 0.365079) / (0.746032 - 0.365079) ELSE 1 END) AS SMALLINT) AS g,
+          CAST(floor(255 * CASE WHEN p < 0.746032 THEN 0 WHEN p < 1 THEN (p - 0.746032) / (1 - 0.746032) ELSE 1 END) AS SMALLINT) AS b FROM t),
+        v AS (SELECT seq, z, y, x, CAST(least(floor(256 * least(greatest((CAST(v AS DOUBLE) - CAST(-0.25 AS DOUBLE)) / (CAST(0.25 AS DOUBLE) - CAST(-0.25 AS DOUBLE)), 0), 1)), 255) AS INTEGER) AS i FROM vox)
+        SELECT seq, z, y, x, r, g, b FROM v JOIN hot USING (i)""",
+    "raw_volume_range": f"{_VOXELS} SELECT series, seq, z, y, x, {_r('v')} FROM vox WHERE seq BETWEEN 4 AND 15 AND z BETWEEN 3 AND 8",
     "frame_percentiles": f"{_VOXELS} SELECT seq, z, round(quantile_cont(CAST(v AS DOUBLE), 0.01), 6) AS low, round(quantile_cont(CAST(v AS DOUBLE), 0.99), 6) AS high FROM vox GROUP BY seq, z",
     "frame_pairs": f"""{_LAGGED}, grid AS (SELECT seq, z, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x FROM (SELECT DISTINCT seq, z FROM raw), range(8) a(y), range(20) b(x))
         SELECT g.seq, g.z, g.y, g.x, round(CASE WHEN g.x < 8 THEN CAST(v.v AS DOUBLE) WHEN g.x < 12 THEN 1.0 ELSE coalesce(CAST(d.d AS DOUBLE), 0.0) END, 6) AS v

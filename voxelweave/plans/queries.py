@@ -13,7 +13,7 @@ from .. import images, runs
 from ..functions import names, ranges, scalars
 from ..operators import catalog, components, diff, events, frames, kernels, projections, selection, slices, transform
 from ..shipping import ship
-from ..sources import files, volumes
+from ..sources import files, raw, volumes
 from ..storage import materialize, new_path
 from ..streaming import follow
 from . import compression, screening, tracking
@@ -227,6 +227,20 @@ def volume_shapes(spark, sf):
     return volumes.shapes(_tiles(spark, sf))
 
 
+@query
+def raw_volume_range(spark, sf):
+    """Volumes written as raw files, of which a range of members and planes is read back."""
+    folder, key = new_path(spark, "raw"), "spark.sql.python.filterPushdown.enabled"
+    raw.write(_tiles(spark, sf), folder)
+    before = spark.conf.get(key)
+    raw.register(spark)
+    try:
+        rows = spark.read.format("raw_volume").option("path", folder).load().where("seq between 4 and 15 and z >= 3 and z < 9")
+        return _rounded(volumes.voxels(materialize(rows, "raw-range")))
+    finally:
+        spark.conf.set(key, before)
+
+
 @query
 def crop_filter(spark, sf):
     return _rounded(slices.crop(_voxels(spark, sf), (2, 18), (1, 7), (3, 8)))
@@ -549,6 +563,13 @@ def frame_grey(spark, sf):
     return rows.select("seq", "z", "y", "x", "rgb.r", "rgb.g", "rgb.b")
 
 
+@query
+def frame_hot(spark, sf):
+    """Every plane in a colour map that is not grey."""
+    rows = frames.coloured(frames.normalised_frames(_voxels(spark, sf), ["seq", "z"], low=-0.25, high=0.25), ["seq", "z"], "hot")
+    return rows.select("seq", "z", "y", "x", "rgb.r", "rgb.g", "rgb.b")
+
+
 @query
 def frame_percentiles(spark, sf):
     return _rounded(frames.display_range(_voxels(spark, sf), ["seq", "z"]))
