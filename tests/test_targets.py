@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from voxelweave.operators import catalog, projections
 from voxelweave.plans import compression, screening
-from voxelweave.sources import volumes
+from voxelweave.sources import files, volumes
 
 MEMBER = "collection string, position string, seq int, dataset_name string, file_name string, mtime string"
 
@@ -78,5 +78,27 @@ def test_preview_averages_the_slab_in_either_mode(spark, mode):
             assert got["yz", r, c] == mean(lambda z, y, x: near(z, 1 + 2 * r) and near(y, 2 * c) and x == 4)
 
 
+def test_directories_and_paths(spark):
+    paths = ["/c/a_0001/scan0001/x.h5", "/c/a_0001/a_0001.h5", "/c/b/b.h5", "/c/b/other.h5", "/c/d/reconstructed_volumes/x/v.hdf5", "/c/e/notes.txt", "/c/f/scans.h5", "/c/a_0002/scan1/y.h5", "/c/a_0002/scan2/z.h5"]
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = {r.root: r.kinds for r in files.dataset_directories(listed).collect()}
+    assert found == {"/c/a_0001": "master,scans", "/c/b": "master", "/c/d": "volumes", "/c/a_0002": "scans"}
+    kinds = spark.createDataFrame([("/c/a_0001/scan0001", "projection"), ("/c/a_0002/scan1", "flat")], "scan_path string, kind string")
+    got = {r.path: (r.root, r.scan, r.refusal) for r in files.resolved(listed, kinds).collect()}
+    assert got == {
+        paths[0]: ("/c/a_0001", "scan0001", None), paths[7]: ("/c/a_0002", "scan1", f"{paths[7]} is a flat scan; only projections can be shown"),
+        paths[8]: ("/c/a_0002", "scan2", f"{paths[8]} is a unknown scan; only projections can be shown"),
+    }
+    scans = [("/c/a_0001", "scan1", "flat", 9), ("/c/a_0001", "scan2", "projection", 5), ("/c/a_0001", "scan3", "projection", 50), ("/c/a_0003", "scan1", "projection", 6), ("/c/a", "scan1", "projection", 7)]
+    table = spark.createDataFrame(scans, "root string, scan string, kind string, frames bigint")
+
+    def listed_by(*args, **more):
+        return [(r.root, r.seq, r.scan) for r in files.projection_datasets(table, *args, **more).collect()]
+
+    assert listed_by(4) == [("/c/a", 0, "scan1"), ("/c/a_0001", 1, "scan2"), ("/c/a_0003", 3, "scan1")]
+    assert listed_by(5) == [("/c/a", 0, "scan1"), ("/c/a_0003", 3, "scan1")]
+    assert listed_by(0, least=1, exclude="/c/a_0003") == [("/c/a_0001", 1, "scan2")]
+
+
 def test_raw_screening():
     assert screening.raw_only(True, "raw") and not screening.raw_only(True, "pair") and not screening.raw_only(False, "raw")

@@ -31,6 +31,10 @@ scans AS (SELECT scan, CAST(sum(frame_count) AS BIGINT) AS frames, count(*) AS b
 kinds AS (SELECT *, CASE image_key WHEN 0 THEN 'projection' WHEN 1 THEN 'flat' WHEN 2 THEN 'dark' ELSE 'unknown' END AS kind FROM scans),
 places AS (SELECT *, CAST(sum(frame_count) OVER (PARTITION BY scan ORDER BY block ROWS UNBOUNDED PRECEDING) AS BIGINT) AS last FROM blocks)
 """
+_LISTING = f"""{_BLOCKS},
+paths AS (SELECT *, root || '/scan' || lpad(CAST(scan AS VARCHAR), 6, '0') AS scan_path FROM (SELECT *, '/data/c/c_p' || (scan // 8) % 3 || '_' || lpad(CAST((scan // 8) % 10000 AS VARCHAR), 4, '0') AS root FROM blocks)),
+kind_of AS (SELECT scan_path, root, CAST(sum(frame_count) AS BIGINT) AS frames, CASE arg_min(image_key, block) WHEN 0 THEN 'projection' WHEN 1 THEN 'flat' WHEN 2 THEN 'dark' ELSE 'unknown' END AS kind FROM paths GROUP BY 1, 2)
+"""
 _VOXELS = """
 WITH vox AS (SELECT 'vectors' AS series, CAST(vec_id // 20 AS INTEGER) AS seq, CAST(vec_id % 20 AS INTEGER) AS z, CAST((i - 1) // 8 AS INTEGER) AS y, CAST((i - 1) % 8 AS INTEGER) AS x, CAST(embedding[i] AS FLOAT) AS v
   FROM embeddings, unnest(range(1, 65)) t(i))
@@ -211,6 +215,14 @@ ORACLE: dict[str, str] = {
     "follow_emitted": f"""{_FILES}, b AS (SELECT date_diff('day', DATE '1970-01-01', CAST(mtime AS DATE)) AS batch, * FROM good),
         m AS (SELECT CAST(batch AS INTEGER) AS batch, collection, position, seq, mtime, file_name FROM b QUALIFY row_number() OVER (PARTITION BY batch, collection, position ORDER BY seq DESC, mtime DESC, file_name DESC) = 1)
         SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.collection = m.collection AND q.position = m.position AND q.batch < m.batch AND (q.seq, q.mtime, q.file_name) >= (m.seq, m.mtime, m.file_name))""",
+    "follow_state": f"""{_FILES}, m AS (SELECT day(mtime) // 11 AS batch, collection, position, seq, mtime, file_name FROM good QUALIFY row_number() OVER (PARTITION BY day(mtime) // 11, collection, position ORDER BY seq DESC, mtime DESC, file_name DESC) = 1)
+        SELECT collection, position, seq, mtime, file_name FROM m WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.collection = m.collection AND q.position = m.position AND q.batch < m.batch AND (q.seq, q.mtime, q.file_name) >= (m.seq, m.mtime, m.file_name))""",
+    "dataset_directories": f"""{_LISTING}, roots AS (SELECT root, bool_or(scan % 8 = 0 AND scan % 3 = 0) AS master, bool_or(scan % 8 = 0 AND scan % 5 = 0) AS vols FROM paths GROUP BY root)
+        SELECT root, CASE WHEN master THEN 'master,' ELSE '' END || 'scans' || CASE WHEN vols THEN ',volumes' ELSE '' END AS kinds FROM roots""",
+    "resolved_scans": f"""{_LISTING} SELECT p.scan_path || '/part_' || block || '.h5' AS path, p.root, 'scan' || lpad(CAST(scan AS VARCHAR), 6, '0') AS scan,
+        CASE WHEN kind <> 'projection' THEN p.scan_path || '/part_' || block || '.h5 is a ' || kind || ' scan; only projections can be shown' END AS refusal FROM paths p JOIN kind_of USING (scan_path)""",
+    "projection_datasets": f"""{_LISTING}, firsts AS (SELECT root, scan_path, frames FROM kind_of WHERE kind = 'projection' QUALIFY row_number() OVER (PARTITION BY root ORDER BY scan_path) = 1)
+        SELECT root, CAST(right(root, 4) AS INTEGER) AS seq, right(scan_path, 10) AS scan, frames FROM firsts WHERE frames > 60 AND CAST(right(root, 4) AS INTEGER) >= 2""",
     "history_preload": f"{_FILES} SELECT collection, position, seq, file_name FROM latest WHERE seq BETWEEN 0 AND 5",
     "scan_frames": f"{_BLOCKS} SELECT * FROM kinds",
     "block_offsets": f"{_BLOCKS} SELECT *, last - frame_count AS first FROM places",

@@ -183,6 +183,19 @@ def follow_emitted(spark, sf):
     return follow.emitted(rows)
 
 
+@query
+def follow_state(spark, sf):
+    """Members that a stream with state emits over three batches, each taken in by a start of its own."""
+    folder = new_path(spark, "follow")
+    columns = ["collection", "position", "seq", "dataset_name", "file_name", "mtime", "length", "valid"]
+    rows = materialize(_files(spark, sf).withColumn("batch", F.floor(F.dayofmonth("mtime") / 11).cast("int")), "listing")
+    for n in range(3):
+        rows.where(F.col("batch") == n).select(*columns).write.parquet(f"{folder}/in/batch={n}")
+        stream = spark.readStream.schema(rows.select(*columns, "batch").schema).parquet(f"{folder}/in")
+        follow.follow_with_state(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
 def history_preload(spark, sf):
     return follow.preload(_files(spark, sf), 5).select("collection", "position", "seq", "file_name")
@@ -219,6 +232,41 @@ def scan_refusals(spark, sf):
     return rows.select("scan", projections.refusal(F.col("scan"), F.col("kind")).alias("refusal"))
 
 
+def _listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Block files of scans below dataset directories: eight scans a dataset (scan_path, path, scan, and columns of blocks)."""
+    rows = _blocks(spark, sf)
+    root = F.format_string("/data/c/c_p%d_%04d", (F.col("scan") / 8).cast("int") % 3, (F.col("scan") / 8).cast("int") % 10_000)
+    rows = rows.withColumns({"root": root, "scan_path": F.concat(root, F.format_string("/scan%06d", "scan"))})
+    return rows.withColumn("path", F.concat("scan_path", F.format_string("/part_%d.h5", "block")))
+
+
+@query
+def dataset_directories(spark, sf):
+    """Dataset directories of a listing, where every third has a master file and every fifth reconstructions."""
+    rows = _listing(spark, sf)
+    more = rows.select("root", "scan").where("scan % 8 = 0").distinct()
+    name = F.regexp_extract("root", "([^/]+)$", 1)
+    paths = [rows.select("path"), more.where("scan % 3 = 0").select(F.concat("root", F.lit("/"), name, F.lit(".h5"))), more.where("scan % 5 = 0").select(F.concat("root", F.lit("/reconstructed_volumes/v.hdf5")))]
+    return files.dataset_directories(paths[0].union(paths[1]).union(paths[2]))
+
+
+@query
+def resolved_scans(spark, sf):
+    """Root and scan of each block file, and why it can't be shown."""
+    rows = _listing(spark, sf)
+    kinds = projections.frame_counts(rows.withColumn("scan", F.col("scan_path"))).select(F.col("scan").alias("scan_path"), "kind")
+    return files.resolved(rows.select("path"), kinds)
+
+
+@query
+def projection_datasets(spark, sf):
+    """Datasets that have frame 60 in their first projection scan."""
+    rows = _listing(spark, sf)
+    scans = projections.frame_counts(rows.withColumn("scan", F.col("scan_path")))
+    scans = scans.select(F.regexp_extract("scan", "^(.*)/[^/]+$", 1).alias("root"), F.regexp_extract("scan", "([^/]+)$", 1).alias("scan"), "kind", "frames")
+    return files.projection_datasets(scans, 60, least=2)
+
+
 # Volumes and planes
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..operators.projections import refusal
 
 
 def scan_files(spark: SparkSession, root: str, pattern: str = "*.hdf5") -> DataFrame:
@@ -54,6 +55,45 @@ def master_files(files: DataFrame) -> DataFrame:
     return rows.groupBy("root").agg(F.coalesce(F.max(F.when(F.col("name") == own, F.col("name"))), F.min("name")).alias("name"))
 
 
+def dataset_directories(files: DataFrame) -> DataFrame:
+    """(root, kinds): directories that are datasets, from a listing of files (path).
+
+    A directory is one if it has a child named scan... ("scans"), a master file of its own ("master"), or a child
+    named projections or reconstructed_volumes ("volumes").
+    """
+    inner = [("scans", r"^(.*)/scan[^/]*/"), ("volumes", r"^(.*)/(?:projections|reconstructed_volumes)/")]
+    marks = [F.struct(F.regexp_extract("path", p, 1).alias("root"), F.lit(k).alias("kind")) for k, p in inner]
+    own = F.regexp_extract("path", r"^(.*/([^/]+))/\2\.h5$", 1)
+    marks.append(F.struct(own.alias("root"), F.lit("master").alias("kind")))
+    rows = files.select(F.explode(F.array(*marks)).alias("m")).where("m.root <> ''").groupBy("m.root").agg(F.array_sort(F.collect_set("m.kind")).alias("kinds"))
+    return rows.select("root", F.array_join("kinds", ",").alias("kinds"))
+
+
+def resolved(files: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(path, root, scan, refusal) of every file in a directory named scan...; kinds has the kind of each scan (scan_path, kind).
+
+    A file of a scan that is no projection scan is refused, with the reason.
+    """
+    rows = files.select("path", F.regexp_extract("path", r"^(.*/scan[^/]*)/[^/]+$", 1).alias("scan_path")).where("scan_path <> ''")
+    rows = rows.join(kinds, "scan_path", "left").withColumn("kind", F.coalesce("kind", F.lit("unknown")))
+    root, scan = F.regexp_extract("scan_path", r"^(.*)/[^/]+$", 1), F.regexp_extract("scan_path", r"([^/]+)$", 1)
+    return rows.select("path", root.alias("root"), scan.alias("scan"), refusal(F.col("path"), F.col("kind")).alias("refusal"))
+
+
+def projection_datasets(scans: DataFrame, index: int, least: int | None = None, exclude: str | None = None) -> DataFrame:
+    """(root, seq, scan, frames): datasets of which the first projection scan has a frame of that index, by number and name.
+
+    scans: (root, scan, kind, frames). least is the smallest sequence number, exclude a root that is left out.
+    """
+    good = scans.where(F.col("kind") == "projection")
+    if exclude is not None:
+        good = good.where(F.col("root") != exclude)
+    first = good.groupBy("root").agg(F.min_by(F.struct("scan", "frames"), "scan").alias("s")).select("root", "s.*")
+    rows = first.where(F.col("frames") > index).withColumn("seq", names.sequence_number(F.regexp_extract("root", "([^/]+)$", 1)))
+    rows = rows if least is None else rows.where(F.col("seq") >= least)
+    return rows.select("root", "seq", "scan", "frames").orderBy("seq", "root")
+
+
 def target(files: DataFrame, path: str) -> DataFrame:
     """The catalog row that a path of a file or a dataset directory means: the file itself, else the newest valid one."""
     own = files.where(F.col("path") == path)

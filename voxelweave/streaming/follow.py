@@ -7,11 +7,13 @@ that fails is retried by Structured Streaming with the history unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import names
@@ -66,6 +68,41 @@ def follow(members: DataFrame, path: str, checkpoint: str, show: Callable[[DataF
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+#: What is kept for each key: the last member emitted. Times are text, so that they compare to the microsecond.
+_LAST = "seq int, mtime string, file_name string"
+_EMITTED = "collection string, position string, seq int, mtime string, file_name string"
+_MOMENT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _newer(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    best = last = tuple(state.get) if state.exists else None
+    for rows in batches:  # a key's rows of one trigger, in pieces
+        top = max(zip(rows["seq"].tolist(), rows["mtime"].tolist(), rows["file_name"].tolist(), strict=True))
+        best = top if best is None or top > best else best
+    if best != last:
+        state.update(best)
+        yield pd.DataFrame([(*key, *best)], columns=[c.split()[0] for c in _EMITTED.split(", ")])
+
+
+def newer_members(members: DataFrame, reference_seq: int = 0) -> DataFrame:
+    """Of a stream of catalog rows, at each trigger the newest member of every position that is beyond the last one emitted.
+
+    The last one is state of the stream, a row for each key, and part of its checkpoint: nothing is read again
+    for it, and a trigger that fails leaves it as it was. A file that can't be read yet does not count; it does as
+    soon as a later listing has it as valid.
+    """
+    good = members.where(F.col("valid") & names.is_volume_file(F.col("file_name")) & (F.col("seq") >= reference_seq))
+    rows = good.select(*KEY, "seq", F.date_format("mtime", _MOMENT).alias("mtime"), "file_name")
+    found = rows.groupBy(*KEY).applyInPandasWithState(_newer, _EMITTED, _LAST, "append", GroupStateTimeout.NoTimeout)
+    return found.withColumn("mtime", F.to_timestamp_ntz("mtime", F.lit(_MOMENT)))
+
+
+def follow_with_state(members: DataFrame, path: str, checkpoint: str, reference_seq: int = 0, interval: str | None = None) -> StreamingQuery:
+    """Append ``newer_members`` to the table at path. Without interval the query takes what is there and ends."""
+    writer = newer_members(members, reference_seq).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start(path)
+
+
 def emitted(batches: DataFrame, reference_seq: int = 0) -> DataFrame:
     """What following would emit over numbered batches (batch, and catalog columns), as one query."""
     good = batches.where(F.col("valid") & names.is_volume_file(F.col("file_name")) & (F.col("seq") >= reference_seq))
