@@ -189,7 +189,7 @@ ORACLE: dict[str, str] = {
         coalesce(TRY_CAST(regexp_extract(dataset_name, '_(\\d+)$', 1) AS INTEGER), 0) AS seq_live, position AS position_name, dataset_name || '_compressed.hdf5' AS output_name FROM files""",
     "latest_files": f"{_FILES} SELECT * FROM latest",
     "newest_dataset": f"{_FILES} SELECT collection, seq, dataset_name, file_name, mtime FROM latest QUALIFY row_number() OVER (PARTITION BY collection ORDER BY seq DESC, mtime DESC, dataset_name DESC) = 1",
-    "skip_list": f"SELECT unnest([{_SKIP}]) AS seq",
+    "skip_list": f"{_FILES} SELECT DISTINCT dataset_name, concat_ws(',', seq, seq + 2, seq + 3, seq + 4) AS numbers FROM files",
     "admitted_members": f"{_FILES} SELECT collection, position, seq, file_name FROM latest WHERE seq BETWEEN {START} AND {STOP} AND seq NOT IN ({_SKIP})",
     "pairs_lag": f"{_pairs('true')} SELECT * FROM pairs",
     "pairs_preview": f"""{_FILES}, roots AS (SELECT DISTINCT collection, position, seq FROM files),
@@ -210,7 +210,7 @@ ORACLE: dict[str, str] = {
         pairs AS (SELECT 'same' AS mode, l.*, t.seq AS target_seq, l.position AS held_to, t.dataset_name AS td, t.file_name AS tf FROM latest l JOIN same t USING (collection, position)
           UNION ALL SELECT 'all', l.*, t.seq, NULL, t.dataset_name, t.file_name FROM latest l JOIN anywhere t USING (collection))
         SELECT mode, collection, position, seq, target_seq, held_to, 'reference: ' || dataset_name || ' | ' || file_name || chr(10) || 'current: ' || td || ' | ' || tf AS title FROM pairs WHERE target_seq >= seq""",
-    "plane_lists": "SELECT * FROM (VALUES ('xy,xz,yz', 'xy+xz+yz', ''), (' XY ,,yz', 'xy+yz', ''), ('', '', ''), ('ab,xz,Q', 'ab+xz+q', 'ab+q')) t(raw, planes, unknown)",
+    "plane_lists": f"""{_FILES} SELECT DISTINCT dataset_name, ' XY ,,' || upper(position) || CASE WHEN seq % 2 = 0 THEN ',yz' ELSE '' END AS raw, 'xy+' || lower(position) || CASE WHEN seq % 2 = 0 THEN '+yz' ELSE '' END AS planes, lower(position) AS unknown FROM files""",
     "file_times": f"""{_FILES} SELECT dataset_name, strftime(mtime, '%Y-%m-%dT%H:%M:%S+00:00') AS mtime_iso, {SIZE.format('length')} AS size FROM latest""",
     "follow_emitted": f"""{_FILES}, b AS (SELECT date_diff('day', DATE '1970-01-01', CAST(mtime AS DATE)) AS batch, * FROM good),
         m AS (SELECT CAST(batch AS INTEGER) AS batch, collection, position, seq, mtime, file_name FROM b QUALIFY row_number() OVER (PARTITION BY batch, collection, position ORDER BY seq DESC, mtime DESC, file_name DESC) = 1)
@@ -235,10 +235,10 @@ ORACLE: dict[str, str] = {
     "strided_slice": f"{_VOXELS} SELECT series, seq, z, (y - 1) // 3 AS y, x // 3 AS x, {_r('v')} FROM vox WHERE z = 5 AND y >= 1 AND (y - 1) % 3 = 0 AND x % 3 = 0",
     "orthogonal_planes": f"""{_VOXELS} SELECT series, seq, 'xy' AS plane, y AS row, x AS col, {_r('v')} FROM vox WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, {_r('v')} FROM vox WHERE y = {_Y}
         UNION ALL SELECT series, seq, 'yz', z, y, {_r('v')} FROM vox WHERE x = {_X}""",
-    "index_lists": """SELECT n, k, CASE WHEN k = 1 THEN CAST(n // 2 AS VARCHAR) ELSE array_to_string(list_transform(range(k), lambda i: i * (n - 1) // (k - 1)), ',') END AS indices
-        FROM (SELECT n, unnest(range(1, n + 1)) AS k FROM range(1, 40) t(n))""",
-    "crop_ranges": """SELECT n, raw, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS stop FROM (SELECT CAST(unnest(range(8, 13)) AS INTEGER) AS n),
-        LATERAL (VALUES ('2:5', 2, 5), (':5', 0, 5), ('3:', 3, n), ('-3:', n - 3, n), ('-20:4', 0, 4), ('2:99', 2, n), (':', 0, n)) t(raw, a, b)""",
+    "index_lists": f"""{_BLOCKS} SELECT scan, n, CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN CAST(n // 2 AS VARCHAR) ELSE array_to_string(list_transform(range(k), lambda i: i * (n - 1) // (k - 1)), ',') END AS indices
+        FROM (SELECT scan, CAST(frames AS INTEGER) AS n, unnest(range(1, least(6, frames) + 1)) AS k FROM scans WHERE frames > 0)""",
+    "crop_ranges": f"""{_BLOCKS} SELECT scan, n, raw, CAST(a AS INTEGER) AS start, CAST(b AS INTEGER) AS stop FROM (SELECT scan, CAST(frames AS INTEGER) AS n FROM scans WHERE frames > 0),
+        LATERAL (VALUES ('0:5', 0, least(5, n)), (':5', 0, least(5, n)), ('-1:', n - 1, n), ('-3:', greatest(n - 3, 0), n), ('-20000:4', 0, least(4, n)), ('0:99', 0, least(99, n)), (':', 0, n)) t(raw, a, b)""",
     "voxel_diff": f"{_LAGGED} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw",
     "diff_maxima": f"{_DIFFS} SELECT series, seq, prev_seq, round(max(max_abs_diff), 6) AS max_abs_diff FROM tops GROUP BY 1, 2, 3",
     "slice_pair": f"{_LAGGED} SELECT series, seq, prev_seq, z, y, x, {_r('d')} FROM raw WHERE z = 7",

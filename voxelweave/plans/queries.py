@@ -91,7 +91,10 @@ def newest_dataset(spark, sf):
 
 @query
 def skip_list(spark, sf):
-    return _skipped(spark)
+    """The numbers that a skip list made of each dataset's number names: itself, a range from there back, and a blank."""
+    raw = F.concat_ws(",", F.col("seq"), F.lit(""), F.concat_ws("-", F.col("seq") + 4, F.col("seq") + 2))
+    rows = catalog.roots(_files(spark, sf)).select("dataset_name", raw.alias("raw"))
+    return rows.select("dataset_name", F.array_join(ranges.number_list(F.col("raw")), ",").alias("numbers"))
 
 
 @query
@@ -165,10 +168,11 @@ def second_targets(spark, sf):
 
 @query
 def plane_lists(spark, sf):
-    raws = ["xy,xz,yz", " XY ,,yz", "", "ab,xz,Q"]
+    """Lists that hold each dataset's position beside planes."""
+    raw = F.concat_ws(",", F.lit(" XY "), F.lit(""), F.upper("position"), F.when(F.col("seq") % 2 == 0, F.lit("yz")))
     planes = ranges.plane_list(F.col("raw"))
-    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, raws))).alias("raw"))
-    return rows.select("raw", F.array_join(planes, "+").alias("planes"), F.array_join(ranges.unknown_planes(planes), "+").alias("unknown"))
+    rows = catalog.roots(_files(spark, sf)).select("dataset_name", raw.alias("raw"))
+    return rows.select("dataset_name", "raw", F.array_join(planes, "+").alias("planes"), F.array_join(ranges.unknown_planes(planes), "+").alias("unknown"))
 
 
 @query
@@ -311,16 +315,20 @@ def orthogonal_planes(spark, sf):
 
 @query
 def index_lists(spark, sf):
-    n, k = F.col("n").cast("int"), F.col("k").cast("int")
-    rows = spark.range(1, 40).withColumnRenamed("id", "n").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    return rows.select("n", "k", F.array_join(ranges.slice_indices(n, k), ",").alias("indices"))
+    """One to six frames spread over each scan."""
+    n, k = F.col("n"), F.col("k")
+    rows = projections.frame_counts(_blocks(spark, sf)).select("scan", F.col("frames").cast("int").alias("n"))
+    rows = rows.where("n > 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.lit(6), n))))
+    return rows.select("scan", "n", "k", F.array_join(ranges.slice_indices(n, k), ",").alias("indices"))
 
 
 @query
 def crop_ranges(spark, sf):
-    raws = ["2:5", ":5", "3:", "-3:", "-20:4", "2:99", ":"]
-    rows = spark.range(8, 13).select(F.col("id").cast("int").alias("n"), F.explode(F.array(*map(F.lit, raws))).alias("raw"))
-    return rows.withColumn("r", ranges.crop_range(F.col("raw"), F.col("n"))).select("n", "raw", "r.start", "r.stop")
+    """Ranges of the frames of each scan, of which some reach beyond it."""
+    raws = ["0:5", ":5", "-1:", "-3:", "-20000:4", "0:99", ":"]
+    rows = projections.frame_counts(_blocks(spark, sf)).select("scan", F.col("frames").cast("int").alias("n")).where("n > 0")
+    rows = rows.withColumn("raw", F.explode(F.array(*map(F.lit, raws))))
+    return rows.withColumn("r", ranges.crop_range(F.col("raw"), F.col("n"))).select("scan", "n", "raw", "r.start", "r.stop")
 
 
 # Differences
@@ -489,7 +497,8 @@ def comparisons(spark, sf):
 
 @query
 def events_export(spark, sf):
-    return events.export_rows(comparisons(spark, sf), track_events(spark, sf))
+    found = tracking.find(tracking.with_threshold(_diffs(spark, sf), tracking.SMALL), tracking.SMALL)
+    return events.export_rows(_rounded(found.compared), _rounded(found.ranked, 4))
 
 
 def _catalog_run(spark: SparkSession, sf: str) -> tuple[DataFrame, tracking.Found]:

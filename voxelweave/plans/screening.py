@@ -2,36 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, scalars
-from ..operators import diff, frames, slices
-from ..sources import volumes
+from ..operators import frames, slices
+from ..storage import few, materialize
 
 Centre = tuple[int, int, int]
 KEY = ["series", "plane", "seq"]
 
 
-def _planes(voxels: DataFrame, centre: Centre, fast: bool) -> DataFrame:
-    return slices.orthogonal(voxels, centre, fast).withColumnsRenamed({"row": "y", "col": "x"})
-
-
 def raw_frames(tiles: DataFrame, centre: Centre, fast: bool = False, **limits) -> DataFrame:
     """Normalised orthogonal planes of every member, each by its own range unless both limits are given."""
-    return frames.normalised_frames(_planes(volumes.voxels(tiles), centre, fast), KEY, **limits)
+    planes = slices.pixels(slices.cut_planes(tiles, centre, fast), "data").withColumnRenamed("data", "v")
+    return frames.normalised_frames(planes, KEY, **limits)
 
 
-def comparison_frames(tiles: DataFrame, centre: Centre, floor: float = 0.0, fast: bool = False, span: float | None = None) -> DataFrame:
+def comparison_frames(tiles: DataFrame, centre: Centre, floor: float = 0.0, fast: bool = False, span: float | None = None, gap: int = 4) -> DataFrame:
     """Each member's plane, and beside it the difference from the member before without what is under floor.
 
-    span is the symmetric range of differences; without it they are scaled by percentiles.
+    span is the symmetric range of differences; without it they are scaled by percentiles. gap white columns lie between.
+    Planes are cut from the tiles before anything else, so only they are compared; both halves of a frame
+    come from one pass, and its width from the metadata of its parts.
     """
-    diffs = diff.voxel_diffs(diff.tile_diffs(tiles)).withColumn("v", scalars.deadband(F.col("d").cast("double"), floor))
-    right = _planes(diffs.select("series", "seq", "z", "y", "x", "v"), centre, fast)
-    right = frames.normalised_frames(right, KEY, **({} if span is None else {"low": -span, "high": span}))
-    left = raw_frames(tiles, centre, fast).join(right.select(*KEY).distinct(), KEY, "left_semi")
-    return frames.side_by_side(left, right, KEY)
+    cut = slices.cut_planes(tiles, centre, fast)
+    order = Window.partitionBy("series", "plane", "row", "col", "width").orderBy("seq")
+    both = cut.withColumn("before", F.lag("data").over(order)).where("before is not null")
+    change = F.zip_with("data", "before", lambda a, b: scalars.deadband((a - b).cast("float").cast("double"), floor))
+    both = materialize(both.withColumn("change", change).drop("before"), "planes")
+    wide = both.groupBy(*KEY).agg(F.max(F.col("col") + F.col("width")).alias("wide"))
+    rows = slices.pixels(both, "data", "change").withColumns({"data": F.col("data").cast("double")})
+    rows = rows.join(few(wide), KEY)
+    rows = rows.join(few(_range(rows, "data", None)), KEY).join(few(_range(rows, "change", span)), KEY)
+    left = F.struct(F.col("x").alias("x"), scalars.normalised_frame(F.col("data"), F.col("data_low"), F.col("data_high")).alias("v"))
+    right = F.struct((F.col("x") + F.col("wide") + gap).alias("x"), scalars.normalised_frame(F.col("change"), F.col("change_low"), F.col("change_high")).alias("v"))
+    white = F.transform(F.sequence(F.lit(0), F.lit(gap - 1)), lambda i: F.struct((F.col("wide") + i).cast("int").alias("x"), F.lit(1.0).alias("v")))
+    here = F.concat(F.array(left, right), F.when(F.col("x") == 0, white).otherwise(F.slice(white, 1, 0))) if gap else F.array(left, right)
+    return rows.select(*KEY, "y", F.explode(here).alias("p")).select(*KEY, "y", "p.x", "p.v")
+
+
+def _range(rows: DataFrame, value: str, span: float | None) -> DataFrame:
+    limits = {} if span is None else {"low": -span, "high": span}
+    found = frames.display_range(rows.select(*KEY, F.col(value).alias("v")), KEY, **limits)
+    return found.withColumnsRenamed({"low": f"{value}_low", "high": f"{value}_high"})
 
 
 def labels(pairs: DataFrame) -> DataFrame:
