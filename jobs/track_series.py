@@ -97,7 +97,7 @@ def run(spark: SparkSession, vectors: str, files: str, out: str, config: dict) -
     known = runs.load(spark, out, "runs").select(F.col("run_id").alias("series"), "baseline_sigma", F.col("threshold_value").alias("threshold"))
     fresh = pairs.join(known, "series", "left_anti")
     if not fresh.isEmpty():
-        measured = tracking.thresholds(diffs.join(known, "series", "left_anti"), options)
+        measured = tracking.thresholds_of_pairs(tiles, fresh, options, crop)
         runs.save(run_rows(fresh, measured, config, options), out, "runs")
         known = runs.load(spark, out, "runs").select(F.col("run_id").alias("series"), "baseline_sigma", F.col("threshold_value").alias("threshold"))
     found = tracking.find(diffs.join(storage.few(known), "series"), options)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranges
 from ..sources.volumes import coordinates
-from ..storage import few
+from ..storage import few, materialize
 
 #: Fixed value: the 0.75 quantile of the standard normal distribution.
 NORMAL_QUARTILE = 0.6744897501960817
@@ -21,11 +21,13 @@ def tile_diffs(tiles: DataFrame) -> DataFrame:
     Filter tiles to the admitted members first; every member needs the same tiles (``mismatched``).
     """
     order = Window.partitionBy("series", "z", "y0", "x0").orderBy("seq")
-    rows = tiles.withColumn("p", F.lag(F.struct("seq", "data", "ny", "nx")).over(order)).where("p is not null")
-    same = (F.col("p.ny") == F.col("ny")) & (F.col("p.nx") == F.col("nx"))
-    data = F.zip_with("data", "p.data", lambda a, b: (a - b).cast("float"))
-    checked = F.when(F.col("p").isNull() | same, data).otherwise(F.raise_error(F.lit("volumes differ in shape")).cast("array<float>"))
-    return rows.select("series", "seq", F.col("p.seq").alias("prev_seq"), "z", "y0", "x0", "ny", "nx", checked.alias("data"))
+    # one lag for each column, so that plans which need no data move none
+    before = {"prev_seq": "seq", "_data": "data", "_ny": "ny", "_nx": "nx"}
+    rows = tiles.withColumns({c: F.lag(of).over(order) for c, of in before.items()}).where("prev_seq is not null")
+    same = (F.col("_ny") == F.col("ny")) & (F.col("_nx") == F.col("nx"))
+    data = F.zip_with("data", "_data", lambda a, b: (a - b).cast("float"))
+    checked = F.when(F.col("_ny").isNull() | same, data).otherwise(F.raise_error(F.lit("volumes differ in shape")).cast("array<float>"))
+    return rows.select("series", "seq", "prev_seq", "z", "y0", "x0", "ny", "nx", checked.alias("data"))
 
 
 def mismatched(shapes: DataFrame) -> DataFrame:
@@ -84,10 +86,10 @@ def baseline_sigma(
     by = ranges.stride(F.min_by("voxels", "seq"), target) if step is None else F.lit(step)
     first = pairs.groupBy("series").agg(F.min("seq").alias("seq"), by.alias("step"))
     every = {a: (F.col(a) - s) % F.col("step") == 0 for a, s in zip(("z", "y", "x"), start, strict=True)}
-    tiles = diffs.join(F.broadcast(first), ["series", "seq"]).where(every["z"])  # a row per series
+    tiles = diffs.join(few(first), ["series", "seq"]).where(every["z"])
     y, x = coordinates(F.col("i"))
     rows = tiles.select("*", F.posexplode("data").alias("i", "d")).select("series", "step", y.alias("y"), x.alias("x"), "d")
-    sample = rows.where(every["y"] & every["x"])
+    sample = materialize(rows.where(every["y"] & every["x"]).select("series", "d"), "noise")  # about target rows a series
     broken = sample.groupBy("series").agg(F.max(F.isnan("d")).alias("broken"))
     return robust_sigma(sample, ["series"]).join(broken, "series").select("series", F.when(~F.col("broken"), F.col("sigma")).alias("sigma"))
 

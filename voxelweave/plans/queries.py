@@ -14,7 +14,7 @@ from ..functions import names, ranges, scalars
 from ..operators import catalog, components, diff, events, frames, kernels, projections, selection, slices, transform
 from ..shipping import ship
 from ..sources import files, raw, volumes
-from ..storage import materialize, new_path
+from ..storage import few, materialize, new_path
 from ..streaming import follow
 from . import compression, screening, tracking
 
@@ -506,7 +506,8 @@ def _catalog_run(spark: SparkSession, sf: str) -> tuple[DataFrame, tracking.Foun
     store = _store(spark, sf, volumes.volumes_of_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), SERIES))
     pairs = tracking.pairs_of_catalog(_files(spark, sf), store, _skipped(spark), STOP, START)
     options = dataclasses.replace(tracking.SMALL, crop_start=CROP.start)
-    return pairs, tracking.find(tracking.with_threshold(tracking.diffs_of_pairs(store, pairs, CROP), options), options)
+    limits = tracking.thresholds_of_pairs(store, pairs, options, CROP)
+    return pairs, tracking.find(tracking.diffs_of_pairs(store, pairs, CROP).join(few(limits), "series"), options)
 
 
 @query

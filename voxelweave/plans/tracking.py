@@ -50,7 +50,7 @@ def with_threshold(diffs: DataFrame, options: Options) -> DataFrame:
     """diffs with the threshold of their series."""
     if options.absolute_threshold is not None:
         return diffs.withColumns({"baseline_sigma": F.lit(0.0), "threshold": F.lit(options.absolute_threshold)})
-    return diffs.join(F.broadcast(thresholds(diffs, options)), "series")  # a row per series
+    return diffs.join(few(materialize(thresholds(diffs, options), "thresholds")), "series")
 
 
 def regions(diffs: DataFrame, options: Options) -> DataFrame:
@@ -66,9 +66,7 @@ def track(diffs: DataFrame, options: Options = Options()) -> DataFrame:
 
 def comparisons(diffs: DataFrame, options: Options = Options()) -> DataFrame:
     """A row per pair with its counts and largest difference."""
-    found = events.assemble(regions(diffs, options), options.min_event, options.merge_gap)
-    pairs = diffs.select(*events.PAIR).distinct()
-    return events.comparison_rows(pairs, diff.pair_maxima(diffs), found, options.max_events)
+    return find(with_threshold(diffs, options), options).compared
 
 
 @dataclass(frozen=True)
@@ -104,6 +102,12 @@ def diffs_of_pairs(tiles: DataFrame, pairs: DataFrame, crop: Crop = Crop()) -> D
     return diff.tile_diffs(cropped).join(few(pairs), events.PAIR, "left_semi")
 
 
+def thresholds_of_pairs(tiles: DataFrame, pairs: DataFrame, options: Options, crop: Crop = Crop()) -> DataFrame:
+    """``thresholds`` of each series in pairs; of the tiles only those of its first pair are read."""
+    first = pairs.groupBy("series").agg(F.min_by(F.struct("seq", "prev_seq"), "seq").alias("p")).select("series", "p.*")
+    return materialize(thresholds(diffs_of_pairs(tiles, first, crop), options), "thresholds")
+
+
 @dataclass(frozen=True)
 class Found:
     """What a run has found: a row for each pair, and its ranked events. Both come from one computation of events."""
@@ -116,6 +120,6 @@ def find(diffs: DataFrame, options: Options) -> Found:
     """diffs: with threshold. The events are worked out once and written; all else is derived from them."""
     found = events.assemble(components.tile_regions(diffs, options.min_component), options.min_event, options.merge_gap)
     found = materialize(found, "events")
-    maxima = diff.pair_maxima(diffs)  # has every pair
+    maxima = materialize(diff.pair_maxima(diffs), "maxima")  # has every pair
     compared = events.comparison_rows(maxima.select(*events.PAIR), maxima, found, options.max_events)
     return Found(compared, events.described(events.ranked(found, options.max_events), options.crop_start))
