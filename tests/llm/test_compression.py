@@ -1,4 +1,8 @@
+import math
+
 import numpy as np
+import pytest
+import zstandard
 
 from voxelweave.llm import compression as C
 from voxelweave.llm import linear
@@ -28,6 +32,47 @@ def test_odd_rows(spark):
     assert sum(rows[i].predicted for i in range(60)) >= 58 and sum(rows[100 + i].predicted for i in range(60)) <= 2
 
 
+def plain_features(text, good, bad):
+    """The features from the description alone: sizes of each 2 kB block under both dictionaries, and what is made of them."""
+    data = (text or "").encode()
+    parts = [data[i : i + 2048] for i in range(0, len(data), 2048)] or [b""]
+
+    def size(part, dictionary):
+        kind = zstandard.DICT_TYPE_AUTO if dictionary.startswith(bytes([0x37, 0xA4, 0x30, 0xEC])) else zstandard.DICT_TYPE_RAWCONTENT
+        return len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=kind), write_content_size=False).compress(part))
+
+    sizes = [(size(p, good), size(p, bad), len(p)) for p in parts]
+    shares = [(b - g) / max(n, 32) for g, b, n in sizes]
+    g, b, n = (sum(s[k] for s in sizes) for k in range(3))
+    n = max(n, 32)
+    x = [(b - g) / n, min(shares), max(shares), g / n, b / n, math.log(n)]
+    return x + [v * v for v in x] + [x[0] * v for v in x[1:]]
+
+
+def test_scores_equal_a_plain_recomputation(spark):
+    docs, labels = (spark.read.parquet(f"{DATA.replace('0.01', '0.001')}/{t}.parquet") for t in ("documents", "labels"))
+    model = C.fit(docs, labels)
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.score for r in C.score(docs, model).collect()}
+    for d, text in list(rows.items())[:60]:
+        x = np.array(plain_features(text, model.good, model.bad))
+        assert x == pytest.approx(C.features(text, model.good, model.bad), abs=1e-12)
+        assert got[d] == pytest.approx(model.fit(x[None])[0], abs=1e-9)
+
+
+def test_repeated_rows_and_labels(spark):
+    docs = [(i, f"the quiet river runs past mill {i} and on to the sea", 0) for i in range(30)] + [(100 + i, f"$$$ !!! win ### {i} $$$", 0) for i in range(30)]
+    df = spark.createDataFrame(docs + docs[:5] + [(7, "another text of a known id", 0), (None, docs[0][1], 0), (None, docs[0][1], 0)], DOCS)
+    labels = [(i, 1, 0) for i in range(30)] + [(100 + i, 0, 0) for i in range(30)]
+    once, twice = (C.score(df, C.fit(df, spark.createDataFrame(rows, LABELS))).collect() for rows in (labels, labels * 2))
+    assert sorted(map(str, once)) == sorted(map(str, twice)) and len(once) == len(docs) + 8
+    by = {}
+    for r in once:
+        by.setdefault(r.doc_id, []).append(r)
+    assert len(by[0]) == 2 and by[0][0] == by[0][1] and len(by[7]) == 2
+    assert [r.held_out for r in by[None]] == [False, False] and by[None][0].score == by[0][0].score
+
+
 def test_texts_with_large_ids_enter_the_dictionary():
     rng = np.random.default_rng(2)
     first = [rng.integers(97, 123, 100_000, np.uint8).tobytes() for _ in range(450)]  # 22,050 blocks

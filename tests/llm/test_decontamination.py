@@ -76,6 +76,20 @@ def test_query_columns_and_odd_rows(spark):
     assert D.find(spark.createDataFrame([], DOCS), items).count() == 0
 
 
+def test_repeated_rows_and_very_long_texts(spark):
+    rnd = random.Random(12)
+    item = " ".join(f"i{k}" for k in range(25))
+    long = " ".join(f"w{rnd.randint(0, 99)}" for _ in range(150_000)) + " " + item
+    rows = [(1, item, 0, ""), (1, item, 0, ""), (None, item, 0, ""), (None, None, None, None), (2, long, len(long), "")]
+    df, items = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(7, item, ""), (7, item, ""), (None, item, "")], ITEMS)
+    out = D.digest(D.find(df, items)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items) for r in out) == [("1", 25, 25, 1)] * 2 + [("2", 150_025, 25, 1), ("None", 0, 0, 0), ("None", 25, 25, 1)]
+    kept = D.remove(df, items).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["2", "None"]
+    assert next(r for r in kept if r.doc_id == 2).text.split() == long.split()[:150_000]
+    assert D.remove(df.limit(0), items).count() == 0 and D.remove(df, items.limit(0)).count() == len(rows)
+
+
 def test_remove_cuts_spans_and_keeps_the_rest(spark):
     item = "One two three, four five six seven eight nine ten eleven"
     clean = " ".join(f"w{i}" for i in range(30))

@@ -75,3 +75,41 @@ def test_planted_cases(spark, tmp_path):
     assert all(left[d] == rows[d] for d in [*range(100), 300])
     assert item not in left[400] and len(left[400]) > 300
     assert passage[:200] not in left[500] and passage[:200] not in left[501] and len(left[500]) > 300
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, doc string, spans int"
+
+
+def odd(spark, tmp_path, rows):
+    """Tables with these documents, extra columns named as the operators name theirs, no label and no benchmark item."""
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return spark.createDataFrame([(d, t, None, "s", None if t is None else len(t), "x", k) for k, (d, t) in enumerate(rows)], SCHEMA)
+
+
+def test_odd_rows_in_every_stage(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, None), (2, ""), (None, "a text without an id"), (None, None), (3, "once"), (3, "once"), (3, "other text of that id"), (4, long), (5, "you stupid idiot, worthless scum and trash"), (6, "\n \t")]
+    docs = odd(spark, tmp_path, rows)
+    kept = {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{k}")
+        kept[name] = sorted((r.spans for r in spark.read.parquet(f"{tmp_path}/{k}").collect()))
+    assert kept["toxicity"] == [0, 1, 2, 3, 4, 5, 6, 7, 9]
+    assert [k for k in kept["near_duplicates"] if k != 5] == [0, 1, 2, 3, 4, 6, 7, 8, 9]  # one of two rows of one id and text is kept or both are
+    assert kept["suffix_dedup"] == kept["decontamination"] == list(range(10))
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sum(r.piece == 0 for r in packed) == 10 and sum(r.length for r in packed if r.doc_id in (1, 2)) == 2
+    assert len([r for r in packed if r.doc_id == 4]) > 50
+
+
+def test_empty_tables_in_every_stage(spark, tmp_path):
+    docs = odd(spark, tmp_path, [])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+    docs.select(*COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -45,6 +47,49 @@ def test_scores_equal_a_plain_recomputation(spark):
         assert T.Lexicons(model.lexicons.starts, model.lexicons.words).features(text) == (r["_bits"], r["_x"])
 
 
+def plain_features(text, starts, words):
+    """Votes and counts from the description, one word after the other."""
+    text = text or ""
+    low = re.findall(r"[^\W\d_]+", text.lower())
+    n = len(low)
+    lists = [lambda w: w in T.INSULTS, *((lambda w, k=k: len(w) >= k and w[:k] in starts[k]) for k in (4, 5, 6)), lambda w: w in words]
+    sums = [sum(map(f, low)) for f in lists]
+    hit = [any(f(w) for f in lists) for w in low]
+    every = sum(hit)
+    upper = sum("A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" for c in text) / (sum(map(len, low)) or 1)
+    marks = text.count("!") / max(n, 1)
+    near = any(h and any(w in T.ADDRESS for w in low[max(0, i - 4) : i + 4]) for i, h in enumerate(hit))
+    several = len({w for w in low if w in T.INSULTS}) > 1
+    votes = [sums[0] > 0, several, *(s > 0 for s in sums[1:]), every > 1 and every >= 0.004 * n, upper > 0.3, marks > 0.1, near]
+    x = [*(math.log(1 + s) for s in sums), *(float(s > 0) for s in sums), float(every > 0), float(every > 1), math.log(1 + every), every / max(n, 10), upper, min(marks, 2.0), float(near)]
+    return sum(2**i for i, v in enumerate(votes) if v), x
+
+
+def test_features_equal_a_plain_recomputation(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    model, measured = T.learn(docs, labels)
+    known = {r.doc_id: (r["_bits"], list(r["_x"])) for r in measured.collect()}
+    lexicons = model.lexicons
+    for r in docs.collect():
+        bits, x = plain_features(r.text, lexicons.starts, lexicons.words)
+        assert known[r.doc_id][0] == bits and known[r.doc_id][1] == pytest.approx(x, abs=1e-12)
+
+
+def test_one_step_of_the_label_model_by_hand():
+    """Two voters without pairs: after EM the votes of each are independent given the label, so its posterior is Bayes' rule."""
+    rng = np.random.default_rng(8)
+    n = 40_000
+    y = rng.random(n) < 0.4
+    votes = np.array([np.where(y, rng.random(n) < p, rng.random(n) < q) for p, q in ((0.8, 0.1), (0.6, 0.2), (0.7, 0.05))])
+    bits = (votes << np.arange(3)[:, None]).sum(0)
+    counts = np.zeros((3, 8))
+    np.add.at(counts, (np.where(np.arange(n) % 2 == 0, y, 2).astype(int), bits), 1)
+    model = T.LabelModel(counts, voters=3, pairs=0)
+    for b in range(8):
+        like = [pi * math.prod(p[i] if b >> i & 1 else 1 - p[i] for i in range(3)) for pi, p in ((0.4, (0.8, 0.6, 0.7)), (0.6, (0.1, 0.2, 0.05)))]
+        assert model.posterior[b] == pytest.approx(like[0] / sum(like), abs=0.03)
+
+
 def test_label_model_finds_accuracies_and_a_correlated_pair():
     rng = np.random.default_rng(3)
     n, right = 60_000, [0.9, 0.8, 0.75, 0.85, 0.6]

@@ -10,8 +10,9 @@ where the template puts them, and ``unescape`` restores the text.
 
 Defined results: turns are ordered by (turn, role, text), null turns first; null role or text is
 empty; rows with a null conversation id form one conversation; repeated rows are turns of their
-own; an empty table gives no rows; other columns are ignored. The examples of a conversation hold
-all its prefixes, so their size grows with the square of its length; that is the format's nature.
+own; an empty table gives no rows; other columns, whatever their names, are ignored; texts of any length are
+formatted whole. The examples of a conversation hold all its prefixes, so their size grows with the square of
+its length; that is the format's nature.
 """
 
 from __future__ import annotations

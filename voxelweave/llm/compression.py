@@ -12,7 +12,10 @@ calibration weighs them back to the labels' shares. Scoring covers whole texts o
 
 Defined results: a null text is scored as an empty one; rows without a label are scored only;
 labels other than 0 and 1, or without a document, are ignored; without labels of both kinds every
-score is the share of good ones (0.5 without any); each input row gives one row.
+score is the share of good ones (0.5 without any); each input row gives one row, repeated ones and those
+without an id too (never held out, and never learned from); equal texts have equal scores; a repeated label
+counts once, and of a text that several labelled rows hold one serves; a text of any length is scored whole,
+block by block; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

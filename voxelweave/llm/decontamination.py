@@ -11,7 +11,10 @@ Words: A-Z lower-cased, then maximal runs of bytes that are digits, a-z or above
 
 Defined results: null or empty text has no words; items without words, text or id match nothing;
 items that share an id count once. An item longer than a whole automaton is cut into pieces that
-overlap by a window less one word, so no window is lost.
+overlap by a window less one word, so no window is lost. Every input row gives a result of its own, repeated
+rows and rows without an id too; texts of any length are walked whole (a task holds one text and its words); an
+empty table of documents gives no rows, an empty benchmark no hits; other columns, whatever their names, are
+ignored by ``find`` and kept by ``remove``.
 """
 
 from __future__ import annotations

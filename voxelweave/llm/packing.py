@@ -9,7 +9,8 @@ within their length; ranks are counted in hashed buckets, so that a length that
 is spread over many tasks.
 
 Defined results: null text is empty (only the end id); documents sharing an id, or with a null id,
-are packed as separate documents; an empty table gives no rows; other columns are ignored.
+are packed as separate documents; an empty table gives no rows; other columns, whatever their names, are
+ignored. A text of any length is encoded whole, in one task, and cut into pieces; none of it is left out.
 """
 
 from __future__ import annotations
