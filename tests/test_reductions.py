@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelweave.operators import catalog, diff, frames, kernels, projections, selection, transform
-from voxelweave.plans import tracking
+from voxelweave.plans import stages, tracking
 from voxelweave.sources import volumes
 
 TILE = "series string, seq int, z int, y0 int, x0 int, ny int, nx int, data array<float>"
@@ -165,6 +165,22 @@ def test_preview_slice_looks_at_the_last_plane(spark):
     assert volumes.shapes(tiles).count() == 2
 
 
+def test_stages_of_a_pair(spark, cube):
+    tiles = tiled(spark, cube, 4, 3).union(tiled(spark, cube[::-1] * 2, 4, 3).withColumn("seq", F.lit(4)))
+    found = {s.name: s for s in stages.of_pair(tiles, "s", 4, 0, tracking.SMALL, tracking.Crop(z=(1, 8), y=(2, 10)))}
+    part = cube[::-1][1:8, 2:].astype(np.float32) * 2 - cube[1:8, 2:]
+    assert (found["shape"].rows, found["shape"].value) == (2 * part.size, 7.0) and found["slice_pair"].rows == 2 * part[0].size
+    assert [found[f"diff_slice_{z}"].value for z in (2, 3, 4)] == [pytest.approx(float(np.abs(part[z]).max())) for z in (2, 3, 4)]
+    mid = np.median(part.astype(float))
+    sigma = np.median(np.abs(part - mid)) / diff.NORMAL_QUARTILE
+    assert found["noise"].value == pytest.approx(2 * sigma) and all(s.seconds >= 0 for s in found.values())
+    best = int(np.abs(part).max((1, 2)).argmax())
+    near = np.abs(part[max(0, best - 2) : best + 3])
+    assert found["preview_slice"].value == best and found["window"].rows == (near >= np.float32(2 * sigma)).sum()
+    with pytest.raises(ValueError, match="no tiles of s #0009"):
+        stages.of_pair(tiles, "s", 9, 8)
+
+
 def test_colour_maps(spark):
     assert frames.colour_table("gray")[0] == (0, 0, 0, 0) and frames.colour_table("gray")[255] == (255, 255, 255, 255)
     hot = frames.colour_table("hot")

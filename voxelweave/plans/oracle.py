@@ -247,6 +247,10 @@ ORACLE: dict[str, str] = {
     "preview_slice": f"{_DIFFS} SELECT series, seq, prev_seq, z, {_r('max_abs_diff')} FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY tops.max_abs_diff DESC, z) = 1",
     "reference_diff": f"{_VOXELS} SELECT a.series, a.seq, 3 AS prev_seq, round(CAST(max(abs(CAST(a.v - b.v AS FLOAT))) AS DOUBLE), 6) AS max_abs_diff FROM vox a JOIN vox b ON b.seq = 3 AND a.seq <> 3 AND a.z = b.z AND a.y = b.y AND a.x = b.x GROUP BY 1, 2",
     "deadband_diff": f"{_LAGGED} SELECT seq, z, y, x, round(sign(d) * greatest(abs(CAST(d AS DOUBLE)) - 0.2, 0), 6) AS d FROM raw",
+    "pair_stages": f"""{_DIFFS}, one AS (SELECT * FROM raw WHERE seq = 1), best AS (SELECT z FROM tops WHERE seq = 1 ORDER BY max_abs_diff DESC, z LIMIT 1)
+        SELECT 'shape' AS stage, CAST(count(*) AS BIGINT) AS rows, CAST(max(z) + 1 AS DOUBLE) AS value FROM vox WHERE seq IN (0, 1) UNION ALL SELECT 'slice_pair', count(*), 4 * count(*) FROM vox WHERE seq IN (0, 1) AND z = 10
+        UNION ALL SELECT 'diff_slice_' || z, count(*), round(CAST(max(abs(d)) AS DOUBLE), 6) FROM one WHERE z BETWEEN 9 AND 11 GROUP BY z UNION ALL SELECT 'noise', 1, round(2.0 * sigma, 6) FROM sig WHERE seq = 1
+        UNION ALL SELECT 'preview_slice', 1, z FROM best UNION ALL SELECT 'window', count(*), round(CAST(max(abs(m.d)) AS DOUBLE), 6) FROM mask m, best b WHERE m.seq = 1 AND abs(m.z - b.z) <= 2""",
     "local_window": f"""{_DIFFS}, best AS (SELECT seq, z AS centre FROM tops QUALIFY row_number() OVER (PARTITION BY seq ORDER BY max_abs_diff DESC, z) = 1)
         SELECT seq, centre, z, {_r('max_abs_diff')} FROM tops JOIN best USING (seq) WHERE abs(z - centre) <= 2""",
     "aligned_diff": f"""{_VOXELS}, p AS MATERIALIZED (SELECT seq * 20 + z AS key, y, x, v FROM vox)

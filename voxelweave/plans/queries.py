@@ -16,7 +16,7 @@ from ..shipping import ship
 from ..sources import files, raw, volumes
 from ..storage import few, materialize, new_path
 from ..streaming import follow
-from . import compression, screening, tracking
+from . import compression, screening, stages, tracking
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SKIP, START, STOP = "3,7-9,12", 1, 15
@@ -403,6 +403,13 @@ def deadband_diff(spark, sf):
     return _rounded(rows.select("seq", "z", "y", "x", scalars.deadband(F.col("d").cast("double"), 0.2).alias("d")))
 
 
+@query
+def pair_stages(spark, sf):
+    """What each stage of comparing the first pair looks at and finds."""
+    found = stages.of_pair(_tiles(spark, sf), "vectors", 1, 0, tracking.SMALL)
+    return _rounded(spark.createDataFrame([(s.name, s.rows, s.value) for s in found], "stage string, rows bigint, value double"))
+
+
 @query
 def local_window(spark, sf):
     """Differences within two slices of the preview slice."""
