@@ -128,3 +128,21 @@ def test_titles_and_positions(spark):
     assert [held("same", None), held("same", "b"), held("all", "b")] == ["a", "b", None]
     title = names.display_title(F.lit("d"), F.lit("f.h5"), F.lit("e"), F.lit("g.h5"))
     assert one(spark, t=title) == "reference: d | f.h5\ncurrent: e | g.h5"
+
+
+@pytest.mark.parametrize(
+    ("options", "wrong"),
+    [
+        ({"output_name": "a", "start": 3, "output": "o"}, "names one volume"), ({"output": None}, "output is needed"), ({"level": 10}, "between 0 and 9"), ({"display_min": 2.0, "display_max": 2.0}, "display_min"),
+        ({"merge_gap": -1}, "merge_gap must not"), ({"floor_fraction": -0.1}, "floor_fraction"), ({"frames_only": True, "preview": True}, "leaves out"), ({"jobs": 0}, "jobs must"), ({"frames_per_second": 0}, "frames_per_second must"),
+    ],
+)
+def test_requests_are_checked(options, wrong):
+    with pytest.raises(ValueError, match=wrong):
+        ranges.check_request(**options)
+
+
+def test_fine_requests():
+    ranges.check_request()
+    ranges.check_request(output=None, preview_only=True, level=0, display_min=1.0, merge_gap=0, frames_only=True, preview=False, jobs=2)
+    ranges.check_request(output="o", output_name="a", start=None)

@@ -127,6 +127,12 @@ def test_reduction_options(spark, vectors):
     assert row[:] == ([8, 256, 8], [20, 64, 8])
 
 
+def test_stored_types(spark):
+    rows = spark.createDataFrame([("s", 0, 0, 0, 0, 2.75)], "series string, seq int, z int, y int, x int, v double")
+    assert compression.stored(rows, "int", compression.Options()).head().v == 2 and compression.output_type("float", compression.Options()) == "float"
+    assert compression.output_type("int", compression.Options(uint8=True, clip_min=0.0, clip_max=1.0)) == "smallint"
+
+
 def test_centre_crop(spark):
     a = spark.createDataFrame([(0, 0, x, float(x)) for x in range(5)], "key int, y int, x int, v float")
     b = spark.createDataFrame([(0, 0, x, 0.0) for x in range(2)], "key int, y int, x int, v float")
@@ -177,6 +183,9 @@ def test_choosing_datasets_and_files(spark):
     with pytest.raises(Exception, match="no volume /b in g"):
         files.chosen_dataset(entries, "/b").collect()
     assert {r.file: r.name for r in files.image_stacks(entries).collect()} == {"f": "/a", "g": "/z/data"}
+    assert files.image_stacks(entries.where("file = 'f'"), "/b").head().name == "/b"
+    with pytest.raises(Exception, match="no image stack /b in g"):
+        files.image_stacks(entries, "/b").collect()
     paths = spark.createDataFrame([("/d/one/one.h5",), ("/d/one/a.h5",), ("/d/two/c.h5",), ("/d/two/b.h5",), ("/d/two/x.txt",)], "path string")
     assert {r.root: r.name for r in files.master_files(paths).collect()} == {"/d/one": "one.h5", "/d/two": "b.h5"}
     rows = spark.createDataFrame([("/c/x/1.hdf5", 1, True), ("/c/x/2.hdf5", 5, True), ("/c/x/3.hdf5", 9, False)], "path string, mtime int, valid boolean")

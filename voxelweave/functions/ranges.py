@@ -98,6 +98,33 @@ def stride(voxels: Column, target: int) -> Column:
     return F.greatest(step, F.lit(1)).cast("int")
 
 
+def check_request(**options: float | str | bool | None) -> None:
+    """Options of a run that go together wrongly; names are those of the settings.
+
+    One output name is for one volume, so not for a range; a fixed display range needs its lower bound first;
+    compression levels run from 0 to 9; raw frames alone leave no room for a preview or stage timings.
+    """
+    def given(*names: str) -> bool:
+        return any(options.get(n) not in (None, False) for n in names)
+
+    check_options(**{n: options.get(n) for n in ("factor", "jobs", "frame_factor", "frames_per_second", "interval", "max_events", "min_event", "min_component")})
+    wrong = []
+    if given("output_name") and given("start", "stop"):
+        wrong.append("output_name names one volume, so there is no range")
+    if not given("preview_only") and "output" in options and not given("output"):
+        wrong.append("output is needed unless preview_only is set")
+    if (level := options.get("level")) is not None and not 0 <= level <= 9:
+        wrong.append("level lies between 0 and 9")
+    low, high = options.get("display_min"), options.get("display_max")
+    if low is not None and high is not None and not low < high:
+        wrong.append("display_min lies below display_max")
+    wrong += [f"{n} must not be below zero" for n in ("merge_gap", "noise_floor", "floor_fraction") if (options.get(n) or 0) < 0]
+    if given("frames_only") and given("preview", "stage_times"):
+        wrong.append("frames_only leaves out preview and stage_times")
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def check_options(**options: float | None) -> None:
     """Numbers that have to be above zero, if given."""
     wrong = [k for k, v in options.items() if v is not None and not v > 0]

@@ -43,6 +43,16 @@ def reduce_volumes(voxels: DataFrame, options: Options) -> DataFrame:
     return rows.withColumn("v", _prepared(F.col("v"), options))
 
 
+def output_type(source: str, options: Options) -> str:
+    """The type that reduced volumes are stored in: bytes (as shorts) if asked for, else the source's own."""
+    return "smallint" if options.uint8 else source
+
+
+def stored(reduced: DataFrame, source: str, options: Options) -> DataFrame:
+    """Reduced volumes in ``output_type``; means of integers lose their fraction, values beyond the type are an error."""
+    return reduced.withColumn("v", F.col("v").cast(output_type(source, options)))
+
+
 def _prepared(v: Column, options: Options) -> Column:
     v = scalars.clip_and_mask(v, options.clip_min, options.clip_max, options.mask_below)
     return scalars.to_uint8(v, options.clip_min, options.clip_max) if options.uint8 else v

@@ -232,6 +232,9 @@ ORACLE: dict[str, str] = {
     "volume_shapes": f"{_VOXELS} SELECT series, seq, max(z) + 1 AS nz, max(y) + 1 AS ny, max(x) + 1 AS nx, count(*) AS voxels, count(*) = (max(z) + 1) * 64 AS complete FROM vox GROUP BY 1, 2",
     "crop_filter": f"{_VOXELS} SELECT series, seq, z, y, x, {_r('v')} FROM vox WHERE z BETWEEN 2 AND 17 AND y BETWEEN 1 AND 6 AND x BETWEEN 3 AND 7",
     "axis_slice": f"{_VOXELS} SELECT series, seq, z, y, {_r('v')} FROM vox WHERE x = 3",
+    "planes_in_crop": f"""{_VOXELS}, c AS (SELECT series, seq, z - 1 AS z, y, x - 2 AS x, v FROM vox WHERE z BETWEEN 1 AND 18 AND y BETWEEN 0 AND 6 AND x BETWEEN 2 AND 7),
+        p AS (SELECT series, seq, 'xy' AS plane, y AS r, x AS k, v FROM c WHERE z = 9 UNION ALL SELECT series, seq, 'xz', z, x, v FROM c WHERE y = 3 UNION ALL SELECT series, seq, 'yz', z, y, v FROM c WHERE x = 2)
+        SELECT series, seq, plane, r // 2 AS y, k // 2 AS x, {_r('v')} FROM p WHERE r % 2 = 0 AND k % 2 = 0""",
     "strided_slice": f"{_VOXELS} SELECT series, seq, z, (y - 1) // 3 AS y, x // 3 AS x, {_r('v')} FROM vox WHERE z = 5 AND y >= 1 AND (y - 1) % 3 = 0 AND x % 3 = 0",
     "orthogonal_planes": f"""{_VOXELS} SELECT series, seq, 'xy' AS plane, y AS row, x AS col, {_r('v')} FROM vox WHERE z = {_Z} UNION ALL SELECT series, seq, 'xz', z, x, {_r('v')} FROM vox WHERE y = {_Y}
         UNION ALL SELECT series, seq, 'yz', z, y, {_r('v')} FROM vox WHERE x = {_X}""",

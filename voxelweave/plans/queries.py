@@ -331,6 +331,12 @@ def crop_ranges(spark, sf):
     return rows.withColumn("r", ranges.crop_range(F.col("raw"), F.col("n"))).select("scan", "n", "raw", "r.start", "r.stop")
 
 
+@query
+def planes_in_crop(spark, sf):
+    """Planes through a centre of the crop, every second value from the crop's start."""
+    return _rounded(screening.planes_in_crop(_tiles(spark, sf), (9, 3, 2), CROP, 2))
+
+
 # Differences
 
 

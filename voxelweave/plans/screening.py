@@ -7,12 +7,27 @@ from pyspark.sql import functions as F
 
 from ..functions import names, scalars
 from ..operators import frames, slices
+from ..sources import volumes
 from ..storage import few, materialize
+from .tracking import Crop
 
 Centre = tuple[int, int, int]
 KEY = ["series", "plane", "seq"]
 
 
+def planes_in_crop(tiles: DataFrame, centre: Centre, crop: Crop = Crop(), step: int = 1, fast: bool = False) -> DataFrame:
+    """(series, seq, plane, y, x, v): the planes through a centre of the crop, every step-th value of each axis.
+
+    Centre, coordinates and steps count from the crop's start.
+    """
+    cropped = volumes.crop_tiles(tiles, crop.z, crop.y, crop.x)
+    rows = slices.pixels(slices.cut_planes(cropped, centre, fast), "data").withColumnRenamed("data", "v")
+    if step == 1:
+        return rows
+    rows = rows.where((F.col("y") % step == 0) & (F.col("x") % step == 0))
+    return rows.withColumns({a: F.floor(F.col(a) / step).cast("int") for a in ("y", "x")})
+
+
 def raw_frames(tiles: DataFrame, centre: Centre, fast: bool = False, **limits) -> DataFrame:
     """Normalised orthogonal planes of every member, each by its own range unless both limits are given."""
     planes = slices.pixels(slices.cut_planes(tiles, centre, fast), "data").withColumnRenamed("data", "v")

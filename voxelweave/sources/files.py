@@ -31,9 +31,17 @@ def candidate_datasets(entries: DataFrame, allow_singleton: bool = False) -> Dat
     return entries.where(good).groupBy("file").agg(F.min("name").alias("name"))
 
 
-def image_stacks(entries: DataFrame) -> DataFrame:
-    """Of catalog entries with attributes (file, name, shape, attrs): image stacks, first by name per file."""
-    good = (F.size("shape") >= 3) & ((F.col("attrs")["interpretation"] == "image") | F.endswith("name", F.lit("/data")))
+def image_stacks(entries: DataFrame, explicit: str | None = None) -> DataFrame:
+    """Of catalog entries with attributes (file, name, shape, attrs): image stacks, first by name per file.
+
+    A named one has to be a stack of three axes or more in every file.
+    """
+    deep = F.size("shape") >= 3
+    if explicit is not None:
+        fine = entries.groupBy("file").agg(F.coalesce(F.max(deep & (F.col("name") == explicit)), F.lit(False)).alias("fine"))
+        wrong = F.raise_error(F.concat(F.lit(f"no image stack {explicit} in "), "file")).cast("string")
+        return fine.select("file", F.when(F.col("fine"), F.lit(explicit)).otherwise(wrong).alias("name"))
+    good = deep & ((F.col("attrs")["interpretation"] == "image") | F.endswith("name", F.lit("/data")))
     return entries.where(good).groupBy("file").agg(F.min("name").alias("name"))
 
 
