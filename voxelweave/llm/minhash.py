@@ -8,7 +8,7 @@ coordinates give candidate buckets; links are confirmed by the exact Jaccard sim
 sets, and groups are the connected components of the links.
 
 With 40 bands of 7 coordinates a pair at similarity 0.85 shares no bucket with probability 2e-7, one
-at 0.80 with 8e-5 (for independent coordinates; README has measured figures).
+at 0.80 with 8e-5 (for independent coordinates; recall by similarity has not been measured).
 
 Shingles are named by 64 bits: words of up to 16 bytes enter with all their bytes, longer ones by
 xxh3, and every step mixes non-linearly, so no family of texts is bound to collide.
