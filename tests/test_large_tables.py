@@ -10,7 +10,7 @@ from voxelweave.plans.queries import QUERIES
 DATA = "/root/testdata/sf0.001"
 TABLES = "events lineitem embeddings".split()
 #: Catalog queries, over one series of which the numbers go beyond 9,999.
-MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists second_targets series_names".split()
+MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists second_targets series_names skip_list".split()
 
 
 @pytest.fixture(scope="module")
