@@ -12,14 +12,19 @@ TABLES = "events lineitem embeddings".split()
 #: Catalog queries, over one series of which the numbers go beyond 9,999.
 MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists second_targets series_names skip_list".split()
 
+#: Queries over listings of scans of which the numbers go beyond 999,999.
+MANY_SCANS = "projection_datasets".split()
+
 
 @pytest.fixture(scope="module")
 def large(spark, tmp_path_factory):
-    """A folder of tables: one series of 10,400 datasets."""
+    """A folder of tables: one series of 10,400 datasets, and scans below and beyond number 1,000,000."""
     folder = f"file://{tmp_path_factory.mktemp('large')}"
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60).cast("timestamp_ntz")
     events = spark.range(31_200).select(F.col("id").alias("event_id"), at.alias("ts"), (F.col("id") * 5).alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") % 5000 / 7).alias("value"), F.lit("{}").alias("props"))
     events.write.parquet(f"{folder}/events.parquet")
+    lines = spark.range(6_000).select((F.floor(F.col("id") / 3) + F.when(F.col("id") < 3000, 80).otherwise(1_200_000)).alias("l_orderkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"), (F.col("id") % 50 + 1.0).alias("l_quantity"))
+    lines.write.parquet(f"{folder}/lineitem.parquet")
     return folder
 
 
@@ -42,3 +47,8 @@ def compare(spark, folder, name):
 @pytest.mark.parametrize("name", MANY_MEMBERS)
 def test_numbers_of_five_digits(spark, large, name):
     compare(spark, large, name)
+
+
+@pytest.mark.parametrize("name", MANY_SCANS)
+def test_scans_of_seven_digits(spark, large, name):
+    compare(spark, large, name)
