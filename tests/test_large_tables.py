@@ -13,7 +13,7 @@ TABLES = "events lineitem embeddings".split()
 MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists second_targets series_names skip_list".split()
 
 #: Queries over listings of scans of which the numbers go beyond 999,999.
-MANY_SCANS = "projection_datasets".split()
+MANY_SCANS = "projection_datasets resolved_scans".split()
 
 
 @pytest.fixture(scope="module")
