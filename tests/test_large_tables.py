@@ -15,6 +15,17 @@ MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists sec
 #: Queries over listings of scans of which the numbers go beyond 999,999.
 MANY_SCANS = "projection_datasets resolved_scans".split()
 
+#: Queries of volumes, of which the last one lacks planes.
+PART_OF_A_VOLUME = "output_sizes".split()
+
+
+@pytest.fixture(scope="module")
+def cut_short(spark, tmp_path_factory):
+    """Six volumes, of which the last one has ten planes of twenty."""
+    folder = f"file://{tmp_path_factory.mktemp('short')}"
+    spark.read.parquet(f"{DATA}/embeddings.parquet").where("vec_id < 110").write.parquet(f"{folder}/embeddings.parquet")
+    return folder
+
 
 @pytest.fixture(scope="module")
 def large(spark, tmp_path_factory):
@@ -52,3 +63,8 @@ def test_numbers_of_five_digits(spark, large, name):
 @pytest.mark.parametrize("name", MANY_SCANS)
 def test_scans_of_seven_digits(spark, large, name):
     compare(spark, large, name)
+
+
+@pytest.mark.parametrize("name", PART_OF_A_VOLUME)
+def test_a_last_volume_without_all_planes(spark, cut_short, name):
+    compare(spark, cut_short, name)
