@@ -16,7 +16,7 @@ MANY_MEMBERS = "file_times latest_files newest_dataset pairs_lag plane_lists sec
 MANY_SCANS = "projection_datasets resolved_scans".split()
 
 #: Queries of volumes, of which the last one lacks planes.
-PART_OF_A_VOLUME = "output_sizes preview_slice_strided".split()
+PART_OF_A_VOLUME = "output_sizes preview_slice_strided suggested_settings".split()
 
 
 @pytest.fixture(scope="module")

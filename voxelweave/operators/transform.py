@@ -65,7 +65,7 @@ def statistics(
 def suggestions(stats: DataFrame, shapes: DataFrame, factor: int = 1, item_bytes: int = 4, most: int = 1024**3) -> DataFrame:
     """Clip bounds at the half percentiles, a mask of three sigma, the factor that brings the output under most voxels, and sizes.
 
-    shapes: ``volumes.shapes`` of the source, which factor reduces. A suggested factor is two at least and never below the present one.
+    shapes: ``volumes.shapes`` or ``volumes.declared`` of the source, which factor reduces. A suggested factor is two at least and never below the present one.
     """
     out = scalars.output_shape(F.array("nz", "ny", "nx"), factor)
     n = scalars.size_bytes(F.col("out"), 1)
