@@ -10,10 +10,12 @@ their series: it reads those and the one member before them. Under --out it writ
     comparisons   a row for each pair, by series (run_id) and sequence_number
     events        the ranked events of each pair, likewise
     marks         the last sequence number that is done, by series
+    pending       runs, comparisons and events of members that wait: provisional, worked out anew by each run
 
 Each write replaces whole partitions and the mark comes last. So a run that broke off, or is started again,
-gives the same tables. A member whose planes are not all there holds back those after it until they are. Numbers of a
-series only grow: a file that turns up for a number below the mark is not looked at.
+gives the same tables. A member whose planes are not all there holds back the mark, and those after it, until they are;
+till then its comparison is made with the planes that it has and kept under pending, of which no row counts up to the
+mark. Numbers of a series only grow: a file that turns up for a number below the mark is not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from voxelweave import runs, storage
-from voxelweave.functions import ranges
+from voxelweave.functions import ranges, scalars
 from voxelweave.operators import catalog
 from voxelweave.plans import tracking
 from voxelweave.shipping import ship
@@ -53,14 +55,15 @@ def marks(spark: SparkSession, out: str) -> DataFrame:
     return storage.load(spark, f"{out}/marks", MARKS).select(F.col("run_id").alias("series"), "done")
 
 
-def complete_members(listed: DataFrame, tiles: DataFrame, config: dict) -> DataFrame:
-    """Admitted members (with series) up to the first one of each series whose planes are not all there."""
+def member_pairs(listed: DataFrame, tiles: DataFrame, config: dict) -> DataFrame:
+    """Pairs of admitted members that have planes, with final: both lie before the first member of their series whose planes are not all there."""
     skipped = listed.sparkSession.range(1).select(F.explode(ranges.number_list(F.lit(config.get("skip")))).alias("seq"))
     members = catalog.admitted(listed, skipped, config.get("start"), config.get("stop")).withColumn("series", F.concat_ws("_", *catalog.SERIES))
     planes = tiles.groupBy("series", "seq").agg(F.count_distinct("z").alias("planes"))
     rows = members.join(planes, ["series", "seq"], "left").withColumn("whole", F.coalesce(F.col("planes") == config["depth"], F.lit(False)))
     first = rows.where("not whole").groupBy("series").agg(F.min("seq").alias("stuck"))
-    return rows.join(first, "series", "left").where("stuck is null or seq < stuck").select(*members.columns)
+    pairs = catalog.described_pairs(rows.where("planes is not null").select(*members.columns))
+    return pairs.join(first, "series", "left").withColumn("final", F.coalesce(F.col("seq") < F.col("stuck"), F.lit(True))).drop("stuck")
 
 
 def run_rows(fresh: DataFrame, thresholds: DataFrame, config: dict, options: tracking.Options) -> DataFrame:
@@ -85,38 +88,76 @@ def run(spark: SparkSession, vectors: str, files: str, out: str, config: dict) -
     listed = listings.catalog_of_events(spark.read.parquet(files))
     listed = listed.where(F.concat_ws("_", *catalog.SERIES).isin(config["series"]))
     done = marks(spark, out)
-    pairs = catalog.described_pairs(complete_members(listed, tiles, config))
-    pairs = pairs.join(done, "series", "left").where("done is null or seq > done").drop("done")
-    pairs = storage.materialize(pairs, "new-pairs")
-    n = pairs.count()
-    log.info("read %s and %s: %d new pairs", vectors, files, n)
-    if not n:
+    pairs = member_pairs(listed, tiles, config)
+    pairs = storage.materialize(pairs.join(done, "series", "left").where("done is null or seq > done").drop("done"), "new-pairs")
+    new, waiting = (pairs.where(f).drop("final") for f in ("final", "not final"))
+    n, w = new.count(), waiting.count()
+    log.info("read %s and %s: %d new pairs, %d with a member that waits for planes", vectors, files, n, w)
+    if not n + w:
         log.info("nothing new, %s stays as it is", out)
         return
-    diffs = tracking.diffs_of_pairs(tiles, pairs, crop)
-    known = runs.load(spark, out, "runs").select(F.col("run_id").alias("series"), "baseline_sigma", F.col("threshold_value").alias("threshold"))
-    fresh = pairs.join(known, "series", "left_anti")
-    if not fresh.isEmpty():
-        measured = tracking.thresholds_of_pairs(tiles, fresh, options, crop)
-        runs.save(run_rows(fresh, measured, config, options), out, "runs")
-        known = runs.load(spark, out, "runs").select(F.col("run_id").alias("series"), "baseline_sigma", F.col("threshold_value").alias("threshold"))
-    found = tracking.find(diffs.join(storage.few(known), "series"), options)
-    runs.save(runs.event_rows(found.ranked), out, "events")
-    runs.save(runs.comparison_rows(pairs, found.compared), out, "comparisons")
-    last = pairs.groupBy(F.col("series").alias("run_id")).agg(F.max("seq").alias("done")).select("done", "run_id")
-    storage.replace(last, f"{out}/marks", ["run_id"])
+    if n:
+        fresh = new.join(noise(runs.load(spark, out, "runs")), "series", "left_anti")
+        if not fresh.isEmpty():
+            measured = tracking.thresholds_of_pairs(tiles, fresh, options, crop)
+            runs.save(run_rows(fresh, measured, config, options), out, "runs")
+        found = compared(tiles, new, noise(runs.load(spark, out, "runs")), options, crop)
+        runs.save(runs.event_rows(found.ranked), out, "events")
+        runs.save(runs.comparison_rows(new, found.compared), out, "comparisons")
+        last = new.groupBy(F.col("series").alias("run_id")).agg(F.max("seq").alias("done")).select("done", "run_id")
+        storage.replace(last, f"{out}/marks", ["run_id"])
+    provisional(spark, tiles, waiting if w else None, out, config)
     for table in ("runs", "comparisons", "events"):
         log.info("wrote %s/%s: %d rows now", out, table, runs.load(spark, out, table).count())
 
 
+def noise(rows: DataFrame) -> DataFrame:
+    """(series, baseline_sigma, threshold) of rows of runs."""
+    return rows.select(F.col("run_id").alias("series"), "baseline_sigma", F.col("threshold_value").alias("threshold"))
+
+
+def compared(tiles: DataFrame, pairs: DataFrame, known: DataFrame, options: tracking.Options, crop: tracking.Crop) -> tracking.Found:
+    return tracking.find(tracking.diffs_of_pairs(tiles, pairs, crop).join(storage.few(known), "series"), options)
+
+
+def provisional(spark: SparkSession, tiles: DataFrame, waiting: DataFrame | None, out: str, config: dict) -> None:
+    """Tables of the pairs that wait, in place of those of the last run; a series that has no run yet gets a provisional one."""
+    options, crop = settings(config)
+    root = f"{out}/pending"
+    if waiting is None:
+        for table in runs.TABLES:
+            runs.rewrite(spark.createDataFrame([], runs.ddl(table)), root, table)
+        return
+    known = runs.load(spark, out, "runs")
+    fresh = waiting.join(noise(known), "series", "left_anti")
+    some = known.limit(0)
+    if not fresh.isEmpty():
+        some = run_rows(fresh, tracking.thresholds_of_pairs(tiles, fresh, options, crop), config, options)
+    runs.rewrite(some, root, "runs")
+    found = compared(tiles, waiting, noise(known).unionByName(noise(runs.load(spark, root, "runs"))), options, crop)
+    runs.rewrite(runs.event_rows(found.ranked), root, "events")
+    runs.rewrite(runs.comparison_rows(waiting, found.compared), root, "comparisons")
+
+
+def with_pending(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Each table with the provisional rows beyond the marks."""
+    done = marks(spark, out).withColumnRenamed("series", "run_id")
+    known, held = ({t: runs.load(spark, root, t) for t in runs.TABLES} for root in (out, f"{out}/pending"))
+    held["runs"] = held["runs"].join(known["runs"].select("run_id"), "run_id", "left_anti")
+    for t in ("comparisons", "events"):
+        held[t] = held[t].join(done, "run_id", "left").where("done is null or sequence_number > done")
+    return {t: known[t].unionByName(held[t].select(*known[t].columns)) for t in runs.TABLES}
+
+
 def output(spark: SparkSession, out: str) -> DataFrame:
-    """Every comparison with its run's noise and its events (a row without one where it has none)."""
-    tables = {t: runs.load(spark, out, t) for t in runs.TABLES}
+    """Every comparison, the provisional ones too, with its run's noise and its events (a row without one where it has none)."""
+    tables = with_pending(spark, out)
     events = tables["events"].select("comparison_id", *runs.EXPORT[8:])
     rows = tables["comparisons"].withColumnRenamed("id", "comparison_id").join(events, "comparison_id", "left")
     rows = rows.join(tables["runs"].select("run_id", "baseline_sigma", "threshold_value"), "run_id")
     rows = rows.select("run_id", *runs.EXPORT, "detected_event_count", "stored_event_count", "max_abs_diff", "baseline_sigma", "threshold_value")
-    return rows.select(*(F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes))
+    rows = rows.withColumn("max_abs_diff", scalars.rounded(F.col("max_abs_diff"), 6))
+    return rows.select(*(scalars.rounded(F.col(c), 4).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes))
 
 
 def job1_track_series(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from jobs import queries as jobs
+from voxelweave.functions import scalars
 from voxelweave.plans.oracle import ORACLE
 from voxelweave.plans.queries import QUERIES
 
@@ -68,3 +70,26 @@ def test_scans_of_seven_digits(spark, large, name):
 @pytest.mark.parametrize("name", PART_OF_A_VOLUME)
 def test_a_last_volume_without_all_planes(spark, cut_short, name):
     compare(spark, cut_short, name)
+
+
+def test_a_member_that_waits_is_in_the_output_of_the_job(spark, tmp_path):
+    """Volume 16, number 5 of its series, has ten planes of twenty."""
+    spark.read.parquet(f"{DATA}/embeddings.parquet").where("vec_id < 330").write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    spark.read.parquet(f"{DATA}/events.parquet").write.parquet(f"file://{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for t in ("events", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = jobs.QUERIES["job1_track_series"](spark, f"file://{tmp_path}")
+    want = con.execute(jobs.ORACLE["job1_track_series"])
+    at = [d[0] for d in want.description]
+    there = sorted((tuple(r[at.index(c)] for c in got.columns) for r in want.fetchall()), key=repr)
+    assert sorted(map(tuple, got.collect()), key=repr) == there
+    assert max(r.sequence_number for r in got.where("run_id = 'c1_click'").collect()) == 5
+
+
+def test_rounding_is_that_of_the_sql(spark):
+    values = [k / 20_000 + d for k in range(9_000, 12_000, 7) for d in (0.0, 1e-9, -1e-9)]
+    want = [duckdb.execute("SELECT list_transform(?, lambda v: round(v, 4))", [values]).fetchall()[0][0]]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, v double").withColumn("r", scalars.rounded(F.col("v"), 4)).orderBy("i").collect()
+    assert [[r.r for r in rows]] == want
