@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from jobs import queries as jobs
 from voxelweave.functions import scalars
+from voxelweave.plans import queries
 from voxelweave.plans.oracle import ORACLE
 from voxelweave.plans.queries import QUERIES
+from voxelweave.sources import volumes
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "events lineitem embeddings".split()
@@ -93,3 +95,10 @@ def test_rounding_is_that_of_the_sql(spark):
     want = [duckdb.execute("SELECT list_transform(?, lambda v: round(v, 4))", [values]).fetchall()[0][0]]
     rows = spark.createDataFrame(list(enumerate(values)), "i int, v double").withColumn("r", scalars.rounded(F.col("v"), 4)).orderBy("i").collect()
     assert [[r.r for r in rows]] == want
+
+
+def test_files_of_a_store_do_not_grow_with_members(spark):
+    """25 volumes in 8 buckets: a span of members has one file for each bucket."""
+    tiles = volumes.tiles_of_vectors(spark.read.parquet(f"{DATA}/embeddings.parquet"))
+    store = queries._store(spark, DATA, tiles)
+    assert len(store.inputFiles()) <= 8 and store.count() == 500
